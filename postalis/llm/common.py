@@ -21,31 +21,102 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder of spark.checkpoint.dir, so a lost executor costs no recomputation.
+    """Cut the lineage in the shared folder of spark.checkpoint.dir, so a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
 
-    A folder of this machine is set only where the session names none, as in tests.
-    """
-    context = df.sparkSession.sparkContext
+
+def arrow_schema(schema: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in schema.split(","))])
+
+
+def to_batch(columns: dict, target: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in ((columns[f.name], f) for f in target)], schema=target)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which driver and executors share; a new one of this machine only if unset."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="postalis-checkpoint-"))
-    return df.checkpoint()
+    return context.getCheckpointDir()
+
+
+#: Bits of an id filter; a wrong hit costs some work, never a result.
+FILTER_BITS = 1 << 23
+
+
+def id_bits(ids: DataFrame, column: str) -> np.ndarray:
+    """A bit for each id's hash: FILTER_BITS in all, however many ids."""
+    slots = ids.select(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).alias("s"))
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for bucket, own in slots.groupBy(F.shiftright("s", 15).alias("b")).agg(F.bitmap_construct_agg(F.col("s").bitwiseAND(32767)).alias("m")).collect():
+        bits[bucket * 4096 : (bucket + 1) * 4096] |= np.frombuffer(bytes(own), np.uint8)
+    return bits
+
+
+def by_bits(df: DataFrame, column: str, bits: np.ndarray, hit: bool = True) -> DataFrame:
+    """Rows whose id has its bit set (or, with hit false, the others), without a shuffle."""
+    sent, schema = df.sparkSession.sparkContext.broadcast(bits), df.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = sent.value
+        for batch in batches:
+            at = batch.column(batch.num_columns - 1).to_numpy()
+            keep = ((table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1) == hit
+            yield batch.select(range(batch.num_columns - 1)).filter(pa.array(keep))
+
+    return df.withColumn("_slot", F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))).mapInArrow(run, schema)
 
 
 def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict]]], schema: str) -> DataFrame:
     """mapInArrow with one function per task: make() builds it, it turns a batch into dicts of columns."""
-    fields = [x.strip().split(" ") for x in schema.split(",")]
-    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
-    target = pa.schema([(name, kinds[kind]) for name, kind in fields])
+    target = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
             for columns in step(batch):
-                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in zip((columns[n] for n, _ in fields), target.types, strict=True)], schema=target)
+                yield to_batch(columns, target)
 
     return df.mapInArrow(run, schema)
 
 
+def map_groups(df: DataFrame, keys: list[str], make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict]]], schema: str) -> DataFrame:
+    """Grouped map for very many small groups of bounded size: rows are dealt out and sorted by the keys (longs, not
+    null), and the function gets one group's rows at a time, without a pandas frame for each."""
+    target = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step, rest = make(), None
+
+        def groups(table: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            found: dict[str, list] = {f.name: [] for f in target}
+            for start, end in zip(starts[:-1], starts[1:], strict=True):
+                for columns in step(table.slice(start, end - start)):
+                    for name in found:
+                        found[name] += columns[name]
+            yield to_batch(found, target)
+
+        for batch in batches:
+            table = batch if rest is None else pa.concat_batches([rest, batch])
+            if not table.num_rows:
+                continue
+            change = np.zeros(table.num_rows - 1, bool)
+            for key in keys:
+                column = table.column(key).to_numpy()
+                change |= column[1:] != column[:-1]
+            starts = np.concatenate([[0], np.flatnonzero(change) + 1])
+            if len(starts) > 1:
+                yield from groups(table, starts)
+            rest = table.slice(starts[-1])
+        if rest is not None:
+            yield from groups(rest, np.array([0, rest.num_rows]))
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
 def raw(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, None for null."""
     return column.cast(pa.binary()).to_pylist()
@@ -73,38 +144,54 @@ def fold(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-class Hashes(dict):
-    """word -> 64-bit hash, computed once per Python worker; emptied beyond `most` words so that its memory is bounded."""
-
-    def __init__(self, most: int = 400_000) -> None:
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_64_intdigest
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective scramble of 64-bit values (the finaliser of a public 64-bit hash)."""
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
 
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = value = xxh3_64_intdigest(word)
-        return value
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+MULTIPLIER = 0x9E3779B97F4A7C15
+INVERSE = pow(MULTIPLIER, -1, 1 << 64)
+BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(MULTIPLIER))
+CHUNK = 1 << 20
 
 
 @cache
-def word_hashes() -> Hashes:
-    return Hashes()
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
+    return np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, base, np.uint64)]))
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective scramble of 64-bit values (the finaliser of a public 64-bit hash)."""
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+def hashed_words(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """64-bit hashes of the white-space words of the texts, and how many each text has, for about a megabyte at a time.
 
+    A word's hash comes from differences of one running sum over all bytes, so there is no loop over words.
+    """
 
-def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """A list column from flat values and the lengths of its rows."""
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+    def of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        own = np.frombuffer(data, np.uint8)
+        edge = np.ones(len(own) + 2, bool)
+        edge[1:-1] = SPACE[own]
+        at = np.flatnonzero(edge[1:] != edge[:-1])
+        starts, ends = at[0::2], at[1::2]
+        n = 1 << max(16, len(own).bit_length())
+        total = np.zeros(len(own) + 1, np.uint64)
+        np.cumsum(BYTES[own] * powers(MULTIPLIER, n)[: len(own)], out=total[1:])
+        return mixed((total[ends] - total[starts]) * powers(INVERSE, n)[starts] + (ends - starts).astype(np.uint64)), starts
+
+    at = 0
+    while at < len(texts):
+        if len(texts[at]) > CHUNK:  # a very long text: its words in portions
+            words = texts[at].split()
+            parts = [of(b" ".join(words[i : i + CHUNK // 8]))[0] for i in range(0, len(words), CHUNK // 8)]
+            yield np.concatenate([np.zeros(0, np.uint64), *parts]), np.array([len(words)])
+            at += 1
+            continue
+        end, size = at, 0
+        while end < len(texts) and len(texts[end]) <= CHUNK and (size := size + len(texts[end]) + 1) <= 2 * CHUNK:
+            end += 1
+        hashes, starts = of(b" ".join(texts[at:end]))
+        first = np.cumsum([0, *(len(t) + 1 for t in texts[at:end])])
+        yield hashes, np.diff(np.searchsorted(starts, first))
+        at = end

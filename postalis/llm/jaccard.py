@@ -19,26 +19,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postalis.llm.common import durable, lists, map_arrow, mixed, raw, word_hashes
+from postalis.llm.common import by_bits, durable, id_bits, map_arrow, map_groups, mixed, raw, hashed_words
 from postalis.llm.graph import components
 
 BUCKETS = 1 << 16
 CHUNKS = 4
-#: Bits of the filter of the ids whose texts a verification reads; a wrong hit costs a shuffled text, no result.
-FILTER_BITS = 1 << 23
 
 
-def shingle_set(text: bytes | None, size: int) -> np.ndarray:
-    """Sorted distinct hashes of the text's word n-grams, A-Z in lower case; a shorter text is one shingle as a whole."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = word_hashes().of(words)
-    n = max(1, len(h) - size + 1)
-    total = np.full(n, min(size, len(h)), np.uint64)
-    for k in range(min(size, len(h))):
-        total = mixed(total + h[k : k + n])
-    return np.unique(total)
+def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
+    """For each text, sorted distinct hashes of its word n-grams, A-Z in lower case; a shorter text is one shingle as a whole."""
+
+    def combined(h: np.ndarray, k: int) -> np.ndarray:
+        total = np.full(len(h) - k + 1, k, np.uint64)
+        for i in range(k):
+            total = mixed(total + h[i : i + len(total)])
+        return total
+
+    out = []
+    for hashes, counts in hashed_words([(t or b"").lower() for t in texts]):
+        every = combined(hashes, size) if len(hashes) >= size else hashes[:0]
+        at = 0
+        for n in counts.tolist():
+            out.append(np.unique(every[at : at + n - size + 1]) if n >= size else combined(hashes[at : at + n], n) if n else hashes[:0])
+            at += n
+    return out
 
 
 def set_key(shingles: np.ndarray) -> int:
@@ -72,14 +76,11 @@ def summarise(docs: DataFrame, size: int) -> DataFrame:
         def step(batch: pa.RecordBatch):
             n, nodes, bits = [], [], []
             load = np.zeros(BUCKETS, np.int64)
-            for text in raw(batch.column(1)):
-                own = shingle_set(text, size)
+            for own in shingle_sets(raw(batch.column(1)), size):
                 n.append(len(own))
                 nodes.append(set_key(own) if len(own) else None)
                 bits.append(bitmap(own) if len(own) else None)
-                load += np.bincount((own & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS) if len(own) > BUCKETS // 8 else 0
-                if len(own) <= BUCKETS // 8:
-                    np.add.at(load, (own & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
+                np.add.at(load, (own & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
             rows = batch.num_rows
             yield {"chunk": [None] * rows + list(range(CHUNKS)), "doc_id": batch.column(0).to_pylist() + [part] * CHUNKS, "n": n + [0] * CHUNKS, "node": nodes + [None] * CHUNKS, "bits": bits + [x.tobytes() for x in np.split(load, CHUNKS)]}
 
@@ -116,8 +117,7 @@ def prefixes(docs: DataFrame, size: int, percent: int, hot: np.ndarray) -> DataF
 
         def step(batch: pa.RecordBatch):
             keys, nodes, lengths = [], [], []
-            for text in raw(batch.column(0)):
-                own = shingle_set(text, size)
+            for own in shingle_sets(raw(batch.column(0)), size):
                 if n := len(own):
                     late = crowd[(own & np.uint64(BUCKETS - 1)).astype(np.int64)]
                     first = np.concatenate([own[~late], own[late]])[: n - (percent * n + 99) // 100 + 1]
@@ -142,52 +142,31 @@ def verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, perce
 
     Texts travel to their pairs: those of at most `group` partners x of one y, and of y, meet in one task.
     """
-    spark = docs.sparkSession
     pairs = durable(pairs.select("x", "y").distinct())
     parts = pairs.groupBy("y").agg(F.ceil(F.count("*") / group).cast("long").alias("parts"))
     split = durable(pairs.join(parts, "y").withColumn("part", F.pmod(F.xxhash64("x"), "parts")))
     roles = split.select("y", "part", F.col("x").alias("node"), F.lit(False).alias("head")).unionByName(split.select("y", "part", F.col("y").alias("node"), F.lit(True).alias("head")).distinct())
     roles = durable(roles.join(nodes.select("node", F.col("rep").alias("doc_id")), "node"))
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for number, own in roles.select(slot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("m")).collect():  # FILTER_BITS in all
-        own = np.frombuffer(bytes(own), np.uint8)
-        at = (number - 1) * len(own)  # buckets count from 1, with position 1 .. 32768
-        end = min(len(bits), at + len(own))
-        bits[max(at, 0) : end] |= own[: end - max(at, 0)]
-    sent = spark.sparkContext.broadcast(bits)
-
-    def make():
-        wanted = sent.value
-
-        def step(batch: pa.RecordBatch):
-            at = batch.column(2).to_numpy() - 0
-            keep = pa.array((wanted[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
-            yield {"doc_id": batch.column(0).filter(keep), "text": batch.column(1).filter(keep)}
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id is not null and text is not null")
+    texts = by_bits(texts, "doc_id", id_bits(roles, "doc_id"))
+
+    def checked():
+        def step(group: pa.RecordBatch):
+            sets: dict[int, np.ndarray] = {}
+            members, y = set(), group.column("y")[0].as_py()
+            for node, head, own in zip(group.column("node").to_pylist(), group.column("head").to_pylist(), shingle_sets(raw(group.column("text")), size), strict=True):
+                if set_key(own) == node:
+                    sets[node] = own
+                    if not head:
+                        members.add(node)
+            if y in sets:
+                both = {x: len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x in sorted(members)}
+                good = [x for x, n in both.items() if 100 * n >= percent * (len(sets[x]) + len(sets[y]) - n)]
+                yield {"a": good, "b": [y] * len(good)}
 
         return step
 
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id is not null and text is not null")
-    # bit k of byte i stands for bitmap_bit_position 8 i + k, which bitmap_bucket_number numbers from 1
-    position = F.expr("(bitmap_bucket_number(s) - 1) * 32768 + bitmap_bit_position(s)")
-    texts = map_arrow(texts.withColumn("s", slot).select("doc_id", "text", position.alias("s")), make, "doc_id long, text string")
-
-    def checked(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets: dict[int, np.ndarray] = {}
-        for node, text in zip(pdf["node"], pdf["text"], strict=True):
-            own = shingle_set(text.encode(), size)
-            if set_key(own) == node:
-                sets[node] = own
-        y = int(pdf["y"].iloc[0])
-        out = []
-        for node in pdf.loc[~pdf["head"], "node"].unique():
-            if node in sets and y in sets:
-                both = len(np.intersect1d(sets[node], sets[y], assume_unique=True))
-                if 100 * both >= percent * (len(sets[node]) + len(sets[y]) - both):
-                    out.append((node, y))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return durable(texts.join(roles, "doc_id").groupBy("y", "part").applyInPandas(checked, "a long, b long"))
+    return durable(map_groups(texts.join(roles, "doc_id").select("y", "part", "node", "head", "text"), ["y", "part"], checked, "a long, b long"))
 
 
 def near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -228,30 +207,37 @@ def tiles(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int,
     cut = cut.withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")).drop("other")
     cut = cut.join(nodes.select("node", "n", "bits"), "node")
 
-    def compared(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("node")
-        width = min(map(len, pdf["bits"]))
-        bits = np.stack([folded(b, width) for b in pdf["bits"]])
-        node, n, component, own, blk = (pdf[c].to_numpy() for c in ("node", "n", "component", "own", "blk"))
-        band, across = pdf["band"].iloc[0], pdf["i"].iloc[0] != pdf["j"].iloc[0]
-        xs, ys = [], []
-        for k in range(len(pdf) - 1):
-            at = np.flatnonzero((component[k + 1 :] != component[k]) & ((own[k + 1 :] == band) | (own[k] == band))) + k + 1
-            if across:
-                at = at[blk[at] != blk[k]]
-            if not len(at):
-                continue
-            differ = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64)
-            ok = overlap_ok(n[at], n[k], differ, percent)
-            at, differ = at[ok], differ[ok]
-            if best is not None and len(at) > best:
-                order = np.argsort(differ, kind="stable")
-                at = pd.Series(at[order]).groupby(component[at[order]], sort=False).head(best).to_numpy()
-            xs.append(np.full(len(at), node[k]))
-            ys.append(node[at])
-        return pd.DataFrame({"x": np.concatenate(xs) if xs else np.zeros(0, np.int64), "y": np.concatenate(ys) if ys else np.zeros(0, np.int64)})
-
-    return cut.groupBy("key", "band", "i", "j").applyInPandas(compared, "x long, y long").distinct()
+    def compared():
+        def step(group: pa.RecordBatch):
+            node, n, component, own, blk = (group.column(c).to_numpy() for c in ("node", "n", "component", "own", "blk"))
+            band, across = group.column("band")[0].as_py(), group.column("i")[0].as_py() != group.column("j")[0].as_py()
+            if len(node) < 2 or (component == component[0]).all():
+                return
+            raw_bits = group.column("bits").to_pylist()
+            width = min(map(len, raw_bits))
+            bits = np.stack([folded(b, width) for b in raw_bits]).view(np.uint64)
+            xs: list[int] = []
+            ys: list[int] = []
+            for k in range(len(node) - 1):
+                fit = (component[k + 1 :] != component[k]) & ((own[k + 1 :] == band) | (own[k] == band))
+                if across:
+                    fit &= blk[k + 1 :] != blk[k]
+                at = np.flatnonzero(fit) + k + 1
+                if not len(at):
+                    continue
+                differ = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64)
+                ok = overlap_ok(n[at], n[k], differ, percent)
+                at, differ = at[ok], differ[ok]
+                if best is not None and len(at) > best:
+                    order = np.argsort(differ, kind="stable")
+                    at = pd.Series(at[order]).groupby(component[at[order]], sort=False).head(best).to_numpy()
+                xs += [int(node[k])] * len(at)
+                ys += node[at].tolist()
+            yield {"x": xs, "y": ys}
+
+        return step
+
+    return map_groups(cut.select("key", "band", "i", "j", "node", "n", "component", "own", "blk", "bits"), ["key", "band", "i", "j"], compared, "x long, y long").distinct()
 
 
 def classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -277,10 +263,14 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     links = durable(links.unionByName(verify(docs, nodes, stars, size, percent)))
     labels = components(links)
     shared = durable(shared.select("key", "node").distinct())
-    for best in (2, None):
+    tested = None
+    for best in (2, None):  # the rest, if any, after the best
         found = durable(tiles(shared, nodes, labels, percent, best))
+        if tested is not None:
+            found = durable(found.join(tested, ["x", "y"], "left_anti"))
         if found.isEmpty():
             break
+        tested = found
         new = verify(docs, nodes, found, size, percent)
         if not new.isEmpty():
             links = durable(links.unionByName(new))

@@ -60,48 +60,60 @@ class Pieces:
         new.logs = np.log(w / w.sum()).tolist()
         return new
 
-    def edges(self, word: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-        """For each end, the (start, log weight, piece ids) of the pieces that end there. Characters without a piece
-        are spelt in bytes."""
-        n, get, logs = len(word), self.ids.get, self.logs
-        out: list[list] = [[] for _ in range(n + 1)]
-        for i in range(n):
-            single = False
+    def spelt(self, character: str) -> tuple[int, ...]:
+        """A character that is no piece, in bytes."""
+        return tuple(self.bytes[b] for b in character.encode("utf-8", "replace"))
+
+    def score(self, word: str) -> float:
+        """Natural log of the word's probability over all its segmentations: the forward recursion, in log space."""
+        word = START + word
+        n, get, logs, exp, log = len(word), self.ids.get, self.logs, math.exp, math.log
+        arriving: list[list[float]] = [[] for _ in range(n + 1)]
+        here = 0.0
+        for i in range(n + 1):
+            if own := arriving[i]:
+                most = max(own)
+                here = most if len(own) == 1 else most + log(sum([exp(x - most) for x in own]))
+            if i == n:
+                break
+            j = i + 1
+            k = get(word[i:j])
+            if k is None or k < 0:
+                arriving[j].append(here + sum(logs[b] for b in self.spelt(word[i])))
+            while k is not None:
+                if k >= 0:
+                    arriving[j].append(here + logs[k])
+                j += 1
+                if j > n:
+                    break
+                k = get(word[i:j])
+        return here
+
+    def expected(self, word: str, weight: int, into: Counter) -> None:
+        """Add the pieces' expected counts, in thousandths, times the word's count (forward, then backward)."""
+        word = START + word
+        n, get, logs, exp, log = len(word), self.ids.get, self.logs, math.exp, math.log
+        arriving: list[list[tuple[float, int, int | tuple]]] = [[] for _ in range(n + 1)]
+        alpha = [0.0] * (n + 1)
+        for i in range(n + 1):
+            if own := arriving[i]:
+                most = max(own)[0]
+                alpha[i] = most if len(own) == 1 else most + log(sum([exp(x[0] - most) for x in own]))
+            here = alpha[i]
             for j in range(i + 1, n + 1):
                 k = get(word[i:j])
+                if j == i + 1 and (k is None or k < 0):
+                    arriving[j].append((here + sum(logs[b] for b in self.spelt(word[i])), i, self.spelt(word[i])))
                 if k is None:
                     break
                 if k >= 0:
-                    out[j].append((i, logs[k], (k,)))
-                    single |= j == i + 1
-            if not single:
-                own = tuple(self.bytes[b] for b in word[i].encode("utf-8", "replace"))
-                out[i + 1].append((i, sum(logs[b] for b in own), own))
-        return out
-
-    def forward(self, edges: list) -> list[float]:
-        alpha = [0.0] * len(edges)
-        exp, log = math.exp, math.log
-        for j in range(1, len(edges)):
-            own = [alpha[i] + x for i, x, _ in edges[j]]
-            most = max(own)
-            alpha[j] = most if len(own) == 1 else most + log(sum([exp(x - most) for x in own]))
-        return alpha
-
-    def score(self, word: str) -> float:
-        """Natural log of the word's probability over all its segmentations."""
-        return self.forward(self.edges(START + word))[-1]
-
-    def expected(self, word: str, weight: int, into: Counter) -> None:
-        """Add the pieces' expected counts, in thousandths, times the word's count."""
-        edges = self.edges(START + word)
-        alpha = self.forward(edges)
-        share = [0.0] * len(edges)  # posterior probability that a segmentation has a border here
-        share[-1] = float(weight * MILLI)
-        for j in range(len(edges) - 1, 0, -1):
-            if share[j]:
-                for i, x, ids in edges[j]:
-                    part = share[j] * math.exp(alpha[i] + x - alpha[j])
+                    arriving[j].append((here + logs[k], i, (k,)))
+        share = [0.0] * n + [float(weight * MILLI)]  # posterior probability of a border here, times the count
+        for j in range(n, 0, -1):
+            if (now := share[j]) > 1e-4:
+                base = alpha[j]
+                for x, i, ids in arriving[j]:
+                    part = now * exp(x - base)
                     share[i] += part
                     for k in ids:
                         into[k] += part
