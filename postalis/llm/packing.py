@@ -26,28 +26,28 @@ END_ID = 1
 
 class TokenIds(dict):
     """White-space delimited chunk -> its ids as little-endian uint32 bytes. The pre-tokenizer never joins chunks across
-    ASCII white space, so a text's ids are its chunks' ids in turn. Bounded; one per Python worker."""
+    ASCII white space, so a text's ids are its chunks' ids in turn. One per Python worker, of `most` chunks; beyond, the
+    earliest, which are the common ones, stay."""
 
-    def __init__(self, path: str, most: int = 300_000) -> None:
+    def __init__(self, path: str, most: int = 1_000_000) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
 
-    def learn(self, chunks: set[bytes]) -> None:
-        if len(self) + len(chunks) > self.most:
-            self.clear()
-        order = list(chunks)
-        for chunk, found in zip(order, self.tokenizer.encode_batch_fast([c.decode() for c in order], add_special_tokens=False), strict=True):
+    def learn(self, chunks: list[bytes]) -> None:
+        for chunk, found in zip(chunks, self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False), strict=True):
             self[chunk] = np.asarray(found.ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
         new = set().union(*split).difference(self)
+        if len(self) + len(new) > self.most:
+            for chunk in list(self)[self.most * 2 // 5 :]:
+                del self[chunk]
+            new = set().union(*split).difference(self)
         if new:
-            if len(self) + len(new) > self.most:
-                new = set().union(*split)
-            self.learn(new)
+            self.learn(list(new))
         get = self.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
