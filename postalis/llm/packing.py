@@ -11,6 +11,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right, insort
 from functools import cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +35,22 @@ class TokenIds(dict):
 
         super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.marks = {m: np.asarray(self.tokenizer.encode(chr(m), add_special_tokens=False).ids, "<u4").tobytes() for m in b".,"}
 
     def learn(self, chunks: list[bytes]) -> None:
-        for chunk, found in zip(chunks, self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False), strict=True):
-            self[chunk] = np.asarray(found.ids, "<u4").tobytes()
+        """A full stop or comma after an ASCII letter is a pre-token of its own, so such chunks share their stem's ids."""
+        stems = [c[:-1] if c[-1:] in b".," and c[-2:-1].isalpha() else c for c in chunks]
+        new = list(set(stems).difference(self))
+        for stem, found in zip(new, self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False), strict=True):
+            ids = found.ids
+            self[stem] = pack_ids(f"<{len(ids)}I", *ids)
+        for chunk, stem in zip(chunks, stems, strict=True):
+            if chunk is not stem:
+                self[chunk] = self[stem] + self.marks[chunk[-1]]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
+        # The tokenizer lowers case itself; only its special tokens, "<|...|>", are told apart by case before.
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         new = set().union(*split).difference(self)
         if len(self) + len(new) > self.most:
             for chunk in list(self)[self.most * 2 // 5 :]:
