@@ -154,7 +154,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 MULTIPLIER = 0x9E3779B97F4A7C15
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(MULTIPLIER))
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 @cache
@@ -164,7 +164,7 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 def hashed_words(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """64-bit hashes of the white-space words of the texts, and how many each text has, for about a megabyte at a time.
+    """64-bit hashes of the white-space words of the texts, and how many each text has, for half a megabyte at a time.
 
     A word's hash comes from differences of one running sum over all bytes, so there is no loop over words.
     """

@@ -12,6 +12,7 @@ already are done: that is why large groups of near copies cost no quadratic numb
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,7 @@ BUCKETS = 1 << 16
 CHUNKS = 4
 
 
-def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes | None], size: int) -> Iterator[np.ndarray]:
     """For each text, sorted distinct hashes of its word n-grams, A-Z in lower case; a shorter text is one shingle as a whole."""
 
     def combined(h: np.ndarray, k: int) -> np.ndarray:
@@ -35,14 +36,13 @@ def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
             total = mixed(total + h[i : i + len(total)])
         return total
 
-    out = []
-    for hashes, counts in hashed_words([(t or b"").lower() for t in texts]):
-        every = combined(hashes, size) if len(hashes) >= size else hashes[:0]
-        at = 0
-        for n in counts.tolist():
-            out.append(np.unique(every[at : at + n - size + 1]) if n >= size else combined(hashes[at : at + n], n) if n else hashes[:0])
-            at += n
-    return out
+    for start in range(0, len(texts), 500):
+        for hashes, counts in hashed_words([(t or b"").lower() for t in texts[start : start + 500]]):
+            every = combined(hashes, size) if len(hashes) >= size else hashes[:0]
+            at = 0
+            for n in counts.tolist():
+                yield np.unique(every[at : at + n - size + 1]) if n >= size else combined(hashes[at : at + n], n) if n else hashes[:0]
+                at += n
 
 
 def set_key(shingles: np.ndarray) -> int:
@@ -65,8 +65,13 @@ def folded(bits: bytes, width: int) -> np.ndarray:
     return out
 
 
+def brief(bits: bytes, n: int) -> bytes:
+    """The bitmap folded to at least n slots, an eighth as many bytes as the set has members: what tiles carry."""
+    return folded(bits, max(8, 1 << (n - 1).bit_length() >> 3)).tobytes()
+
+
 def summarise(docs: DataFrame, size: int) -> DataFrame:
-    """A row a document: (chunk null, doc_id, n, node, bits); and CHUNKS rows a batch: (chunk, part, bits: bucket counts)."""
+    """A row a document: (chunk null, doc_id, n, node, bits, small); and CHUNKS rows a batch: (chunk, part, bits: bucket counts)."""
 
     def make():
         from pyspark import TaskContext
@@ -82,11 +87,11 @@ def summarise(docs: DataFrame, size: int) -> DataFrame:
                 bits.append(bitmap(own) if len(own) else None)
                 np.add.at(load, (own & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
             rows = batch.num_rows
-            yield {"chunk": [None] * rows + list(range(CHUNKS)), "doc_id": batch.column(0).to_pylist() + [part] * CHUNKS, "n": n + [0] * CHUNKS, "node": nodes + [None] * CHUNKS, "bits": bits + [x.tobytes() for x in np.split(load, CHUNKS)]}
+            yield {"chunk": [None] * rows + list(range(CHUNKS)), "doc_id": batch.column(0).to_pylist() + [part] * CHUNKS, "n": n + [0] * CHUNKS, "node": nodes + [None] * CHUNKS, "bits": bits + [x.tobytes() for x in np.split(load, CHUNKS)], "small": [b and brief(b, m) for b, m in zip(bits, n, strict=True)] + [None] * CHUNKS}
 
         return step
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "chunk int, doc_id long, n long, node long, bits binary")
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "chunk int, doc_id long, n long, node long, bits binary, small binary")
 
 
 def crowded(loads: DataFrame, group: int = 64) -> np.ndarray:
@@ -191,8 +196,8 @@ def near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def tiles(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, best: int | None, block: int = 1024) -> DataFrame:
-    """(x, y): nodes of different components that share a key and may reach the similarity; for best, only each node's
-    best candidates in each other component of a tile."""
+    """(x, y): nodes of different components that share a key and may reach the similarity; with best, only a node's
+    so many best candidates in a tile, and `more` where there were others."""
     ratio = math.log(100 / percent)
     named = shared.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     over = Window.partitionBy("key")
@@ -205,7 +210,7 @@ def tiles(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int,
     rows = rows.join(sizes, ["key", "band"]).withColumn("blk", F.pmod(F.xxhash64("node"), "blocks"))
     cut = rows.select("key", "band", "node", "component", "own", "blk", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("other"))
     cut = cut.withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")).drop("other")
-    cut = cut.join(nodes.select("node", "n", "bits"), "node")
+    cut = cut.join(nodes.select("node", "n", "small"), "node")
 
     def compared():
         def step(group: pa.RecordBatch):
@@ -213,11 +218,12 @@ def tiles(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int,
             band, across = group.column("band")[0].as_py(), group.column("i")[0].as_py() != group.column("j")[0].as_py()
             if len(node) < 2 or (component == component[0]).all():
                 return
-            raw_bits = group.column("bits").to_pylist()
+            raw_bits = group.column("small").to_pylist()
             width = min(map(len, raw_bits))
             bits = np.stack([folded(b, width) for b in raw_bits]).view(np.uint64)
             xs: list[int] = []
             ys: list[int] = []
+            more = False
             for k in range(len(node) - 1):
                 fit = (component[k + 1 :] != component[k]) & ((own[k + 1 :] == band) | (own[k] == band))
                 if across:
@@ -229,15 +235,14 @@ def tiles(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int,
                 ok = overlap_ok(n[at], n[k], differ, percent)
                 at, differ = at[ok], differ[ok]
                 if best is not None and len(at) > best:
-                    order = np.argsort(differ, kind="stable")
-                    at = pd.Series(at[order]).groupby(component[at[order]], sort=False).head(best).to_numpy()
+                    at, more = at[np.argsort(differ, kind="stable")[:best]], True
                 xs += [int(node[k])] * len(at)
                 ys += node[at].tolist()
-            yield {"x": xs, "y": ys}
+            yield {"x": xs, "y": ys, "more": [more] * len(xs)}
 
         return step
 
-    return map_groups(cut.select("key", "band", "i", "j", "node", "n", "component", "own", "blk", "bits"), ["key", "band", "i", "j"], compared, "x long, y long").distinct()
+    return map_groups(cut.select("key", "band", "i", "j", "node", "n", "component", "own", "blk", "small"), ["key", "band", "i", "j"], compared, "x long, y long, more boolean").groupBy("x", "y").agg(F.bool_or("more").alias("more"))
 
 
 def classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -248,14 +253,14 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     null component. An empty table gives an empty result.
     """
     summary = durable(summarise(docs, size))
-    own = summary.filter("chunk is null").select("doc_id", "n", "node", "bits")
+    own = summary.filter("chunk is null").select("doc_id", "n", "node", "bits", "small")
     linked = own.filter("node is not null and doc_id is not null")
     hot = crowded(summary.filter("chunk is not null"))
     over = Window.partitionBy("key")
     keyed = prefixes(docs.filter("doc_id is not null"), size, percent, hot)
     # the smallest node of each shingle that more than one node has; copies of a set are one node
     shared = durable(keyed.withColumn("low", F.min("node").over(over)).withColumn("high", F.max("node").over(over)).filter("low < high").select("key", "node", "low"))
-    nodes = linked.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("bits").alias("bits"))
+    nodes = linked.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("bits").alias("bits"), F.min("small").alias("small"))
     nodes = durable(nodes)
     first = linked.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("doc_id", "a")
     links = linked.select("doc_id", F.col("node").alias("b")).join(first, "doc_id").filter("a < b").select("a", "b")  # one id, many texts
@@ -264,17 +269,18 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     labels = components(links)
     shared = durable(shared.select("key", "node").distinct())
     tested = None
-    for best in (2, None):  # the rest, if any, after the best
+    for best in (4, 4, None):  # the best join most; then all that is left, so none is lost
         found = durable(tiles(shared, nodes, labels, percent, best))
-        if tested is not None:
-            found = durable(found.join(tested, ["x", "y"], "left_anti"))
-        if found.isEmpty():
-            break
-        tested = found
-        new = verify(docs, nodes, found, size, percent)
+        more = not found.filter("more").isEmpty()
+        fresh = found.select("x", "y") if tested is None else found.select("x", "y").join(tested, ["x", "y"], "left_anti")
+        tested = found.select("x", "y")
+        passed = durable(near(fresh, nodes, percent))
+        new = verify(docs, nodes, passed, size, percent) if not passed.isEmpty() else passed.limit(0)
         if not new.isEmpty():
             links = durable(links.unionByName(new))
             labels = components(links)
+        if not more:
+            break
     lowest = linked.join(labels, "node").groupBy("component").agg(F.min("doc_id").alias("low"))
     named = durable(labels.join(lowest, "component").select("node", "low").unionByName(linked.join(labels, "node", "left_anti").groupBy("node").agg(F.min("doc_id").alias("low"))))
     return own.join(named, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("low", "doc_id")).alias("component_id"))
