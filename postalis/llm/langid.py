@@ -55,10 +55,10 @@ class Model:
 
 
 class Scorer:
-    """Rows of word scores, grown as words are met; back to the model's own beyond `most` words."""
+    """Rows of word scores, grown as words are met; back to the model's own beyond about most_numbers numbers."""
 
-    def __init__(self, model: Model, most: int = 200_000) -> None:
-        self.model, self.most = model, most
+    def __init__(self, model: Model, most_numbers: int = 4_000_000) -> None:
+        self.model, self.most = model, len(model.logs) + max(20_000, min(500_000, most_numbers // max(1, len(model.langs))))
         self.reset()
 
     def reset(self) -> None:
