@@ -71,3 +71,11 @@ def valid_digest(column: Column) -> Column:
 
 def evidence_key(evidence_id: Column, code: Column, latitude: Column, longitude: Column, source: Column) -> Column:
     return F.coalesce(evidence_id, F.concat_ws("|", code, F.format_string("%.7f", latitude), F.format_string("%.7f", longitude), source))
+
+
+def float_hex(value: Column) -> Column:
+    """A double in hexadecimal: 13 digits, signed exponent; zero as 0x0.0p+0. Not code-generated: for digests only."""
+    java = F.reflect(F.lit("java.lang.Double"), F.lit("toHexString"), value)
+    part = lambda i: F.regexp_extract(java, r"^(-?0x[01])\.([0-9a-f]+)p(-?)([0-9]+)$", i)
+    fraction = F.when(value == 0, F.lit("0")).otherwise(F.rpad(part(2), 13, "0"))
+    return F.concat(part(1), F.lit("."), fraction, F.lit("p"), F.when(part(3) == "", "+").otherwise("-"), part(4))

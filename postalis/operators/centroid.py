@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,3 +55,32 @@ def bounded_centroid(points: DataFrame, keys: list[str], min_samples: int, max_r
     """The robust centroid of what the outlier rule keeps, where there are enough points close enough together."""
     kept = mad_filter(points, keys, t).filter("retained").drop("retained")
     return robust_centroid(kept, keys).filter((F.col("evidence_count") >= min_samples) & (F.col("radius_km") <= max_radius_km))
+
+
+def evidence_digests(points: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, evidence_digest): SHA-256 of a group's distinct evidence as JSON of [identity, latitude, longitude], by
+    identity, places in hexadecimal. The bytes need Python's JSON escapes; rows come sorted and are hashed as they
+    pass, so a group may be of any size. A null identity reads as the source's."""
+    own = points.select(*(F.col(k).cast("string").alias(k) for k in keys), F.coalesce("evidence_id", "source").alias("_id"), "latitude", "longitude")
+    rows = own.dropDuplicates([*keys, "_id"]).repartition(*keys).sortWithinPartitions(*keys, "_id")
+    schema = ", ".join([*(f"`{k}` string" for k in keys), "evidence_digest string"])
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, digest, out = None, None, []
+        for frame in batches:
+            for *key, name, lat, lon in frame.itertuples(index=False, name=None):
+                if key != group:
+                    if group is not None:
+                        digest.update(b"]")
+                        out.append((*group, "sha256:" + digest.hexdigest()))
+                    group, digest = key, hashlib.sha256(b"[")
+                else:
+                    digest.update(b",")
+                digest.update(json.dumps([name, float(lat).hex(), float(lon).hex()], separators=(",", ":")).encode())
+            yield pd.DataFrame(out, columns=[*keys, "evidence_digest"])
+            out = []
+        if group is not None:
+            digest.update(b"]")
+            yield pd.DataFrame([(*group, "sha256:" + digest.hexdigest())], columns=[*keys, "evidence_digest"])
+
+    return rows.mapInPandas(fold, schema)

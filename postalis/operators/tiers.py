@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postalis.config import TIERS, Thresholds
-from postalis.functions import distance_km
+from postalis.functions import distance_km, in_bounds
 from postalis.operators.centroid import bounded_centroid
 
 ESTIMATE = ["latitude", "longitude", "evidence_count", "radius_km", "geo_source"]
@@ -23,6 +23,21 @@ def municipality_reference(localities: DataFrame) -> DataFrame:
     return rows.groupBy("ibge").agg(F.min("clat").alias("latitude"), F.min("clon").alias("longitude"), F.count("*").alias("evidence_count"), F.round(far, 3).alias("radius_km")).withColumn("geo_source", F.lit("ibge-localidades"))
 
 
+def administrative_reference(localities: DataFrame, codes: DataFrame, category: str = "Distrito Estadual de Fernando de Noronha") -> DataFrame:
+    """Reference of the requested codes (ibge) from the localities of one category, whose mean is the point. All
+    localities of those codes must lie in bounds, whatever their category; bounds_problems has those that don't."""
+    rows = localities.join(codes.select("ibge").distinct(), "ibge", "left_semi").filter(F.col("category") == category)
+    mean = rows.groupBy("ibge").agg(F.avg("latitude").alias("clat"), F.avg("longitude").alias("clon"))
+    far = F.max(distance_km(F.col("clat"), F.col("clon"), F.col("latitude"), F.col("longitude")))
+    own = rows.join(mean, "ibge").groupBy("ibge").agg(F.min("clat").alias("latitude"), F.min("clon").alias("longitude"), F.count("*").alias("evidence_count"), F.round(far, 3).alias("radius_km"))
+    return own.withColumn("geo_source", F.lit("ibge-localidades-administrative"))
+
+
+def bounds_problems(localities: DataFrame, codes: DataFrame) -> DataFrame:
+    rows = localities.join(codes.select("ibge").distinct(), "ibge", "left_semi")
+    return rows.filter(~F.coalesce(in_bounds(F.col("latitude"), F.col("longitude")), F.lit(False)))
+
+
 def ibge_conflicts(addresses: DataFrame, first_party: DataFrame) -> DataFrame:
     """(cep, evidence_id, asserted, target): evidence that names another municipality than its code's."""
     both = first_party.filter("ibge is not null").select("cep", "evidence_id", F.col("ibge").alias("asserted")).join(addresses.select("cep", F.col("ibge").alias("target")), "cep")

@@ -117,4 +117,12 @@ SQL = {
     "sorted_unique_check": f"SELECT position, cep FROM (SELECT c_custkey AS position, CASE WHEN c_custkey % 40 = 0 THEN '00000000' ELSE {T.CEP.format('c_custkey')} END AS cep, lag(CASE WHEN c_custkey % 40 = 0 THEN '00000000' ELSE {T.CEP.format('c_custkey')} END) OVER (ORDER BY c_custkey) AS p FROM customer) WHERE cep <= p",
     "needed_codes": BASE + " SELECT cep, ibge FROM addr WHERE cep IN (SELECT cep FROM osm)",
     "row_contract_violations": BASE + f" SELECT cep, array_to_string(list_filter([CASE WHEN NOT (latitude IS NULL OR (latitude BETWEEN -34 AND 5.5e0 AND longitude BETWEEN -74 AND -28)) THEN 'bounds' END, CASE WHEN NOT (latitude IS NULL OR evidence_count > 0) THEN 'count' END, CASE WHEN street IS NULL THEN 'street' END, CASE WHEN substr(ibge, 1, 2) IS DISTINCT FROM ({STATE_CODE}) THEN 'uf' END], lambda x: x IS NOT NULL), ',') AS failed FROM art WHERE failed <> ''",
+    "bounded_centroid": BASE + f", fpp AS (SELECT *, substr(cep, 1, 5) AS prefix FROM fp), {median_chain('b1', 'fpp', 'prefix', 3, 25.0)} SELECT prefix, {POINT} FROM b1",
+    "administrative_reference": BASE + f""", v AS (SELECT *, avg(latitude) OVER (PARTITION BY ibge) AS clat, avg(longitude) OVER (PARTITION BY ibge) AS clon FROM loc WHERE category = 'Povoado' AND ibge < '3')
+        SELECT ibge, round(min(clat), 9) AS latitude, round(min(clon), 9) AS longitude, count(*) AS evidence_count, round(max({km('clat', 'clon', 'latitude', 'longitude')}), 3) AS radius_km, 'ibge-localidades-administrative' AS geo_source FROM v GROUP BY 1""",
+    "tier_municipality": BASE + f" SELECT cep, {POINT} FROM addr JOIN muni USING (ibge)",
+    "target_lookup": BASE + " SELECT o.evidence_id, a.ibge FROM osm o LEFT JOIN addr a USING (cep)",
+    "corrections_apply": BASE + " SELECT 'v1/' || cep || '.json' AS member, CASE WHEN substr(cep, 8) = '1' THEN 'fixed ' || uf ELSE city END AS localidade, CASE WHEN substr(cep, 8) = '0' THEN 'fixed ' || uf ELSE uf END AS uf FROM addr",
+    "correction_violations": BASE + " SELECT 'v1/' || cep || '.json' AS member, CASE WHEN cep = '01000037' THEN 'unused' ELSE 'stale' END AS problem FROM addr WHERE substr(cep, 8) = '2' OR (cep = '01000037' AND substr(cep, 8) IN ('0', '1', '2'))",
+    "observations_parse": BASE + ", k AS (SELECT cast(substr(evidence_id, 7) AS bigint) AS n, evidence_id FROM fp) SELECT CASE WHEN n % 31 = 0 THEN 'invalid code' WHEN n % 29 = 0 THEN 'invalid municipality' WHEN n % 23 = 0 THEN 'invalid place' ELSE 'none' END AS problem, count(*) AS n, count(DISTINCT evidence_id) AS identities FROM k GROUP BY 1",
 }

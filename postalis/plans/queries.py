@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postalis import functions as fn
 from postalis.operators import centroid, containment, evaluation, gates, lookup, refresh, tiers
 from postalis.plans import testdata as T
+from postalis.sources import records
 
 QUERIES = {}
 
@@ -281,3 +282,61 @@ def row_contract_violations(v):
         uf=F.substring("ibge", 1, 2).eqNullSafe(fn.state_code(F.col("uf"))),
     )
     return v.artifact().select("cep", F.array_join(failed, ",").alias("failed")).filter("failed <> ''")
+
+
+@query
+def bounded_centroid(v):
+    return centroid.bounded_centroid(v.fp.withColumn("prefix", F.substring("cep", 1, 5)), ["prefix"], 3, 25.0).select("prefix", *point())
+
+
+@query
+def administrative_reference(v):
+    codes = v.localities.filter("ibge < '3'").select("ibge")
+    return tiers.administrative_reference(v.localities, codes, "Povoado").select("ibge", *point())
+
+
+@query
+def tier_municipality(v):
+    return v.addr.select("cep", "ibge").join(v.muni(), "ibge").select("cep", *point())
+
+
+@query
+def target_lookup(v):
+    return containment.targets(v.osm, v.addr).select("evidence_id", "ibge")
+
+
+def filed(v):
+    """Addresses as records of a file each, whose digest stands for its content."""
+    own = v.addr.select(F.concat(F.lit("v1/"), "cep", F.lit(".json")).alias("member"), F.sha2("cep", 256).alias("sha256"), "cep", F.col("city").alias("localidade"), "uf")
+    last = F.substring("cep", 8, 1).cast("int")
+    stale = F.when(last == 2, F.lit("0" * 64)).otherwise(F.col("sha256"))
+    fixes = own.filter(last < 3).select("member", stale.alias("source_sha256"), F.when(last == 1, "localidade").otherwise("uf").alias("field"), F.when(last == 1, F.col("localidade")).otherwise(F.col("uf")).alias("from"), F.concat(F.lit("fixed "), F.col("uf")).alias("to"), F.lit("test").alias("reason"))
+    return own, fixes
+
+
+@query
+def corrections_apply(v):
+    own, fixes = filed(v)
+    return records.correct(own, fixes, ["cep", "localidade", "uf"]).select("member", "localidade", "uf")
+
+
+@query
+def correction_violations(v):
+    own, fixes = filed(v)
+    return records.correction_violations(own.filter("cep <> '01000037'"), fixes, ["cep", "localidade", "uf"])
+
+
+@query
+def observations_parse(v):
+    """Evidence written as text columns, some of it broken, and parsed again."""
+    n = F.substring("evidence_id", 7, 20).cast("long")
+    text = v.fp.select(
+        F.when(n % 31 == 0, "123").otherwise(F.concat(F.substring("cep", 1, 5), F.lit("-"), F.substring("cep", 6, 3))).alias("cep"), F.when(n % 29 == 0, "12").otherwise(F.col("ibge")).alias("ibge"), "source",
+        F.when(n % 23 == 0, "far").otherwise(F.col("latitude").cast("string")).alias("latitude"), F.col("longitude").cast("string").alias("longitude"), "evidence_id",
+    )
+    return records.parse_observations(text).groupBy(F.coalesce("problem", F.lit("none")).alias("problem")).agg(F.count("*").alias("n"), F.countDistinct("evidence_id").alias("identities"))
+
+
+@query
+def evidence_digest(v):
+    return centroid.evidence_digests(v.fp, ["cep"])
