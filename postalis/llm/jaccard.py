@@ -2,11 +2,12 @@
 
 A document is the set of its word shingles, as sorted 64-bit hashes; equal sets are one node. Two sets with Jaccard
 similarity t share one of the first n - ceil(t n) + 1 shingles of each, in any common order: here shingles of crowded
-hash buckets (counted over all documents) come last. Nodes that share such a shingle meet in a tile. First each node is
-held against the smallest node of its tile; what is still in different components is then compared within tiles of one
-shingle and one size band, cut into blocks. Parity bitmaps bound the overlap from above (their differing bits never
-exceed the differing shingles); what passes is verified on the sets themselves. Tiles whose nodes are all connected
-already are done: that is why large groups of near copies cost no quadratic number of pairs.
+hash buckets (counted over all documents) come last. Nodes that share such a shingle meet in a tile, and shingles with
+the same nodes make one tile: it is named by a hash of its nodes, and a clash of names only joins two tiles. First each
+node is held against the smallest node of its tile; what is still in different components is then compared within tiles
+of one size band, cut into blocks. Parity bitmaps bound the overlap from above (their differing bits never exceed the
+differing shingles); what passes is verified on the sets themselves. Tiles whose nodes are all connected already are
+done: that is why large groups of near copies cost no quadratic number of pairs.
 """
 
 from __future__ import annotations
@@ -52,8 +53,8 @@ def set_key(shingles: np.ndarray) -> int:
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """Parity of the shingles in each of at least 4 n slots."""
-    width = max(64, 1 << (4 * len(shingles) - 1).bit_length())
+    """Parity of the shingles in each of at least n slots: an eighth to a quarter of a byte a shingle."""
+    width = max(64, 1 << (len(shingles) - 1).bit_length())
     slots = (shingles >> np.uint64(16)).astype(np.int64) & (width - 1)
     return np.packbits(np.bincount(slots, minlength=width) & 1).astype(np.uint8).tobytes()
 
@@ -65,13 +66,8 @@ def folded(bits: bytes, width: int) -> np.ndarray:
     return out
 
 
-def brief(bits: bytes, n: int) -> bytes:
-    """The bitmap folded to at least n slots, an eighth as many bytes as the set has members: what tiles carry."""
-    return folded(bits, max(8, 1 << (n - 1).bit_length() >> 3)).tobytes()
-
-
 def summarise(docs: DataFrame, size: int) -> DataFrame:
-    """A row a document: (chunk null, doc_id, n, node, bits, small); and CHUNKS rows a batch: (chunk, part, bits: bucket counts)."""
+    """A row a document: (chunk null, doc_id, n, node, bits); and CHUNKS rows a batch: (chunk, part, bits: bucket counts)."""
 
     def make():
         from pyspark import TaskContext
@@ -87,11 +83,11 @@ def summarise(docs: DataFrame, size: int) -> DataFrame:
                 bits.append(bitmap(own) if len(own) else None)
                 np.add.at(load, (own & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
             rows = batch.num_rows
-            yield {"chunk": [None] * rows + list(range(CHUNKS)), "doc_id": batch.column(0).to_pylist() + [part] * CHUNKS, "n": n + [0] * CHUNKS, "node": nodes + [None] * CHUNKS, "bits": bits + [x.tobytes() for x in np.split(load, CHUNKS)], "small": [b and brief(b, m) for b, m in zip(bits, n, strict=True)] + [None] * CHUNKS}
+            yield {"chunk": [None] * rows + list(range(CHUNKS)), "doc_id": batch.column(0).to_pylist() + [part] * CHUNKS, "n": n + [0] * CHUNKS, "node": nodes + [None] * CHUNKS, "bits": bits + [x.tobytes() for x in np.split(load, CHUNKS)]}
 
         return step
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "chunk int, doc_id long, n long, node long, bits binary, small binary")
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "chunk int, doc_id long, n long, node long, bits binary")
 
 
 def crowded(loads: DataFrame, group: int = 64) -> np.ndarray:
@@ -138,7 +134,7 @@ def prefixes(docs: DataFrame, size: int, percent: int, hot: np.ndarray) -> DataF
 
 def overlap_ok(n: np.ndarray, m: np.ndarray, differ: np.ndarray, percent: int) -> np.ndarray:
     """Whether sets of n and m shingles that differ in at least `differ` places can reach the similarity."""
-    shared = (n + m - differ) // 2
+    shared = (n + m - np.maximum(differ, np.abs(n - m))) // 2
     return 100 * shared >= percent * (n + m - shared)
 
 
@@ -196,21 +192,20 @@ def near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def tiles(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, best: int | None, block: int = 1024) -> DataFrame:
-    """(x, y): nodes of different components that share a key and may reach the similarity; with best, only a node's
-    so many best candidates in a tile, and `more` where there were others."""
+    """(x, y): nodes of different components that share a tile and may reach the similarity; with best, only a node's
+    so many best candidates in a tile, and `more` where there were others. shared: (tile, node, n)."""
     ratio = math.log(100 / percent)
-    named = shared.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    over = Window.partitionBy("key")
-    mixed_ = named.withColumn("lo", F.min("component").over(over)).withColumn("hi", F.max("component").over(over)).filter("lo < hi").drop("lo", "hi")
-    band = F.floor(F.log("n") / ratio + 1e-9).cast("long")
-    rows = mixed_.join(nodes.select("node", "n"), "node").withColumn("own", band)
-    rows = durable(rows.select("key", "node", "component", "own", F.explode(F.array("own", F.col("own") + 1)).alias("band")))
-    sizes = rows.groupBy("key", "band").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("own").alias("top"))
-    sizes = sizes.filter("lo < hi and top = band").select("key", "band", F.ceil(F.col("m") / block).cast("long").alias("blocks"))
-    rows = rows.join(sizes, ["key", "band"]).withColumn("blk", F.pmod(F.xxhash64("node"), "blocks"))
-    cut = rows.select("key", "band", "node", "component", "own", "blk", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("other"))
+    named = shared.join(labels, "node", "left").select("tile", "node", "n", F.coalesce("component", "node").alias("component"))
+    over = Window.partitionBy("tile")
+    open_ = named.withColumn("lo", F.min("component").over(over)).withColumn("hi", F.max("component").over(over)).filter("lo < hi").drop("lo", "hi")
+    rows = open_.withColumn("own", F.floor(F.log("n") / ratio + 1e-9).cast("long"))
+    rows = durable(rows.select("tile", "node", "n", "component", "own", F.explode(F.array("own", F.col("own") + 1)).alias("band")))
+    sizes = rows.groupBy("tile", "band").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("own").alias("top"))
+    sizes = sizes.filter("lo < hi and top = band").select("tile", "band", F.ceil(F.col("m") / block).cast("long").alias("blocks"))
+    rows = rows.join(sizes, ["tile", "band"]).withColumn("blk", F.pmod(F.xxhash64("node"), "blocks"))
+    cut = rows.select("tile", "band", "node", "n", "component", "own", "blk", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("other"))
     cut = cut.withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")).drop("other")
-    cut = cut.join(nodes.select("node", "n", "small"), "node")
+    cut = cut.join(nodes.select("node", "bits"), "node")
 
     def compared():
         def step(group: pa.RecordBatch):
@@ -218,7 +213,7 @@ def tiles(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int,
             band, across = group.column("band")[0].as_py(), group.column("i")[0].as_py() != group.column("j")[0].as_py()
             if len(node) < 2 or (component == component[0]).all():
                 return
-            raw_bits = group.column("small").to_pylist()
+            raw_bits = group.column("bits").to_pylist()
             width = min(map(len, raw_bits))
             bits = np.stack([folded(b, width) for b in raw_bits]).view(np.uint64)
             xs: list[int] = []
@@ -242,7 +237,7 @@ def tiles(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int,
 
         return step
 
-    return map_groups(cut.select("key", "band", "i", "j", "node", "n", "component", "own", "blk", "small"), ["key", "band", "i", "j"], compared, "x long, y long, more boolean").groupBy("x", "y").agg(F.bool_or("more").alias("more"))
+    return map_groups(cut.select("tile", "band", "i", "j", "node", "n", "component", "own", "blk", "bits"), ["tile", "band", "i", "j"], compared, "x long, y long, more boolean").groupBy("x", "y").agg(F.bool_or("more").alias("more"))
 
 
 def classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -253,30 +248,30 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     null component. An empty table gives an empty result.
     """
     summary = durable(summarise(docs, size))
-    own = summary.filter("chunk is null").select("doc_id", "n", "node", "bits", "small")
+    own = summary.filter("chunk is null").select("doc_id", "n", "node", "bits")
     linked = own.filter("node is not null and doc_id is not null")
     hot = crowded(summary.filter("chunk is not null"))
     over = Window.partitionBy("key")
     keyed = prefixes(docs.filter("doc_id is not null"), size, percent, hot)
-    # the smallest node of each shingle that more than one node has; copies of a set are one node
-    shared = durable(keyed.withColumn("low", F.min("node").over(over)).withColumn("high", F.max("node").over(over)).filter("low < high").select("key", "node", "low"))
-    nodes = linked.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("bits").alias("bits"), F.min("small").alias("small"))
+    # the tile and smallest node of each shingle that more than one node has; copies of a set are one node
+    met = keyed.withColumn("low", F.min("node").over(over)).withColumn("high", F.max("node").over(over)).withColumn("all", F.bit_xor(F.xxhash64("node")).over(over)).filter("low < high")
+    shared = durable(met.select(F.xxhash64("low", "high", "all").alias("tile"), "node", "low").distinct())
+    nodes = linked.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("bits").alias("bits"))
     nodes = durable(nodes)
     first = linked.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("doc_id", "a")
     links = linked.select("doc_id", F.col("node").alias("b")).join(first, "doc_id").filter("a < b").select("a", "b")  # one id, many texts
     stars = near(shared.filter("node <> low").select(F.col("node").alias("x"), F.col("low").alias("y")).distinct(), nodes, percent)
     links = durable(links.unionByName(verify(docs, nodes, stars, size, percent)))
     labels = components(links)
-    shared = durable(shared.select("key", "node").distinct())
+    shared = durable(shared.select("tile", "node").distinct().join(nodes.select("node", "n"), "node"))
     tested = None
     for best in (4, 4, None):  # the best join most; then all that is left, so none is lost
         found = durable(tiles(shared, nodes, labels, percent, best))
         more = not found.filter("more").isEmpty()
         fresh = found.select("x", "y") if tested is None else found.select("x", "y").join(tested, ["x", "y"], "left_anti")
         tested = found.select("x", "y")
-        passed = durable(near(fresh, nodes, percent))
-        new = verify(docs, nodes, passed, size, percent) if not passed.isEmpty() else passed.limit(0)
-        if not new.isEmpty():
+        fresh = durable(fresh)
+        if not fresh.isEmpty() and not (new := verify(docs, nodes, fresh, size, percent)).isEmpty():
             links = durable(links.unionByName(new))
             labels = components(links)
         if not more:
