@@ -192,8 +192,8 @@ def near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def tiles(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, best: int | None, block: int = 1024) -> DataFrame:
-    """(x, y): nodes of different components that share a tile and may reach the similarity; with best, only a node's
-    so many best candidates in a tile, and `more` where there were others. shared: (tile, node, n)."""
+    """(tile, x, y, more): nodes of different components that share a tile and may reach the similarity; with best, only
+    a node's so many best candidates in a tile, and `more` on a tile's rows where there were others. shared: (tile, node, n)."""
     ratio = math.log(100 / percent)
     named = shared.join(labels, "node", "left").select("tile", "node", "n", F.coalesce("component", "node").alias("component"))
     over = Window.partitionBy("tile")
@@ -233,11 +233,11 @@ def tiles(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int,
                     at, more = at[np.argsort(differ, kind="stable")[:best]], True
                 xs += [int(node[k])] * len(at)
                 ys += node[at].tolist()
-            yield {"x": xs, "y": ys, "more": [more] * len(xs)}
+            yield {"tile": [group.column("tile")[0].as_py()] * len(xs), "x": xs, "y": ys, "more": [more] * len(xs)}
 
         return step
 
-    return map_groups(cut.select("tile", "band", "i", "j", "node", "n", "component", "own", "blk", "bits"), ["tile", "band", "i", "j"], compared, "x long, y long, more boolean").groupBy("x", "y").agg(F.bool_or("more").alias("more"))
+    return map_groups(cut.select("tile", "band", "i", "j", "node", "n", "component", "own", "blk", "bits"), ["tile", "band", "i", "j"], compared, "tile long, x long, y long, more boolean")
 
 
 def classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -265,11 +265,14 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     labels = components(links)
     shared = durable(shared.select("tile", "node").distinct().join(nodes.select("node", "n"), "node"))
     tested = None
-    for best in (4, 4, None):  # the best join most; then all that is left, so none is lost
+    for best in (4, 4, None):  # the best join most; then all that is left of tiles that had more, so none is lost
         found = durable(tiles(shared, nodes, labels, percent, best))
-        more = not found.filter("more").isEmpty()
-        fresh = found.select("x", "y") if tested is None else found.select("x", "y").join(tested, ["x", "y"], "left_anti")
-        tested = found.select("x", "y")
+        rest = found.filter("more").select("tile").distinct()
+        more = not rest.isEmpty()
+        shared = shared.join(rest, "tile", "left_semi")
+        pairs = found.select("x", "y").distinct()
+        fresh = pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti")
+        tested = pairs if tested is None else tested.unionByName(fresh)
         fresh = durable(fresh)
         if not fresh.isEmpty() and not (new := verify(docs, nodes, fresh, size, percent)).isEmpty():
             links = durable(links.unionByName(new))
