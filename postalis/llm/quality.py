@@ -2,7 +2,7 @@
 
 Lines are normalised and hashed with their host (the source); a line that stands in too many different documents of
 its host is boilerplate and is removed; a document left with too little of its words is rejected. Copies of a document
-count once, by the hashes of the neighbouring lines: mass copies are for deduplication to judge, not boilerplate.
+count once, by the hash of their whole normalised text: mass copies are for deduplication to judge, not boilerplate.
 """
 
 from __future__ import annotations
@@ -50,22 +50,22 @@ def removed_lines(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """(line long): keys of the lines above the limits, from all documents."""
 
     def make():
+        from xxhash import xxh3_64_intdigest
+
         def step(batch: pa.RecordBatch):
-            lines, contexts, hosts = [], [], []
+            lines, texts, hosts = [], [], []
             for text, source in zip(raw(batch.column(0)), raw(batch.column(1)), strict=True):
                 host = host_bytes(source)
-                keys = [k for k, _ in line_keys(text or b"", host)]
-                seen = {}
-                for i, k in enumerate(keys):
-                    seen.setdefault(k, hash((keys[i - 1] if i else 0, keys[i + 1] if i + 1 < len(keys) else 0)))
-                lines += seen.keys()
-                contexts += seen.values()
+                keys = np.array([k for k, _ in line_keys(text or b"", host)], np.int64)
+                seen = dict.fromkeys(keys.tolist())
+                lines += seen
+                texts += [xxh3_64_intdigest(keys.tobytes()) - (1 << 63)] * len(seen)
                 hosts += [zlib.crc32(host)] * len(seen)
-            yield {"line": lines, "context": contexts, "host": hosts}
+            yield {"line": lines, "text": texts, "host": hosts}
 
         return step
 
-    rows = map_arrow(docs.select(F.col("text").cast("string"), F.col("source").cast("string")), make, "line long, context long, host long")
+    rows = map_arrow(docs.select(F.col("text").cast("string"), F.col("source").cast("string")), make, "line long, text long, host long")
     hosts = docs.groupBy(F.crc32(F.coalesce(F.concat(F.lit("\2"), F.col("source")), F.lit("\1")).cast("binary")).alias("host")).agg(F.count("*").alias("docs"))
     counts = rows.distinct().groupBy("line", "host").agg(F.count("*").alias("n")).filter(F.col("n") > rules.line_docs)
     return counts.join(hosts, "host").filter(F.col("n") > rules.line_share * F.col("docs")).select("line")
