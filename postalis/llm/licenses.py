@@ -1,9 +1,10 @@
 """Licence scans by a positional rare-token index.
 
-Templates are short licence texts. Document frequencies of their words are counted over all documents; a file's rarest
-licence words are looked up in the templates' postings, each hit votes for the place where that template would start,
-and a start with enough votes is checked word by word and for the template's mandatory phrase. Beside that, base
-labels come from fixed phrases.
+Templates are short licence texts. Document frequencies of their words are counted over all documents; of each template
+that a file can hold, the rarest words are looked up in the template's postings, each hit votes with the word's weight
+for the place where the template would start, and a start whose votes can reach the least score together with all the
+other words is checked word by word and for the template's mandatory phrase. No start that reaches the least score
+is left out. Beside that, base labels come from fixed phrases.
 """
 
 from __future__ import annotations
@@ -58,14 +59,20 @@ class Index:
         self.labels = [t[0] for t in TEMPLATES]
         self.words = [t[1].encode().split() for t in TEMPLATES]
         self.must = [t[2].encode().split() for t in TEMPLATES]
-        self.idf = {w: math.log((1 + n_docs) / (1 + frequency.get(w, 0))) for words in self.words for w in words}
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for t, words in enumerate(self.words):
-            for at, w in enumerate(words):
-                self.postings[w].append((t, at))
+        idf = {w: math.log((1 + n_docs) / (1 + frequency.get(w, 0))) for words in self.words for w in words}
+        self.weights = [{w: idf[w] + 1e-9 for w in words} for words in self.words]
+        self.total = [sum(weight[w] for w in words) for words, weight in zip(self.words, self.weights, strict=True)]
+        self.rare = [sorted(weight, key=lambda w: (-weight[w], w)) for weight in self.weights]
+        self.postings: list[dict[bytes, list[int]]] = []
+        for words in self.words:
+            self.postings.append({w: [at for at, x in enumerate(words) if x == w] for w in words})
         self.needs = [frozenset(must) for must in self.must]
         self.phrases = [(p.encode().split(), label) for p, label in PHRASES.items()]
 
+    def near(self, t: int, least: float) -> float:
+        """Weight that the least score needs, less what rounding of sums may take."""
+        return least * self.total[t] * (1 - 1e-9)
+
     def base(self, words: list[bytes], distinct: set[bytes]) -> list[tuple[int, str]]:
         found = []
         for phrase, label in self.phrases:
@@ -73,31 +80,35 @@ class Index:
                 found += [(at, label) for at, w in enumerate(words) if w == phrase[0] and words[at : at + len(phrase)] == phrase]
         return found
 
-    def matches(self, words: list[bytes], distinct: set[bytes], rarest: int, votes: float) -> dict[str, float]:
-        """label -> share of a template's weight that stands in place, of its best verified start.
+    def matches(self, words: list[bytes], distinct: set[bytes], rarest: int, least: float) -> dict[str, float]:
+        """label -> share of a template's weight that stands in place, of its best verified start, where `least` or more.
 
         A template whose mandatory phrase has a word that the file lacks can't be verified, so its postings are skipped.
         """
-        able = {t for t, need in enumerate(self.needs) if need <= distinct}
-        if not able:
-            return {}
-        top = set(sorted((w for w in distinct if any(t in able for t, _ in self.postings.get(w, ()))), key=lambda w: (-self.idf[w], w))[:rarest])
+        able = [t for t, need in enumerate(self.needs) if need <= distinct]
+        places: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        rest: dict[int, float] = {}  # weight of a template's words in the file that don't vote
+        for t in able:
+            rest[t] = sum(self.weights[t][w] for w in self.words[t] if w in distinct)
+            for nth, w in enumerate(self.rare[t]):
+                if nth >= rarest and rest[t] < self.near(t, least):  # without a vote a start can't reach the least score
+                    break
+                if w in distinct:
+                    rest[t] -= self.weights[t][w] * len(self.postings[t][w])
+                    places[w] += [(t, at) for at in self.postings[t][w]]
         starts: Counter = Counter()
         for at, w in enumerate(words):
-            if w in top:
-                for t, place in self.postings[w]:
-                    if t in able:
-                        starts[t, at - place] += 1
+            for t, place in places.get(w, ()):
+                starts[t, at - place] += self.weights[t][w]
         out: dict[str, float] = {}
-        for (t, start), n in starts.items():
-            template, must = self.words[t], self.must[t]
-            if n < max(1, votes * sum(w in top for w in template)):
+        for (t, start), voted in starts.items():
+            if voted + rest[t] < self.near(t, least):
                 continue
-            weight = [self.idf[w] + 1e-9 for w in template]
-            have = sum(x for k, (w, x) in enumerate(zip(template, weight, strict=True)) if 0 <= start + k < len(words) and words[start + k] == w)
+            template, must, weight = self.words[t], self.must[t], self.weights[t]
+            have = sum(weight[w] for k, w in enumerate(template) if 0 <= start + k < len(words) and words[start + k] == w)
             low, high = max(0, start), start + len(template)
-            if any(words[k : k + len(must)] == must for k in range(low, high - len(must) + 1)):
-                out[self.labels[t]] = max(out.get(self.labels[t], 0.0), have / sum(weight))
+            if (share := have / self.total[t]) >= least and any(words[k : k + len(must)] == must for k in range(low, high - len(must) + 1)):
+                out[self.labels[t]] = max(out.get(self.labels[t], 0.0), share)
         return out
 
 
@@ -120,7 +131,7 @@ def frequencies(docs: DataFrame) -> tuple[dict[bytes, int], int]:
     return counts, counts.pop(b"", 0)
 
 
-def scan(docs: DataFrame, rarest: int = 16, votes: float = 0.6, least: float = 0.6) -> DataFrame:
+def scan(docs: DataFrame, rarest: int = 16, least: float = 0.6) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score).
 
     docs needs doc_id and text. Null and empty texts have no words, no labels ('') and score 0; first_word and
@@ -138,7 +149,7 @@ def scan(docs: DataFrame, rarest: int = 16, votes: float = 0.6, least: float = 0
                 words = words_of(text)
                 distinct = set(words)
                 base = known.base(words, distinct)
-                own = {label: s for label, s in known.matches(words, distinct, rarest, votes).items() if s >= least}
+                own = known.matches(words, distinct, rarest, least)
                 fixed = sorted({label for _, label in base})
                 places = [at for at, _ in base]
                 found.append((len(words), len(base), min(places, default=None), max(places, default=None), ",".join(fixed), ",".join(sorted({*fixed, *own})), 1.0 if base else min(1.0, max(own.values(), default=0.0))))
