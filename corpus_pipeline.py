@@ -36,8 +36,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each class, once. Only documents that go, or stand twice, are shuffled."""
-    found = durable(jaccard.classes(docs).filter("doc_id is not null"))
+    """The document of the smallest id of each class (five-word shingles, similarity 0.8 or more), once. Only documents
+    that go, or stand twice, are shuffled."""
+    found = durable(jaccard.classes(docs, size=5, percent=80).filter("doc_id is not null"))
     odd = durable(found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("n")).filter("n > 1 or first <> doc_id"))
     bits = id_bits(odd, "doc_id")
     rows = docs.select(*COLUMNS)
