@@ -7,7 +7,6 @@ count once, by the hash of their whole normalised text: mass copies are for dedu
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +25,8 @@ class Rules:
     least_words: int = 10
     most_repeated: int = 20  # per cent of words in repeated 5-word windows
     line_docs: int = 20  # a line in more different documents of one host than this,
-    line_share: float = 0.005  # and in more than this share of the host's documents, is removed
+    line_share: float = 0.005  # and in more than this share of the host's different documents,
+    line_most: int = 100  # or in more than this many however large the host, is removed
     least_left: float = 0.3  # share of its words that a document must keep
     broadcast_lines: int = 500_000  # removed lines that are sent to all executors; beyond, they are joined
 
@@ -57,18 +57,21 @@ def removed_lines(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
             for text, source in zip(raw(batch.column(0)), raw(batch.column(1)), strict=True):
                 host = host_bytes(source)
                 keys = np.array([k for k, _ in line_keys(text or b"", host)], np.int64)
-                seen = dict.fromkeys(keys.tolist())
+                key = xxh3_64_intdigest(host + b"\0") - (1 << 63)
+                seen = dict.fromkeys([key, *keys.tolist()])
                 lines += seen
                 texts += [xxh3_64_intdigest(keys.tobytes()) - (1 << 63)] * len(seen)
-                hosts += [zlib.crc32(host)] * len(seen)
+                hosts += [key] * len(seen)
             yield {"line": lines, "text": texts, "host": hosts}
 
         return step
 
     rows = map_arrow(docs.select(F.col("text").cast("string"), F.col("source").cast("string")), make, "line long, text long, host long")
-    hosts = docs.groupBy(F.crc32(F.coalesce(F.concat(F.lit("\2"), F.col("source")), F.lit("\1")).cast("binary")).alias("host")).agg(F.count("*").alias("docs"))
-    counts = rows.distinct().groupBy("line", "host").agg(F.count("*").alias("n")).filter(F.col("n") > rules.line_docs)
-    return counts.join(hosts, "host").filter(F.col("n") > rules.line_share * F.col("docs")).select("line")
+    # each text also has its host's empty line, which counts the host's different texts
+    counts = durable(rows.distinct().groupBy("line", "host").agg(F.count("*").alias("n")).filter((F.col("line") == F.col("host")) | (F.col("n") > rules.line_docs)))
+    hosts = counts.filter("line = host").select("host", F.col("n").alias("docs"))
+    limit = F.greatest(F.lit(rules.line_docs), F.least(rules.line_share * F.col("docs"), F.lit(rules.line_most)))
+    return counts.filter("line <> host").join(hosts, "host").filter(F.col("n") > limit).select("line")
 
 
 def repeated_words(words: list[bytes]) -> int:

@@ -19,3 +19,12 @@ def test_blocks_of_lines_in_different_documents(spark, broadcast_lines):
     assert all((got[i].n_removed_lines, got[i].kept, got[i].clean_text) == (6, True, f"story {i} {BODY}") for i in range(40))
     assert all((got[100 + i].n_removed_lines, got[100 + i].kept) == (6, False) for i in range(40))
     assert all((got[200 + i].n_removed_lines, got[200 + i].kept) == (0, True) for i in range(40))
+
+
+def test_hot_and_small_hosts_and_copies_of_other_texts(spark):
+    rows = [(i, ("Read more of this\n" if i < 150 else "") + f"story {i} {BODY}", "hot") for i in range(32_000)]
+    rows += [(40_000 + i, ("Read more of this\n" if i < 30 else "") + f"story {i} {BODY}", "small") for i in range(60)]
+    rows += [(50_000 + i, "Read more of this\n" + f"story {i} {BODY}", "copies") for i in range(30)] + [(60_000 + i, BODY, "copies") for i in range(8_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(8)
+    got = {r.doc_id for r in quality.judge(frame).filter("n_removed_lines = 1").collect()}
+    assert got == {*range(150), *range(40_000, 40_030), *range(50_000, 50_030)}
