@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -36,42 +37,61 @@ def to_batch(columns: dict, target: pa.Schema) -> pa.RecordBatch:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder, which driver and executors share; a new one of this machine only if unset."""
+    """The session's checkpoint folder, which driver and executors share. Only a session in one process, as in tests,
+    gets a new folder of its machine if none is set; on a cluster that is an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="postalis-checkpoint-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="postalis-checkpoint-"))
     return context.getCheckpointDir()
 
 
-#: Bits of an id filter; a wrong hit costs some work, never a result.
-FILTER_BITS = 1 << 23
+class Scratch:
+    """Intermediate tables as Parquet in the shared folder: they cut lineage as a checkpoint does, but are compressed,
+    read by column, and deleted once nothing reads them."""
 
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.folder = spark, f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+        self.n = 0
 
-def id_bits(ids: DataFrame, column: str) -> np.ndarray:
-    """A bit for each id's hash: FILTER_BITS in all, however many ids."""
-    slots = ids.select(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).alias("s"))
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for bucket, own in slots.groupBy(F.shiftright("s", 15).alias("b")).agg(F.bitmap_construct_agg(F.col("s").bitwiseAND(32767)).alias("m")).collect():
-        bits[bucket * 4096 : (bucket + 1) * 4096] |= np.frombuffer(bytes(own), np.uint8)
-    return bits
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        path = f"{self.folder}/{self.n}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that no later step reads."""
+        for path in {x.rsplit("/", 1)[0] for t in tables for x in t.inputFiles()}:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
-def by_bits(df: DataFrame, column: str, bits: np.ndarray, hit: bool = True) -> DataFrame:
-    """Rows whose id has its bit set (or, with hit false, the others), without a shuffle."""
-    sent, schema = df.sparkSession.sparkContext.broadcast(bits), df.schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = sent.value
-        for batch in batches:
-            at = batch.column(batch.num_columns - 1).to_numpy()
-            keep = ((table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1) == hit
-            yield batch.select(range(batch.num_columns - 1)).filter(pa.array(keep))
+#: Bits of the largest id filter (32 MiB, broadcast); a wrong hit costs some work, never a result.
+MOST_BITS = 1 << 28
+
 
-    return df.withColumn("_slot", F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))).mapInArrow(run, schema)
+def screen(df: DataFrame, column: str, ids: DataFrame, hit: bool = True) -> DataFrame:
+    """Rows whose id may be one of ids (a column of the same name; all that are pass), or with hit false only rows whose
+    id is none of them (some such rows may be missing: they are among the others). No row of df is shuffled: ids are
+    broadcast as bits, 16 an id. Beyond MOST_BITS / 8 ids, a join decides exactly instead."""
+    n = ids.count()
+    if 8 * n > MOST_BITS:
+        return df.join(ids.select(column).distinct(), column, "left_semi" if hit else "left_anti")
+    size = max(1 << 15, min(MOST_BITS, 1 << (16 * n).bit_length()))
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(size))
+    bits = ids.select(slot(column).alias("_s")).groupBy(F.shiftright("_s", 15).alias("_b")).agg(F.bitmap_construct_agg(F.col("_s").bitwiseAND(32767)).alias("_m"))
+    rows = df.withColumn("_s", slot(column)).withColumn("_b", F.shiftright("_s", 15)).join(F.broadcast(bits), "_b", "left")
+    byte = F.conv(F.hex(F.expr("substring(_m, cast((_s & 32767) >> 3 as int) + 1, 1)")), 16, 10).cast("int")
+    found = F.coalesce(F.getbit(byte, F.col("_s").bitwiseAND(7).cast("int")) == 1, F.lit(False))
+    return rows.filter(found if hit else ~found).select(*df.columns)
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict]]], schema: str) -> DataFrame:
-    """mapInArrow with one function per task: make() builds it, it turns a batch into dicts of columns."""
+def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict]]], schema: str, end: bool = False) -> DataFrame:
+    """mapInArrow with one function per task: make() builds it, it turns a batch into dicts of columns; with end, it is
+    called with None after the last batch."""
     target = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,10 +99,18 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Itera
         for batch in batches:
             for columns in step(batch):
                 yield to_batch(columns, target)
+        if end:
+            for columns in step(None):
+                yield to_batch(columns, target)
 
     return df.mapInArrow(run, schema)
 
 
+def map_sorted(df: DataFrame, keys: list[str], order: list, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict]]], schema: str) -> DataFrame:
+    """map_arrow over rows dealt out by the keys and sorted by the keys and then by order; a group may span batches."""
+    return map_arrow(df.repartition(*keys).sortWithinPartitions(*keys, *order), make, schema)
+
+
 def map_groups(df: DataFrame, keys: list[str], make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict]]], schema: str) -> DataFrame:
     """Grouped map for very many small groups of bounded size: rows are dealt out and sorted by the keys (longs, not
     null), and the function gets one group's rows at a time, without a pandas frame for each."""

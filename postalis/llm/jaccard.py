@@ -1,13 +1,16 @@
 """Exact n-gram Jaccard join: size-banded tiles, hashed bitmap signatures, sorted-array intersection.
 
-A document is the set of its word shingles, as sorted 64-bit hashes; equal sets are one node. Two sets with Jaccard
-similarity t share one of the first n - ceil(t n) + 1 shingles of each, in any common order: here shingles of crowded
-hash buckets (counted over all documents) come last. Nodes that share such a shingle meet in a tile, and shingles with
-the same nodes make one tile: it is named by a hash of its nodes, and a clash of names only joins two tiles. First each
-node is held against the smallest node of its tile; what is still in different components is then compared within tiles
-of one size band, cut into blocks. Parity bitmaps bound the overlap from above (their differing bits never exceed the
-differing shingles); what passes is verified on the sets themselves. Tiles whose nodes are all connected already are
-done: that is why large groups of near copies cost no quadratic number of pairs.
+A document is the set of its word shingles, as sorted 64-bit hashes; equal sets are one node, which one document stands
+for from then on. Two sets with Jaccard similarity t share one of the first n - ceil(t n) + 1 shingles of each, in any
+common order: here shingles of crowded hash buckets (counted over all documents) come last. Nodes that share such a
+shingle meet in a tile, and shingles with the same nodes make one tile: it is named by a hash of its nodes, and a clash
+of names only joins two tiles. Parity bitmaps bound the overlap from above (their differing bits never exceed the
+differing shingles); what passes is verified on the sets themselves, as sorted arrays.
+
+First each node is held against the smallest node of each of its tiles, and the nearest of these is verified. Nodes
+still in different components are then compared within tiles of one size band, cut into blocks; of the pairs that pass,
+a block sends those of a shortest spanning forest to be verified, at most one a node. Where all of them are links, the
+block is done; tiles with a pair that failed send their other pairs too, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postalis.llm.common import by_bits, durable, id_bits, map_arrow, map_groups, mixed, raw, hashed_words
+from postalis.llm.common import Scratch, hashed_words, map_arrow, map_groups, map_sorted, mixed, raw, screen
 from postalis.llm.graph import components
 
 BUCKETS = 1 << 16
@@ -67,27 +70,28 @@ def folded(bits: bytes, width: int) -> np.ndarray:
 
 
 def summarise(docs: DataFrame, size: int) -> DataFrame:
-    """A row a document: (chunk null, doc_id, n, node, bits); and CHUNKS rows a batch: (chunk, part, bits: bucket counts)."""
+    """A row a document: (chunk null, doc_id, n, node, bits); and CHUNKS rows a task: (chunk, part, bits: bucket counts)."""
 
     def make():
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
+        part, load = TaskContext.get().partitionId(), np.zeros(BUCKETS, np.int64)
 
-        def step(batch: pa.RecordBatch):
+        def step(batch: pa.RecordBatch | None):
+            if batch is None:
+                yield {"chunk": list(range(CHUNKS)), "doc_id": [part] * CHUNKS, "n": [0] * CHUNKS, "node": [None] * CHUNKS, "bits": [x.tobytes() for x in np.split(load, CHUNKS)]}
+                return
             n, nodes, bits = [], [], []
-            load = np.zeros(BUCKETS, np.int64)
             for own in shingle_sets(raw(batch.column(1)), size):
                 n.append(len(own))
                 nodes.append(set_key(own) if len(own) else None)
                 bits.append(bitmap(own) if len(own) else None)
                 np.add.at(load, (own & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
-            rows = batch.num_rows
-            yield {"chunk": [None] * rows + list(range(CHUNKS)), "doc_id": batch.column(0).to_pylist() + [part] * CHUNKS, "n": n + [0] * CHUNKS, "node": nodes + [None] * CHUNKS, "bits": bits + [x.tobytes() for x in np.split(load, CHUNKS)]}
+            yield {"chunk": [None] * batch.num_rows, "doc_id": batch.column(0), "n": n, "node": nodes, "bits": bits}
 
         return step
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "chunk int, doc_id long, n long, node long, bits binary")
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "chunk int, doc_id long, n long, node long, bits binary", end=True)
 
 
 def crowded(loads: DataFrame, group: int = 64) -> np.ndarray:
@@ -98,9 +102,11 @@ def crowded(loads: DataFrame, group: int = 64) -> np.ndarray:
         return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "part": pdf["part"].iloc[:1] // group, "bits": [total.tobytes()]})
 
     rows = loads.select("chunk", F.floor(F.col("doc_id") / group).alias("part"), "bits")
+    parts = (loads.agg(F.max("doc_id")).first()[0] or 0) + 1
     while True:  # sums of at most `group` tasks' counts, level by level
-        rows = durable(rows.groupBy("chunk", "part").applyInPandas(added, "chunk int, part long, bits binary"))
-        if not (rows.agg(F.max("part")).first()[0] or 0) and rows.count() <= CHUNKS:
+        rows = rows.groupBy("chunk", "part").applyInPandas(added, "chunk int, part long, bits binary")
+        parts = -(-parts // group)
+        if parts <= 1:
             break
     load = np.zeros(BUCKETS, np.int64)
     for r in rows.collect():  # CHUNKS rows
@@ -109,8 +115,8 @@ def crowded(loads: DataFrame, group: int = 64) -> np.ndarray:
     return load > middle + 8 * math.sqrt(middle) + 16
 
 
-def prefixes(docs: DataFrame, size: int, percent: int, hot: np.ndarray) -> DataFrame:
-    """(key, node): the shingles under which a node is indexed."""
+def prefixes(docs: DataFrame, size: int, percent: int, hot: np.ndarray, late: bool) -> DataFrame:
+    """(key, node): the shingles under which a node is indexed, those of crowded buckets (late) or the others."""
     sent = docs.sparkSession.sparkContext.broadcast(np.packbits(hot))
 
     def make():
@@ -120,8 +126,9 @@ def prefixes(docs: DataFrame, size: int, percent: int, hot: np.ndarray) -> DataF
             keys, nodes, lengths = [], [], []
             for own in shingle_sets(raw(batch.column(0)), size):
                 if n := len(own):
-                    late = crowd[(own & np.uint64(BUCKETS - 1)).astype(np.int64)]
-                    first = np.concatenate([own[~late], own[late]])[: n - (percent * n + 99) // 100 + 1]
+                    behind = crowd[(own & np.uint64(BUCKETS - 1)).astype(np.int64)]
+                    most, early = n - (percent * n + 99) // 100 + 1, own[~behind]
+                    first = own[behind][: max(0, most - len(early))] if late else early[:most]
                     keys.append(first.view(np.int64))
                     nodes.append(set_key(own))
                     lengths.append(len(first))
@@ -132,153 +139,221 @@ def prefixes(docs: DataFrame, size: int, percent: int, hot: np.ndarray) -> DataF
     return map_arrow(docs.select(F.col("text").cast("string")), make, "key long, node long")
 
 
+def meetings(docs: DataFrame, size: int, percent: int, hot: np.ndarray) -> DataFrame:
+    """(tile, node, low, m): nodes that share an indexed shingle, the smallest node of it, about how many there are.
+
+    A shingle out of the crowded buckets has a bounded share of all rows, so a window sees its nodes together. Those of
+    crowded buckets, which may have any share, are first summed up in parts, then joined, which Spark can split.
+    """
+    over = Window.partitionBy("key")
+    summed = {"low": F.min("node"), "high": F.max("node"), "all": F.bit_xor(F.xxhash64("node")), "m": F.count("*")}
+    early = prefixes(docs, size, percent, hot, late=False).withColumns({n: c.over(over) for n, c in summed.items()}).filter("low < high")
+    rows = prefixes(docs, size, percent, hot, late=True)
+    late = rows.join(rows.groupBy("key").agg(*(c.alias(n) for n, c in summed.items())).filter("low < high"), "key")
+    both = early.unionByName(late.select(*early.columns))
+    return both.groupBy(F.xxhash64("low", "high", "all").alias("tile"), "node").agg(F.min("low").alias("low"), F.max("m").alias("m"))
+
+
 def overlap_ok(n: np.ndarray, m: np.ndarray, differ: np.ndarray, percent: int) -> np.ndarray:
     """Whether sets of n and m shingles that differ in at least `differ` places can reach the similarity."""
     shared = (n + m - np.maximum(differ, np.abs(n - m))) // 2
     return 100 * shared >= percent * (n + m - shared)
 
 
-def verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int, group: int = 256) -> DataFrame:
-    """(a, b) of the pairs (node x, node y) that reach the similarity, from the texts of one document a node.
+def verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int, scratch: Scratch, group: int) -> DataFrame:
+    """(a, b): the pairs (node x, node y, rx, ry: documents of these sets) that reach the similarity.
 
-    Texts travel to their pairs: those of at most `group` partners x of one y, and of y, meet in one task.
+    Texts travel to their pairs: y's text meets those of at most `group` nodes x in a task, which holds one of them at
+    a time.
     """
-    pairs = durable(pairs.select("x", "y").distinct())
     parts = pairs.groupBy("y").agg(F.ceil(F.count("*") / group).cast("long").alias("parts"))
-    split = durable(pairs.join(parts, "y").withColumn("part", F.pmod(F.xxhash64("x"), "parts")))
-    roles = split.select("y", "part", F.col("x").alias("node"), F.lit(False).alias("head")).unionByName(split.select("y", "part", F.col("y").alias("node"), F.lit(True).alias("head")).distinct())
-    roles = durable(roles.join(nodes.select("node", F.col("rep").alias("doc_id")), "node"))
+    split = pairs.join(parts, "y").withColumn("part", F.pmod(F.xxhash64("x"), "parts"))
+    tail = split.select("y", "part", F.col("x").alias("node"), F.col("rx").alias("doc_id"), F.lit(1).alias("role"))
+    head = split.select("y", "part", F.col("y").alias("node"), F.col("ry").alias("doc_id"), F.lit(0).alias("role")).distinct()
+    roles = scratch.keep(tail.unionByName(head))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id is not null and text is not null")
-    texts = by_bits(texts, "doc_id", id_bits(roles, "doc_id"))
+    texts = screen(texts, "doc_id", roles.select("doc_id"))
 
     def checked():
-        def step(group: pa.RecordBatch):
-            sets: dict[int, np.ndarray] = {}
-            members, y = set(), group.column("y")[0].as_py()
-            for node, head, own in zip(group.column("node").to_pylist(), group.column("head").to_pylist(), shingle_sets(raw(group.column("text")), size), strict=True):
-                if set_key(own) == node:
-                    sets[node] = own
-                    if not head:
-                        members.add(node)
-            if y in sets:
-                both = {x: len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x in sorted(members)}
-                good = [x for x, n in both.items() if 100 * n >= percent * (len(sets[x]) + len(sets[y]) - n)]
-                yield {"a": good, "b": [y] * len(good)}
+        here: list = [None, None]
+
+        def step(batch: pa.RecordBatch):
+            a, b = [], []
+            for y, part, node, role, own in zip(*(batch.column(c).to_pylist() for c in ("y", "part", "node", "role")), shingle_sets(raw(batch.column("text")), size), strict=True):
+                if set_key(own) != node:  # another text of the same doc_id
+                    continue
+                if role == 0:
+                    here[:] = (y, part), own
+                elif here[0] == (y, part):
+                    n = len(np.intersect1d(own, here[1], assume_unique=True))
+                    if 100 * n >= percent * (len(own) + len(here[1]) - n):
+                        a.append(node)
+                        b.append(y)
+            yield {"a": a, "b": b}
 
         return step
 
-    return durable(map_groups(texts.join(roles, "doc_id").select("y", "part", "node", "head", "text"), ["y", "part"], checked, "a long, b long"))
+    good = map_sorted(texts.join(roles, "doc_id").select("y", "part", "node", "role", "text"), ["y", "part"], ["role"], checked, "a long, b long")
+    links = scratch.keep(good.distinct())  # a pair stands twice if a text of one doc_id does
+    scratch.drop(roles)
+    return links
 
 
-def near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) that sizes and bitmaps let pass."""
-    left = nodes.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("bits").alias("bx"))
-    right = nodes.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("bits").alias("by"))
-    sized = pairs.join(left, "x").join(right, "y").filter(f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
+def stars(shared: DataFrame, nodes: DataFrame, percent: int, block: int) -> DataFrame:
+    """(x, y, rx, ry): for each node, of its tiles' smallest nodes the one that sizes and bitmaps let pass with the
+    fewest differing bits. A large tile is cut into blocks, each with its own copy of the smallest node."""
+    rows = shared.join(nodes, "node").withColumn("blocks", F.ceil(F.col("m") / block).cast("long"))
+    own = F.array(F.pmod(F.xxhash64("node"), "blocks"))
+    rows = rows.withColumn("blk", F.explode(F.when(F.col("node") == F.col("low"), F.expr("sequence(0L, blocks - 1)")).otherwise(own)))
 
     def make():
+        last: list = [None]
+
         def step(batch: pa.RecordBatch):
-            x, y, nx, ny = (batch.column(i).to_numpy() for i in range(4))
-            differ = np.zeros(len(x), np.int64)
-            for i, (a, b) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
-                width = min(len(a), len(b))
-                differ[i] = np.bitwise_count(folded(a, width) ^ folded(b, width)).sum()
-            ok = overlap_ok(nx, ny, differ, percent)
-            yield {"x": x[ok], "y": y[ok]}
+            if not batch.num_rows:
+                return
+            if last[0] is not None:  # the head of the group that the batch before ended with
+                batch = pa.concat_batches([last[0], batch])
+            tile, blk, node, n, rep = (batch.column(c).to_numpy() for c in ("tile", "blk", "node", "n", "rep"))
+            change = np.ones(len(tile), bool)
+            change[1:] = (tile[1:] != tile[:-1]) | (blk[1:] != blk[:-1])
+            head = np.maximum.accumulate(np.where(change, np.arange(len(tile)), 0))
+            at = np.flatnonzero((node != node[head]) & (100 * np.minimum(n, n[head]) >= percent * np.maximum(n, n[head])))
+            bits = batch.column("bits")
+            differ = np.zeros(len(at), np.int64)
+            first, own_bits = -1, b""
+            for k, i in enumerate(at.tolist()):
+                if head[i] != first:
+                    first, own_bits = head[i], bits[int(head[i])].as_py()
+                other = bits[i].as_py()
+                width = min(len(own_bits), len(other))
+                differ[k] = np.bitwise_count(folded(own_bits, width) ^ folded(other, width)).sum()
+            ok = overlap_ok(n[at], n[head[at]], differ, percent)
+            at, differ = at[ok], differ[ok]
+            last[0] = batch.slice(int(head[-1]), 1)
+            yield {"x": node[at], "differ": differ, "y": node[head[at]], "rx": rep[at], "ry": rep[head[at]]}
 
         return step
 
-    return map_arrow(sized.select("x", "y", "nx", "ny", "bx", "by"), make, "x long, y long")
+    near = map_sorted(rows.select("tile", "blk", "node", "n", "rep", "bits"), ["tile", "blk"], ["node"], make, "x long, differ long, y long, rx long, ry long")
+    return near.groupBy("x").agg(F.min(F.struct("differ", "y", "rx", "ry")).alias("s")).select("x", "s.y", "s.rx", "s.ry")
+
+
+def forest(n: int, groups: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[int]:
+    """Which of the edges x-y make a lightest spanning forest over n nodes, of which those of one group are connected."""
+    lead = np.unique(groups, return_inverse=True)[1]
+    place = list(range(int(lead.max()) + 1))
+
+    def top(i: int) -> int:
+        while place[i] != i:
+            place[i] = i = place[place[i]]
+        return i
 
+    chosen, open_ = [], len(place) - 1
+    for k in np.argsort(weight, kind="stable").tolist():
+        i, j = top(int(lead[x[k]])), top(int(lead[y[k]]))
+        if i != j:
+            place[max(i, j)] = min(i, j)
+            chosen.append(k)
+            open_ -= 1
+            if not open_:
+                break
+    return chosen
 
-def tiles(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, best: int | None, block: int = 1024) -> DataFrame:
-    """(tile, x, y, more): nodes of different components that share a tile and may reach the similarity; with best, only
-    a node's so many best candidates in a tile, and `more` on a tile's rows where there were others. shared: (tile, node, n)."""
+
+def tiles(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, every: bool, block: int) -> DataFrame:
+    """(tile, x, y, rx, ry): nodes of different components that share a tile and may reach the similarity; all such
+    pairs, or those of a lightest forest of each block.
+
+    Nodes of a tile's smallest component (main) need no comparison with each other; the others are cut into blocks j,
+    which meet each block i of main, and each other (i below 0).
+    """
     ratio = math.log(100 / percent)
-    named = shared.join(labels, "node", "left").select("tile", "node", "n", F.coalesce("component", "node").alias("component"))
-    over = Window.partitionBy("tile")
-    open_ = named.withColumn("lo", F.min("component").over(over)).withColumn("hi", F.max("component").over(over)).filter("lo < hi").drop("lo", "hi")
-    rows = open_.withColumn("own", F.floor(F.log("n") / ratio + 1e-9).cast("long"))
-    rows = durable(rows.select("tile", "node", "n", "component", "own", F.explode(F.array("own", F.col("own") + 1)).alias("band")))
-    sizes = rows.groupBy("tile", "band").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("own").alias("top"))
-    sizes = sizes.filter("lo < hi and top = band").select("tile", "band", F.ceil(F.col("m") / block).cast("long").alias("blocks"))
-    rows = rows.join(sizes, ["tile", "band"]).withColumn("blk", F.pmod(F.xxhash64("node"), "blocks"))
-    cut = rows.select("tile", "band", "node", "n", "component", "own", "blk", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("other"))
-    cut = cut.withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")).drop("other")
-    cut = cut.join(nodes.select("node", "bits"), "node")
+    named = shared.select("tile", "node").join(nodes, "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = named.withColumn("own", F.floor(F.log("n") / ratio + 1e-9).cast("long")).withColumn("band", F.explode(F.array("own", F.col("own") + 1)))
+    sizes = rows.groupBy("tile", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("own").alias("top")).filter("lo < hi and top = band")
+    rows = rows.join(sizes.select("tile", "band", "lo"), ["tile", "band"]).withColumn("main", F.col("component") == F.col("lo"))
+    counts = rows.groupBy("tile", "band").agg(F.ceil(F.count_if("main") / block).cast("long").alias("p"), F.ceil(F.count_if(~F.col("main")) / block).cast("long").alias("q"))
+    cut = rows.join(counts, ["tile", "band"]).withColumn("blk", F.pmod(F.xxhash64("node"), F.when(F.col("main"), F.col("p")).otherwise(F.col("q"))))
+    places = F.expr("""case when main then transform(sequence(0L, q - 1), j -> struct(blk as i, j as j))
+        else concat(transform(sequence(0L, p - 1), i -> struct(i as i, blk as j)), transform(filter(sequence(0L, q - 1), o -> o <> blk), o -> struct(-1 - least(o, blk) as i, greatest(o, blk) as j))) end""")
+    cut = cut.select("tile", "band", "node", "n", "rep", "bits", "component", "own", "main", "blk", F.inline(places))
 
     def compared():
         def step(group: pa.RecordBatch):
-            node, n, component, own, blk = (group.column(c).to_numpy() for c in ("node", "n", "component", "own", "blk"))
-            band, across = group.column("band")[0].as_py(), group.column("i")[0].as_py() != group.column("j")[0].as_py()
+            node, n, rep, component, own, blk = (group.column(c).to_numpy() for c in ("node", "n", "rep", "component", "own", "blk"))
+            main = group.column("main").to_numpy(zero_copy_only=False)
+            band, i = group.column("band")[0].as_py(), group.column("i")[0].as_py()
             if len(node) < 2 or (component == component[0]).all():
                 return
             raw_bits = group.column("bits").to_pylist()
             width = min(map(len, raw_bits))
             bits = np.stack([folded(b, width) for b in raw_bits]).view(np.uint64)
-            xs: list[int] = []
-            ys: list[int] = []
-            more = False
+            xs, ys, weights = [], [], []
             for k in range(len(node) - 1):
                 fit = (component[k + 1 :] != component[k]) & ((own[k + 1 :] == band) | (own[k] == band))
-                if across:
-                    fit &= blk[k + 1 :] != blk[k]
+                if i < 0:
+                    fit &= blk[k + 1 :] != blk[k]  # two blocks that are not main's: each with itself elsewhere
+                elif i > 0:
+                    fit &= main[k + 1 :] != main[k]  # others among themselves are block 0's
                 at = np.flatnonzero(fit) + k + 1
-                if not len(at):
-                    continue
-                differ = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64)
-                ok = overlap_ok(n[at], n[k], differ, percent)
-                at, differ = at[ok], differ[ok]
-                if best is not None and len(at) > best:
-                    at, more = at[np.argsort(differ, kind="stable")[:best]], True
-                xs += [int(node[k])] * len(at)
-                ys += node[at].tolist()
-            yield {"tile": [group.column("tile")[0].as_py()] * len(xs), "x": xs, "y": ys, "more": [more] * len(xs)}
+                if len(at):
+                    differ = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64)
+                    ok = overlap_ok(n[at], n[k], differ, percent)
+                    xs.append(at[ok])
+                    ys.append(np.full(int(ok.sum()), k))
+                    weights.append(differ[ok])
+            x, y, weight = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys, weights))
+            if not every and len(x):
+                keep = forest(len(node), component, x, y, weight)
+                x, y = x[keep], y[keep]
+            x, y = np.where(node[x] < node[y], x, y), np.where(node[x] < node[y], y, x)
+            yield {"tile": [group.column("tile")[0].as_py()] * len(x), "x": node[x].tolist(), "y": node[y].tolist(), "rx": rep[x].tolist(), "ry": rep[y].tolist()}
 
         return step
 
-    return map_groups(cut.select("tile", "band", "i", "j", "node", "n", "component", "own", "blk", "bits"), ["tile", "band", "i", "j"], compared, "tile long, x long, y long, more boolean")
+    return map_groups(cut, ["tile", "band", "i", "j"], compared, "tile long, x long, y long, rx long, ry long")
 
 
-def classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
+def classes(docs: DataFrame, size: int = 4, percent: int = 85, block: int = 1024) -> DataFrame:
     """(doc_id, n_shingles, component_id): component_id is the smallest doc_id reachable over links of similarity.
 
-    docs needs doc_id and text. A document without words (null or empty text) has no shingle and links with nothing. A
-    repeated doc_id is one document to the components, with a row for each of its rows; rows with a null doc_id keep a
-    null component. An empty table gives an empty result.
+    docs needs doc_id and text; other columns, whatever their names, are left aside. A document without words (null or
+    empty text) has no shingle and links with nothing. A repeated doc_id is one document to the components, with a row
+    for each of its rows; rows with a null doc_id keep a null component. Very long texts are taken whole, in portions.
+    An empty table gives an empty result. block: nodes that one task compares with as many others; results don't depend
+    on it.
     """
-    summary = durable(summarise(docs, size))
+    scratch = Scratch(docs.sparkSession)
+    keep, drop = scratch.keep, scratch.drop
+    summary = keep(summarise(docs, size))
     own = summary.filter("chunk is null").select("doc_id", "n", "node", "bits")
     linked = own.filter("node is not null and doc_id is not null")
     hot = crowded(summary.filter("chunk is not null"))
-    over = Window.partitionBy("key")
-    keyed = prefixes(docs.filter("doc_id is not null"), size, percent, hot)
-    # the tile and smallest node of each shingle that more than one node has; copies of a set are one node
-    met = keyed.withColumn("low", F.min("node").over(over)).withColumn("high", F.max("node").over(over)).withColumn("all", F.bit_xor(F.xxhash64("node")).over(over)).filter("low < high")
-    shared = durable(met.select(F.xxhash64("low", "high", "all").alias("tile"), "node", "low").distinct())
-    nodes = linked.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("bits").alias("bits"))
-    nodes = durable(nodes)
+    nodes = keep(linked.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("bits").alias("bits")))
+    texts = screen(docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text"), "doc_id", nodes.select(F.col("rep").alias("doc_id")))
+    shared = keep(meetings(texts, size, percent, hot))
     first = linked.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("doc_id", "a")
-    links = linked.select("doc_id", F.col("node").alias("b")).join(first, "doc_id").filter("a < b").select("a", "b")  # one id, many texts
-    stars = near(shared.filter("node <> low").select(F.col("node").alias("x"), F.col("low").alias("y")).distinct(), nodes, percent)
-    links = durable(links.unionByName(verify(docs, nodes, stars, size, percent)))
-    labels = components(links)
-    shared = durable(shared.select("tile", "node").distinct().join(nodes.select("node", "n"), "node"))
+    one_id = linked.select("doc_id", F.col("node").alias("b")).join(first, "doc_id").filter("a < b").select("a", "b")  # one id, many texts
+    pairs = keep(stars(shared, nodes, percent, 2 * block))
+    links = keep(verify(docs, pairs, size, percent, scratch, block // 4).unionByName(one_id))
+    drop(pairs)
+    labels = components(links, scratch)
     tested = None
-    for best in (4, 4, None):  # the best join most; then all that is left of tiles that had more, so none is lost
-        found = durable(tiles(shared, nodes, labels, percent, best))
-        rest = found.filter("more").select("tile").distinct()
-        more = not rest.isEmpty()
-        shared = shared.join(rest, "tile", "left_semi")
-        pairs = found.select("x", "y").distinct()
-        fresh = pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti")
-        tested = pairs if tested is None else tested.unionByName(fresh)
-        fresh = durable(fresh)
-        if not fresh.isEmpty() and not (new := verify(docs, nodes, fresh, size, percent)).isEmpty():
-            links = durable(links.unionByName(new))
-            labels = components(links)
-        if not more:
+    for every in (False, True):  # forests join most; then all pairs of tiles in which one of them failed
+        found = keep(tiles(shared, nodes, labels, percent, every, block))
+        pairs = found.groupBy("x", "y").agg(F.min("rx").alias("rx"), F.min("ry").alias("ry"))
+        pairs = keep(pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti"))
+        if not pairs.isEmpty():
+            new = verify(docs, pairs, size, percent, scratch, block // 4)
+            failed = pairs.select("x", "y").join(new.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"], "left_anti")
+            shared = keep(shared.join(found.join(failed, ["x", "y"]).select("tile").distinct(), "tile", "left_semi"))
+            old, labels = labels, components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new), scratch)
+            drop(old)
+        if pairs.isEmpty() or shared.isEmpty():
             break
-    lowest = linked.join(labels, "node").groupBy("component").agg(F.min("doc_id").alias("low"))
-    named = durable(labels.join(lowest, "component").select("node", "low").unionByName(linked.join(labels, "node", "left_anti").groupBy("node").agg(F.min("doc_id").alias("low"))))
+        tested = pairs.select("x", "y")
+    named = nodes.select("node", "rep").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    lowest = named.groupBy("component").agg(F.min("rep").alias("low"))
+    named = keep(named.join(lowest, "component").select("node", "low"))
     return own.join(named, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("low", "doc_id")).alias("component_id"))

@@ -79,7 +79,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from corpus_pipeline import run
+    from postalis.llm.stages import run
 
     return run(spark, sf_dir)
 

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postalis.llm import graph, htmltext, jaccard, langid, lattice, licenses, mixing, packing, quality, queries, toolchat, topk
-from postalis.llm.common import fold
+from postalis.llm.common import Scratch, fold
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 WORDS, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -252,7 +252,7 @@ def test_jaccard_edges(edge):
 
 def test_components(spark):
     chain = [(i, i + 1) for i in range(30)] + [(100, 101), (101, 100)]
-    got = dict(graph.components(spark.createDataFrame(chain, "a long, b long")).collect())
+    got = dict(graph.components(spark.createDataFrame(chain, "a long, b long").repartition(5), Scratch(spark), chunk=4).collect())
     assert {got[i] for i in range(31)} == {0} and got[100] == got[101] == 100
 
 
@@ -304,7 +304,7 @@ def test_tree_marginals_equal_enumeration():
 
 
 def test_pipeline(spark):
-    import corpus_pipeline as pipeline
+    from postalis.llm import stages as pipeline
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for name, stage in pipeline.STAGES[:4]:

@@ -2,7 +2,7 @@
 
 from itertools import combinations
 
-import corpus_pipeline as pipeline
+from postalis.llm import stages as pipeline
 
 COUNT = 120
 
