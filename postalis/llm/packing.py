@@ -8,10 +8,12 @@ length, however common, meets in one task.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_right, insort
 from functools import cache
 from struct import pack as pack_ids
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -25,28 +27,58 @@ CAPACITY = 4096
 END_ID = 1
 
 
+#: Letters below U+0250 that are their own lower case and composed form, and ASCII marks but the apostrophe (which may
+#: start a contraction): between such runs the pre-tokenizer always cuts, and within them never.
+LETTERS = "".join(c for c in map(chr, range(0x61, 0x250)) if c.isalpha() and c == c.lower() == normalize("NFC", c))
+MARKS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
+RUN = re.compile(f"[{LETTERS}]+|[{re.escape(MARKS)}]+")
+RUNS = re.compile(f"(?:{RUN.pattern})+")
+#: The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for the characters from U+0100 on.
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+ALPHABET = {b: 0x100 + i for i, b in enumerate(sorted(set(range(256)) - set(PRINTABLE)))}
+
+
 class TokenIds(dict):
     """White-space delimited chunk -> its ids as little-endian uint32 bytes. The pre-tokenizer never joins chunks across
-    ASCII white space, so a text's ids are its chunks' ids in turn. One per Python worker, of `most` chunks; beyond, the
-    earliest, which are the common ones, stay."""
+    ASCII white space, so a text's ids are its chunks' ids in turn. One per Python worker, of about `most` chunks;
+    beyond, the earliest, which are the common ones, stay.
+
+    Chunks of letters and marks go to the tokenizer's model run by run, which spares them its normalizer and
+    pre-tokenizer; a tokenizer whose own rules give other ids for samples of such chunks gets every chunk whole.
+    """
 
-    def __init__(self, path: str, most: int = 1_000_000) -> None:
+    def __init__(self, path: str, most: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.marks = {m: np.asarray(self.tokenizer.encode(chr(m), add_special_tokens=False).ids, "<u4").tobytes() for m in b".,"}
+        self.tokenize = self.tokenizer.model.tokenize
+        samples = [x + y for x in (*LETTERS, *("letters", "été", LETTERS)) for y in ("", ".", "...", "$$$", ",word", "-", MARKS.replace("<", ""))]
+        self.by_runs = all(self.run_ids(x) == self.packed(found.ids) for x, found in zip(samples, self.tokenizer.encode_batch_fast(samples, add_special_tokens=False), strict=True))
+
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
+        return pack_ids(f"<{len(ids)}I", *ids)
+
+    def run_ids(self, text: str) -> bytes:
+        out = []
+        for run in RUN.findall(text):
+            key = run.encode()
+            if (ids := self.get(key)) is None:
+                ids = self[key] = self.packed([x.id for x in self.tokenize(key.decode("latin-1").translate(ALPHABET))])
+            out.append(ids)
+        return out[0] if len(out) == 1 else b"".join(out)
 
     def learn(self, chunks: list[bytes]) -> None:
-        """A full stop or comma after an ASCII letter is a pre-token of its own, so such chunks share their stem's ids."""
-        stems = [c[:-1] if c[-1:] in b".," and c[-2:-1].isalpha() else c for c in chunks]
-        new = list(set(stems).difference(self))
-        for stem, found in zip(new, self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False), strict=True):
-            ids = found.ids
-            self[stem] = pack_ids(f"<{len(ids)}I", *ids)
-        for chunk, stem in zip(chunks, stems, strict=True):
-            if chunk is not stem:
-                self[chunk] = self[stem] + self.marks[chunk[-1]]
+        rest = []
+        for chunk in chunks:
+            text = chunk.decode()
+            if self.by_runs and RUNS.fullmatch(text) and "<|" not in text:
+                self[chunk] = self.run_ids(text)
+            else:
+                rest.append((chunk, text))
+        for (chunk, _), found in zip(rest, self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False), strict=True):
+            self[chunk] = self.packed(found.ids)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         # The tokenizer lowers case itself; only its special tokens, "<|...|>", are told apart by case before.
