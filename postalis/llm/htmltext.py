@@ -1,20 +1,26 @@
 """Main text of web pages by a tree-structured graphical model over DOM nodes.
 
-Each block element is a node with a hidden label, content or not. Node potentials are naive-Bayes odds of its features,
-parent-child potentials the odds of a child's label given its parent's. Sum-product messages go up the tree and down
-again, which gives each node's exact marginal. Both tables are learned from pages that label themselves by semantic
-elements (a bounded sample of sample_pages pages, drawn by a hash of the id), on top of fixed prior counts for
-well-known tags and class words.
+Each block element is a node with a hidden label: content, what stands around it, or a container that holds both. Its
+own potential is the naive-Bayes odds of what the element itself shows: tag, class words, length of its own text, share
+of links; nothing of its ancestors. Names that say plainly what stands around an article are evidence that no count
+outweighs. Parent-child potentials are the odds of a child's label given its parent's; within what stands around,
+nothing is content. Sum-product messages go up the tree and down again, which gives each node's exact marginal: a
+paragraph in a comment section or an advert is like any other by itself, and differs by the messages it gets.
+
+Both tables are learned from labelled nodes: those in or under semantic elements (article, main, nav, footer, ...) of a
+bounded sample of sample_pages pages, drawn by a hash of the id. Nodes in or under elements whose class names a part
+around an article stay unlabelled there, since semantic elements say nothing of them. Fixed prior counts stand beside.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,36 +28,48 @@ from pyspark.sql import functions as F
 from postalis.llm.common import map_arrow
 
 # HTML element groups.
-BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption optgroup option".split())
-DROPPED = frozenset("script style template noscript iframe object svg canvas head title select textarea button audio video math".split())
+BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption".split())
+RAW = frozenset("script style title textarea".split())  # their text is no markup
+MUTED = frozenset("template noscript iframe svg head select button".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
-SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-SCOPE = frozenset("ul ol dl table menu body article main section div select".split())
-TELLING = frozenset("article aside blockquote figcaption footer form h1 h2 h3 h4 h5 h6 header main nav p pre".split())
-# Words of class, id and role that name parts around an article, and the article itself.
-AROUND = frozenset("ad ads adv advert advertisement advertising adsense banner breadcrumb breadcrumbs byline-links comment comments commentlist consent contentinfo cookie cookies copyright discussion disqus dropdown feedback footer form gdpr header hidden login masthead menu modal nav navbar navigation newsletter notice notification outbrain overlay pager pagination paywall popup promo promoted promotion recommended related reply replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe taboola toolbar tracking warning widget widgets alert aside complementary responses".split())
+SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+SCOPE = frozenset("ul ol dl table menu body article main section div".split())
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figcaption caption summary".split())
+# Elements whose name says what their text is: 1 the article, 0 what stands around it. A header is 0
+# outside of an article.
+SEMANTIC = {"article": 1, "main": 1, "nav": 0, "footer": 0, "aside": 0, "form": 0, "fieldset": 0, "menu": 0, "dialog": 0, "search": 0}
+# Words of class, id and role that name parts around an article, also within longer names; words that do
+# so as a whole name only; and words of the article itself.
+SURE = frozenset("ad ads adv advert advertisement advertising adsense banner breadcrumb breadcrumbs byline-links comments commentlist consent contentinfo cookie cookies copyright disqus footer gdpr hidden login masthead menu modal nav navbar navigation newsletter outbrain pager pagination paywall popup promo promoted recommended related share sharing sidebar signup social sponsor sponsored subscribe taboola toolbar widget widgets".split())
+DOUBTFUL = frozenset("alert aside comment complementary discussion dropdown feedback form header notice notification overlay promotion replies reply respond responses search skip tracking warning".split())
 CONTENT = frozenset("article articlebody content entry main post story".split())
-AROUND_TAGS = {"nav": "nav", "footer": "footer", "aside": "aside", "form": "form", "menu": "nav", "dialog": "around", "search": "form", "fieldset": "form"}
-#: Observations that the prior adds for a sure sign.
-PRIOR = 4000.0
+AROUND, ARTICLE, CONTAINER = 0, 1, 2
+#: Chances of a container's own text and of its children's labels; a page itself is a container or all content.
+OWN = {"none": 0.9, "short": 0.06, "middle": 0.03, "long": 0.01}
+HELD = (0.5, 0.2, 0.3)
+#: Observations that the prior adds for a usual sign; log odds of a sure sign; share of both labels' pooled counts that
+#: is mixed into each label's, as features of a node depend on each other.
+PRIOR, SURELY, POOLED = 4000.0, 1e4, 0.35
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-ENDS = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in DROPPED - {"head"}}
+ENDS = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW | MUTED}
+BLOCK_START = re.compile(rf"<(?:{'|'.join(sorted(BLOCKS))})\b", re.I)
 
 
 @dataclass
 class Node:
     parent: int
     tag: str
-    near: str  # nearest telling ancestor or itself: article, nav, header, footer, aside, form, around or none
-    marks: list[str] = field(default_factory=list)
+    known: int | None = None  # what semantic elements say
+    names: list[str] = field(default_factory=list)  # class, id and role
     own: int = 0
     text: int = 0
     link: int = 0
+    signed: bool = False  # with a copyright sign in its own text
 
 
-def marks_of(attributes: str) -> list[str]:
+def names_of(attributes: str) -> list[str]:
     out = []
     if attributes and not attributes.isspace():
         for name, *values in ATTRIBUTE.findall(attributes):
@@ -59,164 +77,239 @@ def marks_of(attributes: str) -> list[str]:
             if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
                 out.append("hidden")
             elif name in ("class", "id", "role"):
-                out += re.findall(r"[a-z]+", value)
+                out += [x for x in value.split() if not x.startswith(("has-", "with-", "no-", "without-"))]  # of what it holds
     return out
 
 
-def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
-    """Block nodes in page order (parents first) and the text blocks (node, text)."""
-    nodes, blocks, stack = [Node(-1, "html", "none")], [], [0]
-    parts: list[str] = []
-    linked = held = at = 0
-
-    def flush() -> None:
-        nonlocal held
-        text = " ".join(unescape("".join(parts)).split())
-        parts.clear()
+def parts_of(name: str) -> list[str]:
+    return re.findall(r"[a-z]+", name)
+
+
+def around(names: list[str]) -> bool:
+    return any(n in SURE or n in DOUBTFUL or SURE.intersection(parts_of(n)) for n in names)
+
+
+class Parser:
+    """Block nodes in page order (parents first) and the text blocks (node, text), in time linear in the page."""
+
+    def __init__(self, html: str) -> None:
+        self.html, self.at = html, 0
+        self.nodes, self.blocks, self.stack = [Node(-1, "html")], [], [0]
+        self.open: Counter = Counter()  # tags on the stack
+        self.parts: list[str] = []
+        self.linked = self.held = 0
+        self.endless: set[str] = set()  # tags without a further end tag
+        self.run()
+
+    def flush(self) -> None:
+        text = " ".join(unescape("".join(self.parts)).split())
+        self.parts.clear()
         if text:
-            node = stack[-1]
-            nodes[node].own += len(text)
-            nodes[node].text += len(text)
-            nodes[node].link += min(held, len(text))
-            blocks.append((node, text))
-        held = 0
-
-    def add(text: str) -> None:
-        nonlocal held
-        parts.append(text)
-        if linked:
-            held += len(text)
-
-    size = len(html)
-    while at < size:
-        m = TOKEN.search(html, at)
-        if m is None:
-            add(html[at:])
-            break
-        if m.start() > at:
-            add(html[at : m.start()])
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
-            continue
-        if m[1]:
-            if tag == "a":
-                linked = max(0, linked - 1)
-            elif tag in BLOCKS:
-                flush()
-                if any(nodes[i].tag == tag for i in stack[1:]):
-                    while nodes[stack.pop()].tag != tag:
-                        pass
-            continue
-        if tag in ENDS:
-            end = ENDS[tag].search(html, at)
-            if not m[3].rstrip().endswith("/"):
-                at = end.end() if end else size
-        elif tag == "br":
-            parts.append(" ")
-        elif tag == "a":
-            linked += 1
-        elif tag in BLOCKS:
-            flush()
-            if tag in CLOSES_P and nodes[stack[-1]].tag == "p":
-                stack.pop()
-            if tag in SAME:
-                for k in range(len(stack) - 1, 0, -1):
-                    if nodes[stack[k]].tag in SAME[tag]:
-                        del stack[k:]
-                        break
-                    if nodes[stack[k]].tag in SCOPE:
-                        break
-            if tag in ("hr", "html", "body"):
+            node = self.nodes[self.stack[-1]]
+            node.own += len(text)
+            node.text += len(text)
+            node.link += min(self.held, len(text))
+            node.signed |= "\N{COPYRIGHT SIGN}" in text
+            self.blocks.append((self.stack[-1], text))
+        self.held = 0
+
+    def add(self, text: str) -> None:
+        self.parts.append(text)
+        if self.linked:
+            self.held += len(text)
+
+    def pop(self) -> str:
+        tag = self.nodes[self.stack.pop()].tag
+        self.open[tag] -= 1
+        return tag
+
+    def skip(self, tag: str) -> None:
+        """Past the end tag; without one, scripts and styles take the rest, other elements end before the next block."""
+        end = None if tag in self.endless else ENDS[tag].search(self.html, self.at)
+        if end is None:
+            self.endless.add(tag)
+        if tag in RAW:
+            self.at = end.end() if end else len(self.html) if tag in ("script", "style") else self.next_block()
+        elif tag in ("button", "select"):  # which hold no blocks
+            block = self.next_block()
+            self.at = min(end.end(), block) if end else block
+        else:
+            self.at = end.end() if end else self.next_block()
+
+    def next_block(self) -> int:
+        found = BLOCK_START.search(self.html, self.at)
+        return found.start() if found else len(self.html)
+
+    def start(self, tag: str, attributes: str) -> None:
+        nodes, stack = self.nodes, self.stack
+        self.flush()
+        if tag in CLOSES_P and nodes[stack[-1]].tag == "p":
+            self.pop()
+        if tag in SAME and any(self.open[x] for x in SAME[tag]):
+            for k in range(len(stack) - 1, 0, -1):
+                if nodes[stack[k]].tag in SAME[tag]:
+                    while len(stack) > k:
+                        self.pop()
+                    break
+                if nodes[stack[k]].tag in SCOPE:
+                    break
+        if tag in ("hr", "html", "body"):
+            return
+        parent, names = nodes[stack[-1]], names_of(attributes)
+        known = SEMANTIC.get(tag, parent.known)
+        if parent.known == 0 and known == 1:  # an article in a sidebar is a teaser
+            known = 0
+        if tag == "header" and parent.known != 1:
+            known = 0
+        nodes.append(Node(stack[-1], tag, known, names))
+        stack.append(len(nodes) - 1)
+        self.open[tag] += 1
+        self.linked = 0
+
+    def run(self) -> None:
+        html, size = self.html, len(self.html)
+        while self.at < size:
+            m = TOKEN.search(html, self.at)
+            if m is None:
+                self.add(html[self.at :])
+                break
+            if m.start() > self.at:
+                self.add(html[self.at : m.start()])
+            self.at = m.end()
+            tag = (m[2] or "").lower()
+            if not tag:
                 continue
-            parent, marks = nodes[stack[-1]], marks_of(m[3])
-            near = parent.near
-            if AROUND.intersection(marks) and tag not in ("article", "main"):
-                near = "around"
-            elif tag in AROUND_TAGS:
-                near = AROUND_TAGS[tag]
-            elif near in ("none", "article") and (tag in ("article", "main") or CONTENT.intersection(marks)):
-                near = "article"
-            elif tag == "header" and near != "article":
-                near = "header"
-            nodes.append(Node(stack[-1], tag, near, marks))
-            stack.append(len(nodes) - 1)
-            linked = 0
-    flush()
-    for node in reversed(nodes[1:]):
-        nodes[node.parent].text += node.text
-        nodes[node.parent].link += node.link
-    return nodes, blocks
-
-
-def features(node: Node) -> list[str]:
+            if m[1]:
+                if tag == "a":
+                    self.linked = max(0, self.linked - 1)
+                elif tag in BLOCKS:
+                    self.flush()
+                    if self.open[tag]:
+                        while self.pop() != tag:
+                            pass
+            elif tag in ENDS:
+                if not m[3].rstrip().endswith("/"):
+                    self.skip(tag)
+            elif tag == "br":
+                self.parts.append(" ")
+            elif tag == "a":
+                self.linked += 1
+            elif tag in BLOCKS:
+                self.start(tag, m[3])
+        self.flush()
+        for node in reversed(self.nodes[1:]):
+            self.nodes[node.parent].text += node.text
+            self.nodes[node.parent].link += node.link
+
+
+def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
+    found = Parser(html)
+    return found.nodes, found.blocks
+
+
+def features(node: Node) -> Iterator[str]:
+    """What the element shows of itself. A name counts whole and in parts, apart for boxes and for textual elements."""
     density = node.link / node.text if node.text else -1.0
-    out = [f"near:{node.near}", f"links:{'none' if density < 0 else 'few' if density < 0.2 else 'some' if density < 0.6 else 'most'}"]
-    out.append(f"own:{'none' if not node.own else 'short' if node.own < 40 else 'middle' if node.own < 150 else 'long'}")
-    if node.tag in TELLING:
-        out.append(f"tag:{node.tag}")
-    return out + [f"mark:{m}" for m in dict.fromkeys(node.marks)]
+    yield "tag:page header" if node.tag == "header" and node.known == 0 else f"tag:{node.tag}"
+    yield f"links:{'none' if density < 0 else 'few' if density < 0.2 else 'some' if density < 0.6 else 'most'}"
+    yield f"own:{'none' if not node.own else 'short' if node.own < 40 else 'middle' if node.own < 150 else 'long'}"
+    if node.signed:
+        yield "copyright"
+    if node.names:
+        kind = "text" if node.tag in TEXTUAL else "box"
+        for name in dict.fromkeys(node.names):
+            yield f"{kind}:{name}"
+            if len(parts := dict.fromkeys(parts_of(name))) > 1:
+                yield from (f"{kind} part:{p}" for p in parts)
+
+
+def certain() -> dict[str, float]:
+    """Log odds of features that no count changes."""
+    out = {f"tag:{tag}": -SURELY for tag, label in SEMANTIC.items() if not label} | {"tag:page header": -SURELY}
+    out |= {f"{kind}:{word}": -SURELY for word in SURE for kind in ("box", "box part", "text")} | {f"box:{word}": -SURELY for word in DOUBTFUL}
+    return out | {f"tag:{tag}": SURELY / 100 for tag, label in SEMANTIC.items() if label}  # less: one in a sidebar is a teaser
+
+
+def prior() -> Counter:
+    """Fixed prior counts by ('f' + label, feature) and ('e' + parent label, child label)."""
+    out: Counter = Counter()
+    for word in SURE | DOUBTFUL:
+        out["f0", f"text:{word}"], out["f0", f"text part:{word}"], out["f0", f"box part:{word}"] = 20.0, 7.0, 20.0
+    for word in CONTENT:
+        out["f1", f"box:{word}"] = out["f1", f"box part:{word}"] = PRIOR / 40
+    for tag in ("p", "h1", "h2", "h3", "blockquote", "pre"):
+        out["f1", f"tag:{tag}"], out["f0", f"tag:{tag}"] = PRIOR / 4, PRIOR / 16
+    out["f1", "links:few"], out["f0", "links:few"], out["f0", "links:most"] = PRIOR / 2, PRIOR / 4, PRIOR
+    for size, share in (("short", 4), ("middle", 8), ("long", 16)):
+        out["f1", f"own:{size}"], out["f0", f"own:{size}"] = PRIOR / 4, PRIOR / share
+    out["e1", "0"], out["e1", "1"] = PRIOR * 0.01, PRIOR * 0.99
+    return out
 
 
-def label(node: Node) -> int | None:
-    """What the page's own semantic elements say of a node."""
-    return 1 if node.near == "article" else None if node.near == "none" else 0
+def summed(a: float, b: float, c: float) -> float:
+    """log(exp(a) + exp(b) + exp(c))"""
+    top = max(a, b, c)
+    return top + math.log(math.exp(a - top) + math.exp(b - top) + math.exp(c - top))
 
 
 class Model:
     def __init__(self, seen: dict[tuple[str, str], float]) -> None:
         """seen: counts by ('f' + label, feature), ('n', label) and ('e' + parent label, child label)."""
-        prior: Counter = Counter()
-        for m in AROUND:
-            prior["f0", f"mark:{m}"] += PRIOR
-        for m in CONTENT:
-            prior["f1", f"mark:{m}"] += PRIOR / 40
-        for near in ("nav", "header", "footer", "aside", "form", "around"):
-            prior["f0", f"near:{near}"] += 4 * PRIOR
-        prior["f1", "near:article"] += PRIOR
-        prior["f1", "near:none"] += PRIOR / 2
-        prior["f0", "near:none"] += PRIOR / 10
-        prior["f1", "links:few"] += PRIOR / 2
-        for tag in ("p", "h1", "h2", "h3", "blockquote", "pre"):
-            prior["f1", f"tag:{tag}"] += PRIOR / 4
-        prior["f0", "links:most"] += PRIOR
-        for parent in "01":
-            for child in "01":
-                prior[f"e{parent}", child] += PRIOR * (0.95 if parent == child else 0.05)
-        total = prior + Counter(seen)
+        total = prior()
+        total.update(seen)
         size = [total["n", y] + 4 * PRIOR for y in "01"]
-        names = {f for k, f in total if k in ("f0", "f1")}
-        self.odds = {f: tuple(np.log((total[f"f{y}", f] + 1.0) / (size[int(y)] + 2.0)) for y in "01") for f in names}
-        self.edge = np.array([[np.log(total[f"e{p}", c] / (total[f"e{p}", "0"] + total[f"e{p}", "1"])) for c in "01"] for p in "01"])
-
-    def marginals(self, nodes: list[Node]) -> np.ndarray:
-        """P(content) of every node: messages from the leaves to the root, then back."""
-        n = len(nodes)
-        own = np.zeros((n, 2))
-        for i, node in enumerate(nodes):
-            for f in features(node):
-                own[i] += self.odds.get(f, (0.0, 0.0))
-        up, sent, edge = own.copy(), np.zeros((n, 2)), self.edge
+        sure = certain()
+        self.odds: dict[str, tuple[float, float]] = {}  # of article and of container, against around
+        for f in {f for k, f in total if k in ("f0", "f1")} | set(sure):
+            both = (total["f0", f] + total["f1", f] + 2.0) / (sum(size) + 4.0)
+            around_, article = (math.log((1 - POOLED) * (total[f"f{y}", f] + 1.0) / (size[y] + 2.0) + POOLED * both) for y in (0, 1))
+            kind, _, value = f.partition(":")
+            container = math.log(OWN[value] if kind == "own" else both) - (6.0 if kind == "tag" and value in TEXTUAL else 0.0)
+            self.odds[f] = (sure.get(f, article - around_), min(sure.get(f, 0.0), 0.0) + container - around_)
+        ends, never = total["e1", "0"] / (total["e1", "0"] + total["e1", "1"]), -100 * SURELY
+        self.edge = [[0.0, never, never], [math.log(ends), math.log(1 - ends), never], [math.log(x) for x in HELD]]  # log P(child | parent)
+
+    def own(self, node: Node) -> tuple[float, float, float]:
+        """Log potential of each label from the node's own features."""
+        known = [self.odds[f] for f in features(node) if f in self.odds]
+        return 0.0, sum(x[0] for x in known), sum(x[1] for x in known)
+
+    def marginals(self, nodes: list[Node]) -> list[float]:
+        """Log odds of the article against the other labels: messages from the leaves to the root, then back."""
+        edge, n = self.edge, len(nodes)
+        up, sent, down = [self.own(x) for x in nodes], [(0.0, 0.0, 0.0)] * n, [(0.0, 0.0, 0.0)] * n
+        up[0] = (-SURELY, up[0][1], up[0][1])  # the page
         for i in range(n - 1, 0, -1):
-            sent[i] = np.logaddexp(edge[:, 0] + up[i, 0], edge[:, 1] + up[i, 1])
-            sent[i] -= sent[i].max()
-            up[nodes[i].parent] += sent[i]
-        down = np.zeros((n, 2))
+            a, b, c = up[i]
+            x, y, z = (summed(e[0] + a, e[1] + b, e[2] + c) for e in edge)
+            top = max(x, y, z)
+            sent[i] = m = (x - top, y - top, z - top)
+            p = up[nodes[i].parent]
+            up[nodes[i].parent] = (p[0] + m[0], p[1] + m[1], p[2] + m[2])
         for i in range(1, n):
-            rest = up[nodes[i].parent] + down[nodes[i].parent] - sent[i]
-            down[i] = np.logaddexp(rest[0] + edge[0], rest[1] + edge[1])
-            down[i] -= down[i].max()
-        belief = up + down
-        return 1 / (1 + np.exp(np.clip(belief[:, 0] - belief[:, 1], -500, 500)))
+            k, m = nodes[i].parent, sent[i]
+            a, b, c = (up[k][j] + down[k][j] - m[j] for j in range(3))
+            x, y, z = (summed(edge[0][j] + a, edge[1][j] + b, edge[2][j] + c) for j in range(3))
+            top = max(x, y, z)
+            down[i] = (x - top, y - top, z - top)
+        out = []
+        for u, d in zip(up, down, strict=True):
+            rest = summed(u[AROUND] + d[AROUND], u[CONTAINER] + d[CONTAINER], -math.inf)
+            out.append(u[ARTICLE] + d[ARTICLE] - rest)
+        return out
 
 
 def observed(html: str) -> Counter:
+    """Counts of the page's labelled nodes."""
     seen: Counter = Counter()
     nodes, _ = parse(html)
-    labels = [label(x) for x in nodes]
-    for node, y in zip(nodes[1:], labels[1:], strict=True):
-        if y is None:
+    unsure = [False] * len(nodes)
+    labels: list[int | None] = [None] * len(nodes)
+    for i, node in enumerate(nodes[1:], 1):
+        unsure[i] = unsure[node.parent] or around(node.names)
+        if unsure[i] or node.known is None:
             continue
+        labels[i] = y = node.known
         seen["n", str(y)] += 1
         for f in features(node):
             seen[f"f{y}", f] += 1
@@ -225,7 +318,8 @@ def observed(html: str) -> Counter:
     return seen
 
 
-def fit(pages: DataFrame, sample_pages: int = 2000, most_features: int = 5000) -> Model:
+def fit(pages: DataFrame, sample_pages: int = 2000) -> Model:
+    """Counts of a sample of about sample_pages pages; as many features as they show."""
     n = pages.count()
     part = F.pmod(F.xxhash64(F.lit("sample"), F.col("page_id")), F.lit(1 << 30)) / float(1 << 30)
     sample = pages.filter(part < min(1.0, sample_pages / max(n, 1)) if n > sample_pages else F.lit(True))
@@ -240,16 +334,17 @@ def fit(pages: DataFrame, sample_pages: int = 2000, most_features: int = 5000) -
         return step
 
     counts = map_arrow(sample.select(F.col("html").cast("string")), make, "kind string, value string, n long").groupBy("kind", "value").agg(F.sum("n").alias("n"))
-    return Model({(r.kind, r.value): r.n for r in counts.orderBy(F.desc("n"), "kind", "value").limit(most_features).collect()})
+    return Model({(r.kind, r.value): r.n for r in counts.collect()})  # features of the sample
 
 
 def extract(pages: DataFrame, model: Model) -> DataFrame:
-    """(page_id, url, text, n_chars): text blocks whose node is more likely content, joined by line feeds.
+    """(page_id, url, text, n_chars): text blocks whose node is as likely content as not, or more, joined by line feeds.
 
-    pages needs page_id, url and html. Null and empty html give an empty text. Repeated rows repeat their result; an
-    empty table gives an empty one.
+    pages needs page_id, url and html; other columns, whatever their names, are left aside. Null and empty html give an
+    empty text. Very long and deeply nested pages take time in proportion to their length. Repeated rows repeat their
+    result; an empty table gives an empty one.
     """
-    sent = pages.sparkSession.sparkContext.broadcast(model)  # most_features rows at most
+    sent = pages.sparkSession.sparkContext.broadcast(model)  # features of sample_pages pages
 
     def make():
         known = sent.value
@@ -258,8 +353,8 @@ def extract(pages: DataFrame, model: Model) -> DataFrame:
             texts = []
             for html in batch.column(2).to_pylist():
                 nodes, blocks = parse(html or "")
-                likely = known.marginals(nodes) >= 0.5 if blocks else ()
-                texts.append("\n".join(text for node, text in blocks if likely[node]))
+                odds = known.marginals(nodes) if blocks else ()
+                texts.append("\n".join(text for node, text in blocks if odds[node] >= 0))
             yield {"page_id": batch.column(0), "url": batch.column(1), "text": texts, "n_chars": [len(t) for t in texts]}
 
         return step
