@@ -7,10 +7,12 @@ shingle meet in a tile, and shingles with the same nodes make one tile: it is na
 of names only joins two tiles. Parity bitmaps bound the overlap from above (their differing bits never exceed the
 differing shingles); what passes is verified on the sets themselves, as sorted arrays.
 
-First each node is held against the smallest node of each of its tiles, and the nearest of these is verified. Nodes
-still in different components are then compared within tiles of one size band, cut into blocks; of the pairs that pass,
-a block sends those of a shortest spanning forest to be verified, at most one a node. Where all of them are links, the
-block is done; tiles with a pair that failed send their other pairs too, so no link between components is lost.
+A tile's nodes, sorted by size, are compared within bands of sizes; a large tile is cut into blocks, which all hold its
+smallest node. Of the pairs that pass, a block keeps those of a shortest spanning forest, less than one a node, and of a
+node's pairs the nearest is verified first, then those that still link different components. Where all pairs of a forest
+end up connected, nothing of the block is open. Tiles of several blocks are then compared across blocks, and tiles with
+an unconnected pair send their other pairs too, in both cases only nodes of different components; so no link between
+components is lost.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postalis.llm.common import Scratch, hashed_words, map_arrow, map_groups, map_sorted, mixed, raw, screen
+from postalis.llm.common import Scratch, hashed_words, map_arrow, map_sorted, mixed, raw, screen
 from postalis.llm.graph import components
 
 BUCKETS = 1 << 16
@@ -62,13 +64,6 @@ def bitmap(shingles: np.ndarray) -> bytes:
     return np.packbits(np.bincount(slots, minlength=width) & 1).astype(np.uint8).tobytes()
 
 
-def folded(bits: bytes, width: int) -> np.ndarray:
-    out = np.frombuffer(bits, np.uint8)
-    while len(out) > width:  # slots are low bits, so halves add up
-        out = out[: len(out) // 2] ^ out[len(out) // 2 :]
-    return out
-
-
 def summarise(docs: DataFrame, size: int) -> DataFrame:
     """A row a document: (chunk null, doc_id, n, node, bits); and CHUNKS rows a task: (chunk, part, bits: bucket counts)."""
 
@@ -116,14 +111,14 @@ def crowded(loads: DataFrame, group: int = 64) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, size: int, percent: int, hot: np.ndarray, late: bool) -> DataFrame:
-    """(key, node): the shingles under which a node is indexed, those of crowded buckets (late) or the others."""
+    """(key, node, n): the shingles under which a node is indexed, those of crowded buckets (late) or the others."""
     sent = docs.sparkSession.sparkContext.broadcast(np.packbits(hot))
 
     def make():
         crowd = np.unpackbits(sent.value).astype(bool)
 
         def step(batch: pa.RecordBatch):
-            keys, nodes, lengths = [], [], []
+            keys, nodes, sizes, lengths = [], [], [], []
             for own in shingle_sets(raw(batch.column(0)), size):
                 if n := len(own):
                     behind = crowd[(own & np.uint64(BUCKETS - 1)).astype(np.int64)]
@@ -131,29 +126,78 @@ def prefixes(docs: DataFrame, size: int, percent: int, hot: np.ndarray, late: bo
                     first = own[behind][: max(0, most - len(early))] if late else early[:most]
                     keys.append(first.view(np.int64))
                     nodes.append(set_key(own))
+                    sizes.append(n)
                     lengths.append(len(first))
-            yield {"key": np.concatenate(keys) if keys else np.zeros(0, np.int64), "node": np.repeat(np.array(nodes, np.int64), lengths)}
+            yield {"key": np.concatenate(keys) if keys else np.zeros(0, np.int64), "node": np.repeat(np.array(nodes, np.int64), lengths), "n": np.repeat(np.array(sizes, np.int32), lengths)}
 
         return step
 
-    return map_arrow(docs.select(F.col("text").cast("string")), make, "key long, node long")
+    return map_arrow(docs.select(F.col("text").cast("string")), make, "key long, node long, n int")
 
 
 def meetings(docs: DataFrame, size: int, percent: int, hot: np.ndarray) -> DataFrame:
-    """(tile, node, low, m): nodes that share an indexed shingle, the smallest node of it, about how many there are.
+    """(tile, node, low, m): nodes that share an indexed shingle with another one of a size that can be similar, the
+    smallest node of the shingle, about how many there are.
 
     A shingle out of the crowded buckets has a bounded share of all rows, so a window sees its nodes together. Those of
     crowded buckets, which may have any share, are first summed up in parts, then joined, which Spark can split.
     """
-    over = Window.partitionBy("key")
+    over, sized = Window.partitionBy("key"), Window.partitionBy("key").orderBy("n")
     summed = {"low": F.min("node"), "high": F.max("node"), "all": F.bit_xor(F.xxhash64("node")), "m": F.count("*")}
-    early = prefixes(docs, size, percent, hot, late=False).withColumns({n: c.over(over) for n, c in summed.items()}).filter("low < high")
+    near = (F.col("n") * percent <= 100 * F.lag("n").over(sized)) | (percent * F.lead("n").over(sized) <= 100 * F.col("n"))
+    early = prefixes(docs, size, percent, hot, late=False).withColumn("near", near).filter("near").withColumns({n: c.over(over) for n, c in summed.items()}).filter("low < high")
     rows = prefixes(docs, size, percent, hot, late=True)
     late = rows.join(rows.groupBy("key").agg(*(c.alias(n) for n, c in summed.items())).filter("low < high"), "key")
-    both = early.unionByName(late.select(*early.columns))
+    names = ["node", "low", "high", "all", "m"]
+    both = early.select(*names).unionByName(late.select(*names))
     return both.groupBy(F.xxhash64("low", "high", "all").alias("tile"), "node").agg(F.min("low").alias("low"), F.max("m").alias("m"))
 
 
+class Signatures:
+    """Bitmaps of a batch's rows as one matrix a width."""
+
+    def __init__(self, bits: list[bytes]) -> None:
+        self.width = np.fromiter(map(len, bits), np.int64, len(bits))
+        self.place, self.rows = np.zeros(len(bits), np.int64), {}
+        for w in np.unique(self.width).tolist():
+            at = np.flatnonzero(self.width == w)
+            self.place[at] = np.arange(len(at))
+            self.rows[w] = np.frombuffer(b"".join([bits[i] for i in at.tolist()]), np.uint64).reshape(len(at), -1)
+
+    def of(self, at: np.ndarray, width: int, own: int) -> np.ndarray:
+        out = self.rows[own][self.place[at]]
+        while out.shape[1] * 8 > width:  # slots are low bits, so halves add up
+            half = out.shape[1] // 2
+            out = out[:, :half] ^ out[:, half:]
+        return out
+
+    def differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Slots in which the rows a and b differ."""
+        out, low, high = np.zeros(len(a), np.int64), self.width[a], self.width[b]
+        for u, v in {*zip(low.tolist(), high.tolist(), strict=True)}:
+            at = np.flatnonzero((low == u) & (high == v))
+            width = min(u, v)
+            out[at] = np.bitwise_count(self.of(a[at], width, u) ^ self.of(b[at], width, v)).sum(1, dtype=np.int64)
+        return out
+
+
+def passing(last: np.ndarray, n: np.ndarray, bits: list[bytes], percent: int, fit) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, differ): pairs of rows that fit and that sizes and bitmaps let pass. Rows are sorted by group and size n;
+    last: the index after each row's group."""
+    signatures, rows = Signatures(bits), np.arange(len(n))
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    step, a = 1, rows
+    while len(a := a[a + step < last[a]]):
+        a = a[percent * n[a + step] <= 100 * n[a]]  # those after are larger still
+        own = a[fit(a, a + step)]
+        if len(own):
+            differ = signatures.differ(own, own + step)
+            ok = overlap_ok(n[own], n[own + step], differ, percent)
+            found.append((own[ok], own[ok] + step, differ[ok]))
+        step += 1
+    return tuple(np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found, strict=True) if found else [()] * 3))
+
+
 def overlap_ok(n: np.ndarray, m: np.ndarray, differ: np.ndarray, percent: int) -> np.ndarray:
     """Whether sets of n and m shingles that differ in at least `differ` places can reach the similarity."""
     shared = (n + m - np.maximum(differ, np.abs(n - m))) // 2
@@ -199,59 +243,20 @@ def verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int, scratch:
     return links
 
 
-def stars(shared: DataFrame, nodes: DataFrame, percent: int, block: int) -> DataFrame:
-    """(x, y, rx, ry): for each node, of its tiles' smallest nodes the one that sizes and bitmaps let pass with the
-    fewest differing bits. A large tile is cut into blocks, each with its own copy of the smallest node."""
-    rows = shared.join(nodes, "node").withColumn("blocks", F.ceil(F.col("m") / block).cast("long"))
-    own = F.array(F.pmod(F.xxhash64("node"), "blocks"))
-    rows = rows.withColumn("blk", F.explode(F.when(F.col("node") == F.col("low"), F.expr("sequence(0L, blocks - 1)")).otherwise(own)))
-
-    def make():
-        last: list = [None]
-
-        def step(batch: pa.RecordBatch):
-            if not batch.num_rows:
-                return
-            if last[0] is not None:  # the head of the group that the batch before ended with
-                batch = pa.concat_batches([last[0], batch])
-            tile, blk, node, n, rep = (batch.column(c).to_numpy() for c in ("tile", "blk", "node", "n", "rep"))
-            change = np.ones(len(tile), bool)
-            change[1:] = (tile[1:] != tile[:-1]) | (blk[1:] != blk[:-1])
-            head = np.maximum.accumulate(np.where(change, np.arange(len(tile)), 0))
-            at = np.flatnonzero((node != node[head]) & (100 * np.minimum(n, n[head]) >= percent * np.maximum(n, n[head])))
-            bits = batch.column("bits")
-            differ = np.zeros(len(at), np.int64)
-            first, own_bits = -1, b""
-            for k, i in enumerate(at.tolist()):
-                if head[i] != first:
-                    first, own_bits = head[i], bits[int(head[i])].as_py()
-                other = bits[i].as_py()
-                width = min(len(own_bits), len(other))
-                differ[k] = np.bitwise_count(folded(own_bits, width) ^ folded(other, width)).sum()
-            ok = overlap_ok(n[at], n[head[at]], differ, percent)
-            at, differ = at[ok], differ[ok]
-            last[0] = batch.slice(int(head[-1]), 1)
-            yield {"x": node[at], "differ": differ, "y": node[head[at]], "rx": rep[at], "ry": rep[head[at]]}
-
-        return step
-
-    near = map_sorted(rows.select("tile", "blk", "node", "n", "rep", "bits"), ["tile", "blk"], ["node"], make, "x long, differ long, y long, rx long, ry long")
-    return near.groupBy("x").agg(F.min(F.struct("differ", "y", "rx", "ry")).alias("s")).select("x", "s.y", "s.rx", "s.ry")
-
-
-def forest(n: int, groups: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[int]:
-    """Which of the edges x-y make a lightest spanning forest over n nodes, of which those of one group are connected."""
-    lead = np.unique(groups, return_inverse=True)[1]
-    place = list(range(int(lead.max()) + 1))
+def forest(groups: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[int]:
+    """Which of the edges x-y make a lightest spanning forest over nodes, of which those of one group are connected."""
+    lead = np.unique(groups, return_inverse=True)[1].tolist()
+    place = list(range(len(groups)))
+    open_ = len(set(lead)) - 1
+    chosen = []
 
     def top(i: int) -> int:
         while place[i] != i:
             place[i] = i = place[place[i]]
         return i
 
-    chosen, open_ = [], len(place) - 1
     for k in np.argsort(weight, kind="stable").tolist():
-        i, j = top(int(lead[x[k]])), top(int(lead[y[k]]))
+        i, j = top(lead[x[k]]), top(lead[y[k]])
         if i != j:
             place[max(i, j)] = min(i, j)
             chosen.append(k)
@@ -261,58 +266,100 @@ def forest(n: int, groups: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.
     return chosen
 
 
-def tiles(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, every: bool, block: int) -> DataFrame:
-    """(tile, x, y, rx, ry): nodes of different components that share a tile and may reach the similarity; all such
-    pairs, or those of a lightest forest of each block.
+PAIR = "tile long, x long, y long, differ long, rx long, ry long"
+
+
+def by_tile(rows: DataFrame, keys: list[str], percent: int, fitting) -> DataFrame:
+    """PAIR: of each group of rows (tile, other keys, node, n, rep, bits), pairs that may reach the similarity. fitting:
+    makes a function of two arrays of row numbers from a batch; groups whose rows have `every` give all pairs, others
+    those of a lightest forest."""
+
+    def make():
+        rest: list = [None]
+
+        def whole(table: pa.RecordBatch, starts: np.ndarray):
+            n, node, rep, tile = (table.column(c).to_numpy() for c in ("n", "node", "rep", "tile"))
+            every = table.column("every").to_numpy(zero_copy_only=False)
+            lengths = np.diff(starts)
+            last, group = np.repeat(starts[1:], lengths), np.repeat(np.arange(len(lengths)), lengths)
+            a, b, differ = passing(last, n, table.column("bits").to_pylist(), percent, fitting(table))
+            keep = []
+            order = np.argsort(group[a], kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(group[a[order]])) + 1) if len(order) else ():
+                if len(own) == 1 or every[a[own[0]]]:
+                    keep.append(own)
+                    continue
+                nodes, at = np.unique(np.concatenate([a[own], b[own]]), return_inverse=True)
+                groups = table.column("component").to_numpy()[nodes] if "component" in table.schema.names else nodes
+                keep.append(own[forest(groups, at[: len(own)], at[len(own) :], differ[own])])
+            keep = np.concatenate(keep) if keep else order
+            a, b, differ = a[keep], b[keep], differ[keep]
+            a, b = np.where(node[a] < node[b], a, b), np.where(node[a] < node[b], b, a)
+            yield {"tile": tile[a], "x": node[a], "y": node[b], "differ": differ, "rx": rep[a], "ry": rep[b]}
+
+        def step(batch: pa.RecordBatch | None):
+            table = rest[0] if batch is None else batch if rest[0] is None else pa.concat_batches([rest[0], batch])
+            if table is None or not table.num_rows:
+                return
+            change = np.zeros(table.num_rows - 1, bool)
+            for key in keys:
+                column = table.column(key).to_numpy()
+                change |= column[1:] != column[:-1]
+            starts = np.concatenate([[0], np.flatnonzero(change) + 1, [table.num_rows]])
+            if batch is None:
+                yield from whole(table, starts)
+                return
+            rest[0] = table.slice(int(starts[-2]))  # the last group may go on
+            if len(starts) > 2:
+                yield from whole(table.slice(0, int(starts[-2])), starts[:-1])
+
+        return step
+
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "n")
+    return map_arrow(dealt, make, PAIR, end=True)
+
+
+def first_pairs(shared: DataFrame, nodes: DataFrame, percent: int, block: int) -> DataFrame:
+    """PAIR: the forests of all tiles, of a large one within its blocks."""
+    rows = shared.join(nodes, "node").withColumn("blocks", F.ceil(F.col("m") / block).cast("long"))
+    own = F.array(F.pmod(F.xxhash64("node"), "blocks"))
+    rows = rows.withColumn("blk", F.explode(F.when(F.col("node") == F.col("low"), F.expr("sequence(0L, blocks - 1)")).otherwise(own)))
+    rows = rows.select("tile", "blk", "node", F.col("n").cast("long").alias("n"), "rep", "bits", F.lit(False).alias("every"))
+    return by_tile(rows, ["tile", "blk"], percent, lambda table: lambda a, b: np.ones(len(a), bool))
+
+
+def open_pairs(todo: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, block: int) -> DataFrame:
+    """PAIR: of the tiles todo (tile, node, every), nodes of different components.
 
     Nodes of a tile's smallest component (main) need no comparison with each other; the others are cut into blocks j,
-    which meet each block i of main, and each other (i below 0).
+    which meet each block i of main, and each other (i below 0). Four size bands make one coarse band; its nodes meet
+    those of the lowest band above it too.
     """
     ratio = math.log(100 / percent)
-    named = shared.select("tile", "node").join(nodes, "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = named.withColumn("own", F.floor(F.log("n") / ratio + 1e-9).cast("long")).withColumn("band", F.explode(F.array("own", F.col("own") + 1)))
-    sizes = rows.groupBy("tile", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("own").alias("top")).filter("lo < hi and top = band")
+    named = todo.join(nodes, "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    own = F.floor(F.log("n") / ratio + 1e-9).cast("long")
+    rows = named.withColumn("own", own).withColumn("base", F.floor(F.col("own") / 4).cast("long"))
+    rows = rows.withColumn("band", F.explode(F.when(F.col("own") % 4 == 0, F.array("base", F.col("base") - 1)).otherwise(F.array("base"))))
+    sizes = rows.groupBy("tile", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("base").alias("top"), F.min("base").alias("bottom")).filter("lo < hi and bottom = band")
     rows = rows.join(sizes.select("tile", "band", "lo"), ["tile", "band"]).withColumn("main", F.col("component") == F.col("lo"))
     counts = rows.groupBy("tile", "band").agg(F.ceil(F.count_if("main") / block).cast("long").alias("p"), F.ceil(F.count_if(~F.col("main")) / block).cast("long").alias("q"))
     cut = rows.join(counts, ["tile", "band"]).withColumn("blk", F.pmod(F.xxhash64("node"), F.when(F.col("main"), F.col("p")).otherwise(F.col("q"))))
     places = F.expr("""case when main then transform(sequence(0L, q - 1), j -> struct(blk as i, j as j))
         else concat(transform(sequence(0L, p - 1), i -> struct(i as i, blk as j)), transform(filter(sequence(0L, q - 1), o -> o <> blk), o -> struct(-1 - least(o, blk) as i, greatest(o, blk) as j))) end""")
-    cut = cut.select("tile", "band", "node", "n", "rep", "bits", "component", "own", "main", "blk", F.inline(places))
-
-    def compared():
-        def step(group: pa.RecordBatch):
-            node, n, rep, component, own, blk = (group.column(c).to_numpy() for c in ("node", "n", "rep", "component", "own", "blk"))
-            main = group.column("main").to_numpy(zero_copy_only=False)
-            band, i = group.column("band")[0].as_py(), group.column("i")[0].as_py()
-            if len(node) < 2 or (component == component[0]).all():
-                return
-            raw_bits = group.column("bits").to_pylist()
-            width = min(map(len, raw_bits))
-            bits = np.stack([folded(b, width) for b in raw_bits]).view(np.uint64)
-            xs, ys, weights = [], [], []
-            for k in range(len(node) - 1):
-                fit = (component[k + 1 :] != component[k]) & ((own[k + 1 :] == band) | (own[k] == band))
-                if i < 0:
-                    fit &= blk[k + 1 :] != blk[k]  # two blocks that are not main's: each with itself elsewhere
-                elif i > 0:
-                    fit &= main[k + 1 :] != main[k]  # others among themselves are block 0's
-                at = np.flatnonzero(fit) + k + 1
-                if len(at):
-                    differ = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64)
-                    ok = overlap_ok(n[at], n[k], differ, percent)
-                    xs.append(at[ok])
-                    ys.append(np.full(int(ok.sum()), k))
-                    weights.append(differ[ok])
-            x, y, weight = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys, weights))
-            if not every and len(x):
-                keep = forest(len(node), component, x, y, weight)
-                x, y = x[keep], y[keep]
-            x, y = np.where(node[x] < node[y], x, y), np.where(node[x] < node[y], y, x)
-            yield {"tile": [group.column("tile")[0].as_py()] * len(x), "x": node[x].tolist(), "y": node[y].tolist(), "rx": rep[x].tolist(), "ry": rep[y].tolist()}
+    cut = cut.select("tile", "band", "node", F.col("n").cast("long").alias("n"), "rep", "bits", "every", "component", "base", "main", "blk", F.inline(places))
 
-        return step
+    def fitting(table: pa.RecordBatch):
+        component, base, band, blk, i = (table.column(c).to_numpy() for c in ("component", "base", "band", "blk", "i"))
+        main = table.column("main").to_numpy(zero_copy_only=False)
+
+        def fit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            ok = (component[a] != component[b]) & ((base[a] == band[a]) | (base[b] == band[a]))
+            ok &= (i[a] >= 0) | (blk[a] != blk[b])  # two blocks that are not main's: each with itself elsewhere
+            return ok & ((i[a] <= 0) | (main[a] != main[b]))  # others among themselves are block 0's
 
-    return map_groups(cut, ["tile", "band", "i", "j"], compared, "tile long, x long, y long, rx long, ry long")
+        return fit
+
+    return by_tile(cut, ["tile", "band", "i", "j"], percent, fitting)
 
 
 def classes(docs: DataFrame, size: int = 4, percent: int = 85, block: int = 1024) -> DataFrame:
@@ -333,26 +380,40 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85, block: int = 1024
     nodes = keep(linked.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("bits").alias("bits")))
     texts = screen(docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text"), "doc_id", nodes.select(F.col("rep").alias("doc_id")))
     shared = keep(meetings(texts, size, percent, hot))
+    found = keep(first_pairs(shared, nodes, percent, block))
+    pairs = found.groupBy("x", "y").agg(F.min("differ").alias("differ"), F.min("rx").alias("rx"), F.min("ry").alias("ry"))
+    best = keep(pairs.groupBy("x").agg(F.min(F.struct("differ", "y", "rx", "ry")).alias("s")).select("x", "s.y", "s.rx", "s.ry"))
     first = linked.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("doc_id", "a")
     one_id = linked.select("doc_id", F.col("node").alias("b")).join(first, "doc_id").filter("a < b").select("a", "b")  # one id, many texts
-    pairs = keep(stars(shared, nodes, percent, 2 * block))
-    links = keep(verify(docs, pairs, size, percent, scratch, block // 4).unionByName(one_id))
-    drop(pairs)
+    links = keep(verify(docs, best, size, percent, scratch, block // 4).unionByName(one_id))
     labels = components(links, scratch)
-    tested = None
-    for every in (False, True):  # forests join most; then all pairs of tiles in which one of them failed
-        found = keep(tiles(shared, nodes, labels, percent, every, block))
-        pairs = found.groupBy("x", "y").agg(F.min("rx").alias("rx"), F.min("ry").alias("ry"))
-        pairs = keep(pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti"))
-        if not pairs.isEmpty():
-            new = verify(docs, pairs, size, percent, scratch, block // 4)
-            failed = pairs.select("x", "y").join(new.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"], "left_anti")
-            shared = keep(shared.join(found.join(failed, ["x", "y"]).select("tile").distinct(), "tile", "left_semi"))
-            old, labels = labels, components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new), scratch)
-            drop(old)
-        if pairs.isEmpty() or shared.isEmpty():
+
+    def apart(rows: DataFrame) -> DataFrame:
+        """The pairs (x, y) of nodes in different components."""
+        for c in ("x", "y"):
+            rows = rows.join(labels.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")), c, "left").withColumn(f"of_{c}", F.coalesce(f"of_{c}", c))
+        return rows.filter("of_x <> of_y").drop("of_x", "of_y")
+
+    def verified(rows: DataFrame) -> DataFrame:
+        """labels with the links among the rows' pairs, which are not tested yet."""
+        new = verify(docs, rows, size, percent, scratch, block // 4)
+        return components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new), scratch)
+
+    tested, rounds = best.select("x", "y"), 0
+    while True:
+        distant = keep(apart(found))
+        rest = keep(distant.select("x", "y", "rx", "ry").distinct().join(tested, ["x", "y"], "left_anti"))
+        if not rest.isEmpty():
+            labels, tested = verified(rest), tested.unionByName(rest.select("x", "y"))
+        failed = apart(distant.filter("not every") if rounds else distant).select("tile").distinct()
+        large = (F.col("m") > block) & F.lit(not rounds)  # whose blocks have not met yet
+        todo = shared.filter(~large).join(failed, "tile", "left_semi").select("tile", "node", F.lit(True).alias("every"))
+        todo = keep(todo.unionByName(shared.filter(large).select("tile", "node", F.lit(False).alias("every"))))
+        drop(distant)
+        if todo.isEmpty():
             break
-        tested = pairs.select("x", "y")
+        found, rounds = keep(open_pairs(todo, nodes, labels, percent, block).join(todo.select("tile", "every").distinct(), "tile")), rounds + 1
+    drop(shared)
     named = nodes.select("node", "rep").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("rep").alias("low"))
     named = keep(named.join(lowest, "component").select("node", "low"))

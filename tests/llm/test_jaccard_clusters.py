@@ -33,4 +33,4 @@ def test_forest_connects_groups_by_the_lightest_edges():
     import numpy as np
 
     x, y, weight = np.array([0, 0, 1, 2, 3]), np.array([2, 3, 2, 3, 4]), np.array([5, 1, 4, 2, 9])
-    assert jaccard.forest(5, np.array([7, 7, 8, 9, 10]), x, y, weight) == [1, 3, 4]
+    assert jaccard.forest(np.array([7, 7, 8, 9, 10]), x, y, weight) == [1, 3, 4]

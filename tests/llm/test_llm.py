@@ -131,6 +131,22 @@ def test_top_k(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    values = {0: [3e15, 2e15], 1: [1.0, 1.0], 2: [-1e15, 2e15], 3: [1.0, -1.0], 50: [0.5, 0.25], 51: [2e16, 1.0], 52: [0.0, -1e300]}
+    frame = lambda keys: spark.createDataFrame([(k, values[k]) for k in keys], "vec_id long, embedding array<double>")
+    for keys in ((0, 1, 3, 50), (50, 51, 1, 2)):
+        got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(frame(keys), F.col("vec_id") % 50 == 0, scale=2).collect()}
+        for q in [k for k in keys if k % 50 == 0]:
+            score = {k: sum(int(2 * x // 1) * int(2 * y // 1) for x, y in zip(values[q], values[k], strict=True)) for k in keys if k != q}
+            for n, k in enumerate(sorted(score, key=lambda k: (-score[k], k)), 1):
+                assert got.pop((q, n)) == (k, score[k])
+        assert not got
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        topk.top_k(frame((0, 1, 2)), F.col("vec_id") % 50 == 0).collect()
+    with pytest.raises(Exception, match="no double"):
+        topk.top_k(frame((1, 50, 52)), F.col("vec_id") % 50 == 0, scale=10**9).collect()
+
+
 def test_quality(edge, none, docs):
     for frame in (edge, docs):
         for r, g in zip(frame.orderBy("doc_id").collect(), quality.judge(frame).orderBy("doc_id").collect(), strict=True):
@@ -292,15 +308,60 @@ def test_html(spark):
 
 
 def test_tree_marginals_equal_enumeration():
-    model = htmltext.Model({})
-    nodes, _ = htmltext.parse("<div><p>some words</p><ul><li><a>x</a></li></ul></div>")
-    own = [sum((np.array(model.odds.get(f, (0.0, 0.0))) for f in htmltext.features(n)), np.zeros(2)) for n in nodes]
-    total, content = 0.0, np.zeros(len(nodes))
-    for y in np.ndindex(*(2,) * len(nodes)):
-        weight = math.exp(sum(own[i][v] for i, v in enumerate(y)) + sum(model.edge[y[n.parent]][y[i]] for i, n in enumerate(nodes) if i))
-        total += weight
-        content += weight * np.array(y)
-    assert np.allclose(model.marginals(nodes), content / total)
+    for seen in ({}, {("f0", "copyright"): 90, ("n", "0"): 100, ("e1", "0"): 500, ("f1", "tag:li"): 70}):
+        model = htmltext.Model(seen)
+        for page in ("<div>top<p>some words &copy;</p><ul><li><a>x</a></li></ul></div>", "<header>h</header><div class='post'><p>a</p><aside>b</aside></div>"):
+            nodes, _ = htmltext.parse(page)
+            own = [model.own(n) for n in nodes]
+            own[0] = (-htmltext.SURELY, own[0][1], own[0][1])
+            weight = {y: sum(own[i][v] for i, v in enumerate(y)) + sum(model.edge[y[n.parent]][y[i]] for i, n in enumerate(nodes) if i) for y in np.ndindex(*(3,) * len(nodes))}
+            for i, odds in enumerate(model.marginals(nodes)):
+                yes, no = (np.logaddexp.reduce([w for y, w in weight.items() if (y[i] == htmltext.ARTICLE) == side]) for side in (True, False))
+                assert math.isclose(odds, yes - no, rel_tol=1e-6, abs_tol=1e-6)
+
+
+ODD_PAGE = """<body><div class="has-sidebar page"><article><h1>Head</h1><p class="search-methods">Methods</p><p class="alert">Beware</p><div id="form-of-words">Form of words, several of them</div>
+<div class="notice">Notice</div><div class="ad"><p>A long advert that goes on and on in one long paragraph, as long as any paragraph of the article itself.</p></div><p>Area <math>x = 1</math> and <audio>fallback</audio>
+<button>press<p>after the button</p><section class="comments"><div><p>First reader comment of many words, really many of them, like a paragraph.</p><p>Second reader comment of many words, really many of them.</p></div></section></article></div></body>"""
+
+
+def test_html_words_of_names_and_nested_parts():
+    for model in (htmltext.Model({}), htmltext.Model(htmltext.observed(PAGE))):
+        nodes, blocks = htmltext.parse(ODD_PAGE)
+        odds = model.marginals(nodes)
+        assert [t for i, t in blocks if odds[i] >= 0] == ["Head", "Methods", "Beware", "Form of words, several of them", "Area x = 1 and fallback", "after the button"]
+
+
+def test_html_deep_and_unclosed(spark):
+    import time
+
+    pages = ["<div>" * 30_000 + "deep" + "</p>" * 30_000, "<button>" * 30_000 + "<p>text</p>", "<nav>" * 5_000 + "<li>x" * 5_000, "<p>" + "long " * 400_000 + "</p>"]
+    start = time.perf_counter()
+    found = [htmltext.parse(p) for p in pages]
+    assert time.perf_counter() - start < 10
+    assert [b[-1][1] for _, b in found[:2]] == ["deep", "text"] and found[3][1][0][1] == ("long " * 400_000).strip()
+    frame = spark.createDataFrame([(i, "u", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.n_chars for r in htmltext.extract(frame, htmltext.Model({})).collect()}
+    assert got[3] == 5 * 400_000 - 1
+
+
+def test_html_against_pages_without_names(spark):
+    """The model, fitted on half of the pages, on the other half with and without the names of semantic elements."""
+    rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    seen = Counter()
+    for r in rows[::2]:
+        seen.update(htmltext.observed(r.html))
+    model, hidden, same = htmltext.Model(seen), 0, 0
+    for r in rows[1::2]:
+        nodes, blocks = htmltext.parse(r.html)
+        article = [t for i, t in blocks if nodes[i].known == 1]
+        for names in (True, False):
+            html = r.html if names else re.sub(r"<(/?)(article|main|nav|footer|aside|form|header)\b", r"<\1div", r.html)
+            nodes, blocks = htmltext.parse(html)
+            odds = model.marginals(nodes)
+            equal = [t for i, t in blocks if odds[i] >= 0] == article
+            same, hidden = same + (names and equal), hidden + (not names and equal)
+    assert same == len(rows[1::2]) and hidden >= 0.9 * same
 
 
 def test_pipeline(spark):
