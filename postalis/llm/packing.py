@@ -12,7 +12,7 @@ import re
 import zlib
 from bisect import bisect_right, insort
 from functools import cache
-from struct import pack as pack_ids
+from struct import Struct
 from unicodedata import normalize
 
 import numpy as np
@@ -38,6 +38,13 @@ PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 ALPHABET = {b: 0x100 + i for i, b in enumerate(sorted(set(range(256)) - set(PRINTABLE)))}
 
 
+PACKS = [Struct(f"<{n}I").pack for n in range(64)]
+
+
+def packed(ids: list[int]) -> bytes:
+    return PACKS[len(ids)](*ids) if len(ids) < len(PACKS) else Struct(f"<{len(ids)}I").pack(*ids)
+
+
 class TokenIds(dict):
     """White-space delimited chunk -> its ids as little-endian uint32 bytes. The pre-tokenizer never joins chunks across
     ASCII white space, so a text's ids are its chunks' ids in turn. One per Python worker, of about `most` chunks;
@@ -51,47 +58,33 @@ class TokenIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.tokenizer, self.most, self.by_runs = Tokenizer.from_file(path), most, True
         self.tokenize = self.tokenizer.model.tokenize
-        samples = [x + y for x in (*LETTERS, *("letters", "été", LETTERS)) for y in ("", ".", "...", "$$$", ",word", "-", MARKS.replace("<", ""))]
-        self.by_runs = all(self.run_ids(x) == self.packed(found.ids) for x, found in zip(samples, self.tokenizer.encode_batch_fast(samples, add_special_tokens=False), strict=True))
-
-    @staticmethod
-    def packed(ids: list[int]) -> bytes:
-        return pack_ids(f"<{len(ids)}I", *ids)
-
-    def run_ids(self, text: str) -> bytes:
-        out = []
-        for run in RUN.findall(text):
-            key = run.encode()
-            if (ids := self.get(key)) is None:
-                ids = self[key] = self.packed([x.id for x in self.tokenize(key.decode("latin-1").translate(ALPHABET))])
-            out.append(ids)
-        return out[0] if len(out) == 1 else b"".join(out)
-
-    def learn(self, chunks: list[bytes]) -> None:
-        rest = []
-        for chunk in chunks:
-            text = chunk.decode()
-            if self.by_runs and RUNS.fullmatch(text) and "<|" not in text:
-                self[chunk] = self.run_ids(text)
+        samples = [x + y for x in (*LETTERS, "letters", "été", LETTERS) for y in ("", ".", "...", "$$$", ",word", "-", MARKS.replace("<", ""))]
+        self.by_runs = all(self[x.encode()] == packed(found.ids) for x, found in zip(samples, self.tokenizer.encode_batch_fast(samples, add_special_tokens=False), strict=True))
+        if not self.by_runs:
+            self.clear()
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        if self.by_runs and chunk.isalpha() and chunk.islower():  # ASCII, which the byte-level alphabet leaves as it is
+            ids = packed([x.id for x in self.tokenize(chunk.decode())])
+        elif self.by_runs and RUNS.fullmatch(text := chunk.decode()) and "<|" not in text:
+            runs = RUN.findall(text)
+            if len(runs) == 1:
+                ids = packed([x.id for x in self.tokenize(chunk.decode("latin-1").translate(ALPHABET))])
             else:
-                rest.append((chunk, text))
-        for (chunk, _), found in zip(rest, self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False), strict=True):
-            self[chunk] = self.packed(found.ids)
+                ids = b"".join([self[run.encode()] for run in runs])
+        else:
+            ids = packed(self.tokenizer.encode_batch_fast([chunk.decode()], add_special_tokens=False)[0].ids)
+        self[chunk] = ids
+        return ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        # The tokenizer lowers case itself; only its special tokens, "<|...|>", are told apart by case before.
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        new = set().union(*split).difference(self)
-        if len(self) + len(new) > self.most:
+        if len(self) > self.most:
             for chunk in list(self)[self.most * 2 // 5 :]:
                 del self[chunk]
-            new = set().union(*split).difference(self)
-        if new:
-            self.learn(list(new))
-        get = self.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        # The tokenizer lowers case itself; only its special tokens, "<|...|>", are told apart by case before.
+        return [b"".join(map(self.__getitem__, (t if b"<|" in t else t.lower()).split())) for t in texts]
 
 
 @cache
