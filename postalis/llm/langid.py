@@ -2,7 +2,8 @@
 
 A word the model knows scores by its log frequency in each language; an unseen word falls back to its known character
 n-grams, the longest length that has any, down to single characters. The model is fitted on a bounded sample of
-labelled rows (docs_per_lang of each of the most_langs commonest labels, drawn by a hash of the id).
+labelled rows (docs_per_lang of each label, drawn by a hash of the id) and keeps each label's own commonest words and
+n-grams, per_lang of either, and all single characters; so labels, however many or unequal, don't share one budget.
 """
 
 from __future__ import annotations
@@ -13,10 +14,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postalis.llm.common import map_arrow
+from postalis.llm.common import durable, map_arrow
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -34,76 +35,92 @@ def grams(word: str, n: int) -> list[str]:
 
 
 class Model:
-    """Broadcast as it is: at most most_words + most_grams rows of one number a language."""
+    """Log frequencies, sparse: of each word or n-gram, only languages that have it, above each language's floor."""
 
     def __init__(self, langs: list[str], docs: list[int], rows: list[tuple[int, str, dict[str, int]]]) -> None:
         self.langs, at = langs, {x: i for i, x in enumerate(langs)}
         self.prior = np.log(np.array(docs, float) / max(1, sum(docs))) if langs else np.zeros(0)
         self.tables: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
-        count = np.zeros((len(rows), len(langs)))
-        kinds = np.array([r[0] for r in rows], int)
-        for i, (kind, gram, by_lang) in enumerate(rows):
+        for i, (kind, gram, _) in enumerate(rows):
             self.tables[kind][gram] = i
-            for lang, n in by_lang.items():
-                count[i, at[lang]] = n
-        for kind in range(LONGEST + 1):
-            own = kinds == kind
-            if own.any():
-                part = count[own] + 0.5
-                count[own] = np.log(part / part.sum(0))
-        self.logs = count
+        self.lengths = np.array([len(by) for *_, by in rows], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.lang = np.array([at[x] for *_, by in rows for x in by], np.int32)
+        n = np.array([x for *_, by in rows for x in by.values()], float)
+        kind = np.repeat(np.array([r[0] for r in rows], np.int64), self.lengths)
+        total = np.bincount(kind * len(langs) + self.lang, n, minlength=(LONGEST + 1) * len(langs)).reshape(LONGEST + 1, -1) if langs else np.zeros((LONGEST + 1, 0))
+        size = np.array([len(t) for t in self.tables])[:, None]
+        self.floors = np.log(0.5) - np.log(total + 0.5 * size + 1e-300)
+        self.above = np.log(n + 0.5) - np.log(0.5)
 
 
 class Scorer:
-    """Rows of word scores, grown as words are met; back to the model's own beyond about most_numbers numbers."""
+    """Word scores as slices of two growing arrays (language, log frequency above the floor) and the kind of entry that
+    gave them; forgotten beyond about most_words words or most_numbers numbers."""
 
-    def __init__(self, model: Model, most_numbers: int = 4_000_000) -> None:
-        self.model, self.most = model, len(model.logs) + max(20_000, min(500_000, most_numbers // max(1, len(model.langs))))
+    def __init__(self, model: Model, most_words: int = 250_000, most_numbers: int = 4_000_000) -> None:
+        self.model, self.most_words, self.most_numbers = model, most_words, most_numbers
         self.reset()
 
     def reset(self) -> None:
-        self.index, self.used = dict(self.model.tables[0]), len(self.model.logs)
-        self.rows = np.concatenate([self.model.logs, np.zeros((4096, len(self.model.langs)))])
-
-    def learn(self, word: str) -> None:
-        score = np.zeros(len(self.model.langs))
+        self.index: dict[str, int] = {}
+        self.kinds, self.starts, self.lengths = (np.zeros(4096, np.int64) for _ in range(3))
+        self.lang, self.value, self.used = np.zeros(1 << 14, np.int32), np.zeros(1 << 14), 0
+
+    def found(self, word: str) -> tuple[int, np.ndarray, np.ndarray]:
+        """(kind, languages, log frequencies above the kind's floor)"""
+        m = self.model
+        if (i := m.tables[0].get(word)) is not None:
+            own = slice(m.starts[i], m.starts[i] + m.lengths[i])
+            return 0, m.lang[own], m.above[own]
         for n in range(LONGEST, 0, -1):
-            table = self.model.tables[n]
+            table = m.tables[n]
             if at := [table[g] for g in grams(word, n) if g in table]:
-                score = self.model.logs[at].mean(0)
-                break
-        if self.used == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[self.used] = score
-        self.index[word] = self.used
-        self.used += 1
+                own = [slice(m.starts[i], m.starts[i] + m.lengths[i]) for i in at]
+                lang = np.concatenate([m.lang[x] for x in own])
+                return n, lang, np.concatenate([m.above[x] for x in own]) / len(at)
+        return -1, m.lang[:0], m.above[:0]
+
+    def learn(self, word: str) -> None:
+        kind, lang, value = self.found(word)
+        slot = len(self.index)
+        if slot == len(self.kinds):
+            self.kinds, self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.kinds, self.starts, self.lengths))
+        while self.used + len(lang) > len(self.lang):
+            self.lang, self.value = np.concatenate([self.lang, np.zeros_like(self.lang)]), np.concatenate([self.value, np.zeros_like(self.value)])
+        end = self.used + len(lang)
+        self.lang[self.used : end], self.value[self.used : end] = lang, value
+        self.kinds[slot], self.starts[slot], self.lengths[slot] = kind, self.used, len(lang)
+        self.index[word], self.used = slot, end
 
     def __call__(self, words: list[str]) -> tuple[str, float]:
         if not words or not self.model.langs:
             return UNKNOWN, 0.0
         new = set(words).difference(self.index)
-        if len(self.index) + len(new) > self.most:
+        if len(self.index) + len(new) > self.most_words or self.used > self.most_numbers:
             self.reset()
-            new = set(words).difference(self.index)
+            new = set(words)
         for word in sorted(new):
             self.learn(word)
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        total = self.rows[at].sum(0) + self.model.prior
+        lengths = self.lengths[at]
+        places = np.repeat(self.starts[at] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        total = np.bincount(self.lang[places], self.value[places], minlength=len(self.model.langs)) + self.model.prior
+        total += np.bincount(self.kinds[at] + 1, minlength=LONGEST + 2)[1:] @ self.model.floors
         scaled = np.exp((total - total.max()) / math.sqrt(len(words)))
         best = int(total.argmax())
         return self.model.langs[best], float(scaled[best] / scaled.sum())
 
 
-def fit(docs: DataFrame, docs_per_lang: int = 3000, most_langs: int = 256, most_words: int = 60_000, most_grams: int = 60_000) -> Model:
+def fit(docs: DataFrame, docs_per_lang: int = 3000, per_lang: int = 20_000) -> Model:
     """Learn from text and non-null lang of docs."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).collect()
-    langs = sorted(r[0] for r in known)
-    if not langs:
+    known = rows.groupBy("lang").count().orderBy("lang").collect()  # a row a label
+    if not known:
         return Model([], [], [])
-    share = F.element_at(F.create_map(*(F.lit(x) for r in known for x in (r[0], min(1.0, docs_per_lang / r[1])))), F.col("lang"))
+    shares = rows.sparkSession.createDataFrame([(r[0], min(1.0, docs_per_lang / r[1])) for r in known], "lang string, share double")
     part = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.filter(F.col("lang").isin(langs) & (part < share))
+    sample = rows.join(F.broadcast(shares), "lang").filter(part < F.col("share"))  # a row a label
 
     def counted():
         def step(batch: pa.RecordBatch):
@@ -121,21 +138,21 @@ def fit(docs: DataFrame, docs_per_lang: int = 3000, most_langs: int = 256, most_
 
         return step
 
-    counts = map_arrow(sample.select("text", "lang"), counted, "kind long, gram string, lang string, n long").groupBy("kind", "gram", "lang").agg(F.sum("n").alias("n"))
-    by_gram = counts.groupBy("kind", "gram").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))  # a row a language
-    found = []
-    for condition, most in ((F.col("kind") == 0, most_words), (F.col("kind") > 0, most_grams)):
-        found += [(r.kind, r.gram, r.by) for r in by_gram.filter(condition).orderBy(F.desc("total"), "kind", "gram").limit(most).collect()]
-    docs_of = dict(map(tuple, known))
-    return Model(langs, [docs_of[x] for x in langs], found)
+    counts = durable(map_arrow(sample.select("text", "lang"), counted, "kind long, gram string, lang string, n long").groupBy("kind", "gram", "lang").agg(F.sum("n").alias("n")))
+    own = Window.partitionBy("lang", F.col("kind") == 0).orderBy(F.desc("n"), "kind", "gram")  # of docs_per_lang documents
+    kept = counts.withColumn("rank", F.row_number().over(own)).filter((F.col("rank") <= per_lang) | (F.col("kind") == 1)).select("kind", "gram").distinct()
+    by_gram = counts.join(kept, ["kind", "gram"], "left_semi").groupBy("kind", "gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))  # a row a label
+    found = sorted((r.kind, r.gram, dict(sorted(r.by.items()))) for r in by_gram.collect())  # 2 * per_lang rows a label and the single characters
+    return Model([r[0] for r in known], [r[1] for r in known], found)
 
 
 def predict(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, lang_pred, score, and carried columns).
 
-    docs needs doc_id and text. Null text and text without a letter give 'und' and 0. Ties go to the first language in
-    code-point order. Repeated rows repeat their result; an empty table gives an empty one; without a labelled row all
-    are 'und'. Score: the winner's share of exp(log odds / sqrt(words)), so that long texts don't all score 1.
+    docs needs doc_id and text; other columns, whatever their names, are left aside unless carried. Null text and text
+    without a letter give 'und' and 0; very long texts are scored whole. Ties go to the first language in code-point
+    order. Repeated rows repeat their result; an empty table gives an empty one; without a labelled row all are 'und'.
+    Score: the winner's share of exp(log odds / sqrt(words)), so that long texts don't all score 1.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
