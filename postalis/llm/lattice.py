@@ -116,7 +116,7 @@ class Pieces:
                     part = now * exp(x - base)
                     share[i] += part
                     for k in ids:
-                        into[k] += part
+                        into[k] += round(part)  # by word, so sums don't depend on how words are dealt out
 
 
 def word_table(docs: DataFrame) -> DataFrame:
@@ -137,12 +137,26 @@ def word_table(docs: DataFrame) -> DataFrame:
     return map_arrow(docs, make, "word string, c long, total long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("total").alias("total"))
 
 
+def common(words: DataFrame, most: int) -> DataFrame:
+    """The commonest words, `most` at most: those above a step of the counts' histogram, so no list is sorted."""
+    step = F.floor(F.log2("total") * 16).cast("int")  # finer than 5 per cent
+    counts = sorted(((r[0], r[1]) for r in words.groupBy(step.alias("s")).count().collect()), reverse=True)  # a thousand rows at most
+    least, seen = 1 << 30, 0
+    for s, n in counts:
+        seen += n
+        if seen > most:
+            break
+        least = s
+    return words.filter(step >= least)
+
+
 def score(docs: DataFrame, vocabulary: str, held_out: Column, hot_words: int = 150_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
-    docs needs doc_id and text; held_out is a condition on doc_id. Null text is empty: its end token alone. base_score
-    is the add-one unigram model of whole words, score the lattice model's log10 probability; both count the end.
-    Repeated rows each get their row; an empty table gives an empty result.
+    docs needs doc_id and text; other columns, whatever their names, are left aside; held_out is a condition on doc_id.
+    Null text is empty: its end token alone. Very long texts are scored whole, very long words by the same recursion.
+    base_score is the add-one unigram model of whole words, score the lattice model's log10 probability; both count the
+    end. Repeated rows each get their row; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), held_out.alias("held_out"))
@@ -159,7 +173,7 @@ def score(docs: DataFrame, vocabulary: str, held_out: Column, hot_words: int = 1
             into: Counter = Counter()
             for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 pieces.expected(word, c, into)
-            yield {"piece": list(into), "n": [round(x) for x in into.values()]}
+            yield {"piece": list(into), "n": list(into.values())}
 
         return step
 
@@ -176,7 +190,7 @@ def score(docs: DataFrame, vocabulary: str, held_out: Column, hot_words: int = 1
         return step
 
     words = durable(map_arrow(table, scored, "word string, c long, total long, log double"))
-    top = words.orderBy(F.desc("total"), "word").limit(hot_words).select("word", "c", "log").collect()
+    top = common(words, hot_words).select("word", "c", "log").collect()  # hot_words rows at most
     hot = spark.sparkContext.broadcast(({r[0].encode(): i for i, r in enumerate(top)}, np.array([(r[1] > 0, math.log10(r[1] + 1), r[2]) for r in top]).reshape(-1, 3)))  # hot_words rows
     # xxhash64 of Spark with its seed, as the tasks below compute it
     cold = words.select(F.xxhash64("word").alias("word"), (F.col("c") > 0).cast("long").alias("known"), F.log10(F.col("c") + 1.0).alias("base"), "log")
