@@ -88,9 +88,11 @@ def landing(sizes: list[int], chances: list[float]) -> list[float]:
 def mix(docs: DataFrame, block: int = 2000, fan: int = 1000, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies, and the columns named in carry).
 
-    docs needs doc_id, source and text; other columns are left aside unless carried. Null text has size 0, null
-    source is a source of its own. Repeated rows are sampled one by one. Draws depend on ids and sizes alone, so
-    reruns agree whatever the partitioning. An empty table gives an empty result.
+    docs needs doc_id, source and text; other columns, whatever their names, are left aside unless carried. Null text
+    has size 0, null source is a source of its own; very long texts are counted whole. Repeated rows are sampled one by
+    one; they are numbered, so that any number of them, such as rows with a null doc_id, spreads over the blocks. Draws
+    depend on ids, sizes and carried columns alone, so reruns agree whatever the partitioning. An empty table gives an
+    empty result.
     """
 
     def sized():
@@ -101,22 +103,24 @@ def mix(docs: DataFrame, block: int = 2000, fan: int = 1000, carry: tuple[str, .
 
     extra = "".join(f", {f.name} {f.dataType.simpleString().replace('bigint', 'long')}" for f in docs.select(*carry).schema) if carry else ""
     sizes = map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"), *carry), sized, f"doc_id long, source string, size long{extra}")
-    targets = durable(source_targets(sizes if not carry else sizes.drop(*carry)))
+    same = sizes.groupBy("doc_id", "source", "size", *carry).agg(F.count("*").cast("long").alias("times"))  # equal rows can stand for each other
+    sizes = durable(same).withColumn("nth", F.explode(F.expr("sequence(1L, times)"))).drop("times")
+    targets = durable(source_targets(sizes.select("source", "size")))
     most = targets.agg(F.max("n_docs")).first()[0] or 0
     blocks = F.ceil(F.col("n_docs") / block).cast("long")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = (
         sizes.withColumnRenamed("source", "_s").join(targets, F.col("_s").eqNullSafe(F.col("source")), "left").drop("_s")
         .withColumn("whole", F.floor(ratio).cast("int")).withColumn("chance", ratio - F.floor(ratio))
-        .withColumn("blk", F.pmod(F.xxhash64(F.lit("block"), "doc_id", "size"), blocks)).drop("n_docs")
+        .withColumn("blk", F.pmod(F.xxhash64(F.lit("block"), "doc_id", "size", "nth"), blocks)).drop("n_docs")
     )
     kinds = rows.schema
 
     def flown(last: bool):
         def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
             seed = zlib.crc32(f"{key[0]}\0{key[1]}".encode())
-            mark = [zlib.crc32(f"{seed} {d}".encode()) for d in pdf["doc_id"]]
-            pdf = pdf.assign(_m=mark).sort_values(["_m", "doc_id", "size"], kind="stable").drop(columns="_m")
+            mark = [zlib.crc32(f"{seed} {d} {n}".encode()) for d, n in zip(pdf["doc_id"], pdf["nth"], strict=True)]
+            pdf = pdf.assign(_m=mark).sort_values(["_m", "doc_id", "size", "nth", *carry], kind="stable").drop(columns="_m")
             sizes, chances = pdf["size"].tolist(), pdf["chance"].tolist()
             chances = [round(p) if p < EPSILON or p > 1 - EPSILON else p for p in chances]
             chances = flight(sizes, chances, seed)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postalis.llm import jaccard, langid, mixing, packing, quality
@@ -23,14 +23,16 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep, without the lines removed from them."""
+    """Documents that the rules keep, without the lines removed from them. Null and empty texts have no word and go; a
+    null source is a host of its own; equal rows are judged alike."""
     own = docs.withColumn("_source", F.col("source"))
     rows = quality.judge(own, carry=("lang", "_source", "n_chars")).filter("kept")
     return rows.select("doc_id", F.col("clean_text").alias("text"), "lang", F.col("_source").alias("source"), F.when(F.col("n_removed_lines") > 0, F.length("clean_text")).otherwise(F.col("n_chars")).cast("long").alias("n_chars"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the model can tell."""
+    """Documents whose language the model can tell, which is learned from the non-null labels among them; without any, none
+    is kept. Null, empty and letterless texts go."""
     own = docs.withColumn("_text", F.col("text"))
     rows = langid.predict(own, langid.fit(docs), carry=("_text", "lang", "source", "n_chars"))
     return rows.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("doc_id", F.col("_text").alias("text"), "lang", "source", "n_chars")
@@ -38,7 +40,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each class (five-word shingles, similarity 0.8 or more), once. Only documents
-    that go, or stand twice, are shuffled."""
+    that go, or stand twice, are shuffled. Texts without a word are like no other; rows with a null doc_id stay."""
     scratch = Scratch(spark)
     found = jaccard.classes(docs, size=5, percent=80).filter("doc_id is not null")
     odd = scratch.keep(found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("n")).filter("n > 1 or first <> doc_id"))
@@ -49,15 +51,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, once or twice."""
-    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list("copies")).alias("copies"))
-    nth = Window.partitionBy("doc_id").orderBy("text")  # ids are unique here but for null ones and foreign input
-    rows = docs.select(*COLUMNS).withColumn("_n", F.row_number().over(nth)).join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return rows.withColumn("_c", F.element_at("copies", F.col("_n"))).filter("_c > 0").withColumn("_i", F.explode(F.expr("sequence(1, _c)"))).select(*COLUMNS)
+    """Each document as often as the mix takes it: not at all, once or twice. Texts are shuffled once, to their counts;
+    equal rows, which share a count, again. A null text has no word and may be taken or not; a null source is one."""
+    rows = docs.select(*COLUMNS).withColumn("_mark", F.xxhash64(*COLUMNS[1:]))
+    taken = mixing.mix(rows, carry=("_mark",)).groupBy(F.col("doc_id").alias("_id"), F.col("_mark").alias("_of")).agg(F.sum("copies").alias("_c"), F.count("*").alias("_n")).filter("_c > 0")
+    both = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_of")))
+    equal = both.filter("_n > 1").groupBy("doc_id", "_mark").agg(F.min(F.struct(*COLUMNS[1:])).alias("r"), F.min("_c").alias("_c")).select("doc_id", "r.*", "_c")
+    every = both.filter("_n = 1").select(*COLUMNS, "_c").unionByName(equal)
+    return every.withColumn("_i", F.explode(F.expr("sequence(1L, _c)"))).select(*COLUMNS)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences and their places."""
+    """Pieces of token sequences and their places; a null text is the end id alone."""
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
