@@ -95,20 +95,22 @@ ORACLE_SQL = {
         SELECT query_id, rank::INTEGER AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
     "op9_tool_calls": """
-        WITH u AS (SELECT conv_id, turn, text, 'c' || conv_id || '-' || turn AS call_id FROM conversations WHERE role = 'user' AND text IS NOT NULL),
-        a AS (SELECT conv_id, turn - 1 AS turn, text FROM conversations WHERE role = 'assistant' AND text IS NOT NULL),
+        WITH u AS (SELECT conv_id, turn, text, conv_id % 7 AS f, CASE WHEN turn >= 2 THEN turn - 2 WHEN turn = 0 AND conv_id % 7 = 4 THEN 2 END AS up FROM conversations WHERE role = 'user' AND text IS NOT NULL),
+        a AS (SELECT conv_id, turn - 1 AS turn, CASE WHEN conv_id % 7 = 5 THEN turn - 2 ELSE turn END AS said, text FROM conversations WHERE role = 'assistant' AND text IS NOT NULL),
         deep AS (WITH RECURSIVE d AS (
-                   SELECT conv_id, turn, 0::BIGINT AS depth FROM u x WHERE turn < 2 OR NOT EXISTS (SELECT 1 FROM u y WHERE y.conv_id = x.conv_id AND y.turn = x.turn - 2)
-                   UNION ALL SELECT u.conv_id, u.turn, d.depth + 1 FROM d JOIN u ON u.conv_id = d.conv_id AND u.turn = d.turn + 2)
+                   SELECT conv_id, turn, 0::BIGINT AS depth FROM u x WHERE up IS NULL OR NOT EXISTS (SELECT 1 FROM u y WHERE y.conv_id = x.conv_id AND y.turn = x.up)
+                   UNION ALL SELECT u.conv_id, u.turn, d.depth + 1 FROM d JOIN u ON u.conv_id = d.conv_id AND u.up = d.turn)
                  SELECT * FROM d),
-        j AS (SELECT coalesce(u.conv_id, a.conv_id) AS conv_id, coalesce(u.turn, a.turn) AS t, u.turn, u.text AS prompt, a.text AS answer, deep.depth, a.turn AS answered
+        j AS (SELECT coalesce(u.conv_id, a.conv_id) AS conv_id, coalesce(u.turn, a.turn) AS t, u.turn, u.f, u.up, u.text AS prompt, a.text AS answer, deep.depth, a.said
               FROM u FULL JOIN a ON u.conv_id = a.conv_id AND u.turn = a.turn LEFT JOIN deep ON deep.conv_id = u.conv_id AND deep.turn = u.turn),
         k AS (SELECT *, 'c' || conv_id || '-' || t AS call_id, CASE WHEN turn IS NULL THEN NULL WHEN turn < 2 THEN 'ask' ELSE 'follow_up' END AS tool,
-                     CASE WHEN turn IS NULL THEN 'orphan' WHEN answered IS NULL THEN 'unanswered' ELSE 'linked' END AS status FROM j)
-        SELECT conv_id, call_id, tool, turn, depth, status, '' AS errors,
-          '{"arguments":' || CASE WHEN turn IS NULL THEN 'null' ELSE '{' || CASE WHEN turn >= 2 THEN '"after":' || (turn - 2) || ',' ELSE '' END || '"prompt":' || to_json(prompt)::VARCHAR || ',"turn":' || turn || '}' END
-          || ',"call_id":"' || call_id || '","conversation":' || conv_id || ',"depth":' || coalesce(depth::VARCHAR, 'null') || ',"errors":[],"parent_id":'
-          || CASE WHEN turn >= 2 THEN '"c' || conv_id || '-' || (turn - 2) || '"' ELSE 'null' END || ',"result":' || coalesce(to_json(answer)::VARCHAR, 'null')
+                     CASE f WHEN 1 THEN 'type turn' WHEN 2 THEN 'missing prompt' WHEN 3 THEN 'unknown mood' ELSE '' END AS errors,
+                     CASE WHEN turn IS NULL THEN 'orphan' WHEN f = 6 THEN 'repeated' WHEN depth IS NULL THEN 'cyclic' WHEN said IS NULL THEN 'unanswered' WHEN said <= turn THEN 'early' ELSE 'linked' END AS status FROM j)
+        SELECT conv_id, call_id, tool, turn, depth, status, coalesce(errors, '') AS errors,
+          '{"arguments":' || CASE WHEN turn IS NULL THEN 'null' ELSE '{' || CASE WHEN turn >= 2 THEN '"after":' || (turn - 2) || ',' ELSE '' END || CASE WHEN f = 3 THEN '"mood":"calm",' ELSE '' END || CASE WHEN f = 2 THEN '' ELSE '"prompt":' || to_json(prompt)::VARCHAR || ',' END
+            || '"turn":' || CASE WHEN f = 1 THEN '"' || turn || '"' ELSE turn::VARCHAR END || '}' END
+          || ',"call_id":"' || call_id || '","conversation":' || conv_id || ',"depth":' || coalesce(depth::VARCHAR, 'null') || ',"errors":[' || CASE WHEN coalesce(errors, '') = '' THEN '' ELSE '"' || errors || '"' END || '],"parent_id":'
+          || CASE WHEN up IS NOT NULL THEN '"c' || conv_id || '-' || up || '"' ELSE 'null' END || ',"result":' || coalesce(to_json(answer)::VARCHAR, 'null')
           || ',"status":"' || status || '","tool":' || coalesce('"' || tool || '"', 'null') || ',"turn":' || coalesce(turn::VARCHAR, 'null') || '}' AS record
         FROM k""",
 }

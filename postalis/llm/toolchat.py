@@ -80,7 +80,8 @@ def link_tool_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     result), orphan (a result without a call), early (the result's turn is not after the call's), cyclic (parents in a
     circle) or repeated (more calls than one, of which the first counts). (depth, turn, place) is a topological order.
     Rows with a null conv_id, turn, role or text and texts that aren't such JSON take no part; of repeated messages the
-    first counts, ties by content; an empty table gives an empty result. errors joins the faults by '; ', '' if none.
+    first counts, ties by content; very long messages are taken whole and other columns, whatever their names, are left
+    aside; an empty table gives an empty result. errors joins the faults by '; ', '' if none.
     """
     rows = messages.select("conv_id", "turn", "role", "text").dropna()
     rules = schemas.groupBy("tool").agg(F.collect_list(F.struct("argument", "type", "required")).alias("rules"))  # a row an argument
@@ -98,10 +99,17 @@ def link_tool_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
 
 def as_tool_chat(conversations: DataFrame) -> DataFrame:
     """Conversations without tool messages as ones with them: a user turn calls the tool ask (or follow_up, after the
-    turn two before), the assistant turn after it is the result. The JSON is only written here; linking parses it."""
-    ident = "concat('c', conv_id, '-', turn{})"
-    call = f"""to_json(named_struct('tool_calls', array(named_struct('id', {ident.format('')}, 'name', if(turn < 2, 'ask', 'follow_up'),
-        'arguments', named_struct('turn', turn, 'prompt', text, 'after', if(turn < 2, null, turn - 2)), 'parent_id', if(turn < 2, null, {ident.format(' - 2')})))))"""
-    result = f"to_json(named_struct('tool_call_id', {ident.format(' - 1')}, 'content', text))"
+    turn two before), the assistant turn after it is the result. By conv_id modulo 7, calls have a mistyped (1), missing
+    (2) or unknown (3) argument, the first two call each other their parent (4), results come early (5), or a call stands
+    twice (6). The JSON is only written here; linking parses it."""
+    ident = "concat('c', conv_id, '-', {})"
+    after = "if(turn < 2, null, turn - 2)"
+    parent = f"case when turn >= 2 then {ident.format('turn - 2')} when turn = 0 and conv_id % 7 = 4 then {ident.format('2')} end"
+    arguments = f"""case conv_id % 7 when 1 then parse_json(to_json(named_struct('turn', cast(turn as string), 'prompt', text, 'after', {after}))) when 2 then parse_json(to_json(named_struct('turn', turn, 'after', {after})))
+        when 3 then parse_json(to_json(named_struct('turn', turn, 'prompt', text, 'after', {after}, 'mood', 'calm'))) else parse_json(to_json(named_struct('turn', turn, 'prompt', text, 'after', {after}))) end"""
+    call = f"named_struct('id', {ident.format('turn')}, 'name', if(turn < 2, 'ask', 'follow_up'), 'arguments', {arguments}, 'parent_id', {parent})"
+    spoken = f"to_json(named_struct('tool_calls', if(conv_id % 7 = 6, array({call}, {call}), array({call}))))"
+    result = f"to_json(named_struct('tool_call_id', {ident.format('turn - 1')}, 'content', text))"
     rows = conversations.filter("role in ('user', 'assistant') and text is not null")
-    return rows.select("conv_id", "turn", F.when(F.col("role") == "user", "assistant").otherwise("tool").alias("role"), F.expr(f"if(role = 'user', {call}, {result})").alias("text"))
+    said = F.expr("if(role = 'assistant' and conv_id % 7 = 5, turn - 2, turn)").alias("turn")
+    return rows.select("conv_id", said, F.when(F.col("role") == "user", "assistant").otherwise("tool").alias("role"), F.expr(f"if(role = 'user', {spoken}, {result})").alias("text"))
