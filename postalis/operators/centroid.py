@@ -7,22 +7,37 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postalis.config import Thresholds
-from postalis.functions import distance_km, source_category
+from postalis.functions import distance_km, float_hex, source_category, valid_category
 
 
-def evidence_conflicts(evidence: DataFrame, key: str = "evidence_id") -> DataFrame:
-    """(key, versions): identities that stand for different places."""
-    places = evidence.groupBy(key).agg(F.countDistinct("latitude", "longitude", "source").alias("versions"))
+def identity() -> Column:
+    """What makes two observations the same: the given identity, else the source."""
+    return F.coalesce("evidence_id", "source")
+
+
+def evidence_conflicts(evidence: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """(keys, evidence_id, versions): identities that stand for different places, within a group or anywhere."""
+    own = evidence.withColumn("evidence_id", identity())
+    places = own.groupBy(*(keys or []), "evidence_id").agg(F.countDistinct("latitude", "longitude", "source").alias("versions"))
     return places.filter("versions > 1")
 
 
 def unique_evidence(evidence: DataFrame, keys: list[str]) -> DataFrame:
-    """One row an identity in a group; conflicts are a gate of their own."""
-    return evidence.dropDuplicates([*keys, "evidence_id"])
+    """One row an identity in a group; conflicts are a gate of their own. Dealt out by the keys, so what follows by
+    group needs no further shuffle."""
+    return evidence.repartition(*keys).withColumn("_identity", identity()).dropDuplicates([*keys, "_identity"]).drop("_identity")
+
+
+def category_problems(evidence: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, categories, problem): groups without one to sixteen source categories, or with a malformed one."""
+    category = source_category(F.col("source"))
+    found = evidence.groupBy(*keys).agg(F.countDistinct(category).alias("categories"), F.count_if(~F.coalesce(valid_category(category), F.lit(False))).alias("bad"))
+    problem = F.when(F.col("bad") > 0, "malformed").when(~F.col("categories").between(1, 16), "number")
+    return found.withColumn("problem", problem).filter("problem is not null").select(*keys, "categories", "problem")
 
 
 def mad_filter(points: DataFrame, keys: list[str], t: Thresholds = Thresholds()) -> DataFrame:
@@ -57,12 +72,15 @@ def bounded_centroid(points: DataFrame, keys: list[str], min_samples: int, max_r
     return robust_centroid(kept, keys).filter((F.col("evidence_count") >= min_samples) & (F.col("radius_km") <= max_radius_km))
 
 
-def evidence_digests(points: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, evidence_digest): SHA-256 of a group's distinct evidence as JSON of [identity, latitude, longitude], by
-    identity, places in hexadecimal. The bytes need Python's JSON escapes; rows come sorted and are hashed as they
-    pass, so a group may be of any size. A null identity reads as the source's."""
-    own = points.select(*(F.col(k).cast("string").alias(k) for k in keys), F.coalesce("evidence_id", "source").alias("_id"), "latitude", "longitude")
-    rows = own.dropDuplicates([*keys, "_id"]).repartition(*keys).sortWithinPartitions(*keys, "_id")
+def evidence_digests(points: DataFrame, keys: list[str], distinct: bool = True) -> DataFrame:
+    """(keys, evidence_digest): SHA-256 of a group's evidence as JSON of [identity, latitude, longitude], sorted, places
+    in hexadecimal; distinct: an identity counts once (of two places the smaller, so gate conflicts first). The bytes
+    need Python's JSON escapes; rows come sorted and are hashed as they pass, so a group may be of any size."""
+    own = points.select(*(F.col(k).cast("string").alias(k) for k in keys), identity().alias("_id"), float_hex(F.col("latitude")).alias("_lat"), float_hex(F.col("longitude")).alias("_lon"))
+    if distinct:
+        place = F.min(F.struct("_lat", "_lon")).alias("_p")
+        own = own.repartition(*keys).groupBy(*keys, "_id").agg(place).select(*keys, "_id", "_p._lat", "_p._lon")
+    rows = own.repartition(*keys).sortWithinPartitions(*keys, "_id", "_lat", "_lon")
     schema = ", ".join([*(f"`{k}` string" for k in keys), "evidence_digest string"])
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -76,7 +94,7 @@ def evidence_digests(points: DataFrame, keys: list[str]) -> DataFrame:
                     group, digest = key, hashlib.sha256(b"[")
                 else:
                     digest.update(b",")
-                digest.update(json.dumps([name, float(lat).hex(), float(lon).hex()], separators=(",", ":")).encode())
+                digest.update(json.dumps([name, lat, lon], separators=(",", ":")).encode())
             yield pd.DataFrame(out, columns=[*keys, "evidence_digest"])
             out = []
         if group is not None:

@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 
 from postalis.config import TIERS, Thresholds
 from postalis.functions import distance_km, in_bounds
-from postalis.operators.centroid import bounded_centroid
+from postalis.operators.centroid import bounded_centroid, category_problems, evidence_conflicts, evidence_digests, mad_filter, unique_evidence
+from postalis.operators.gates import GateError, require_empty
 
+# How each tier's estimate is made.
+METHODS = {"observed_cep": "robust_median_first_party", "osm_postcode": "robust_median_osm_postcode", "observed_cep_prefix": "bounded_same_ibge_prefix_median", "municipality": "ibge_city_reference_with_locality_dispersion"}
 ESTIMATE = ["latitude", "longitude", "evidence_count", "radius_km", "geo_source"]
 
 
 def municipality_reference(localities: DataFrame) -> DataFrame:
     """(ibge, latitude, longitude, evidence_count, radius_km, geo_source): mean of the city points; count and radius
     over all localities; municipalities without a city point are left out. Two aggregates, no window, so a
-    municipality with very many localities is summed in parts."""
+    municipality with very many localities is summed in parts. locality_digests has the digests of its evidence."""
     city = F.col("category") == "Cidade"
     mean = localities.groupBy("ibge").agg(F.avg(F.when(city, F.col("latitude"))).alias("clat"), F.avg(F.when(city, F.col("longitude"))).alias("clon")).filter("clat is not null")
     rows = localities.join(mean, "ibge")
@@ -24,8 +27,9 @@ def municipality_reference(localities: DataFrame) -> DataFrame:
 
 
 def administrative_reference(localities: DataFrame, codes: DataFrame, category: str = "Distrito Estadual de Fernando de Noronha") -> DataFrame:
-    """Reference of the requested codes (ibge) from the localities of one category, whose mean is the point. All
-    localities of those codes must lie in bounds, whatever their category; bounds_problems has those that don't."""
+    """Reference of the requested codes (ibge) from the localities of one category, whose mean is the point. That all
+    localities of those codes lie in bounds, whatever their category, is required here."""
+    require_empty(bounds_problems(localities, codes), "localities out of bounds")
     rows = localities.join(codes.select("ibge").distinct(), "ibge", "left_semi").filter(F.col("category") == category)
     mean = rows.groupBy("ibge").agg(F.avg("latitude").alias("clat"), F.avg("longitude").alias("clon"))
     far = F.max(distance_km(F.col("clat"), F.col("clon"), F.col("latitude"), F.col("longitude")))
@@ -45,7 +49,7 @@ def ibge_conflicts(addresses: DataFrame, first_party: DataFrame) -> DataFrame:
 
 
 def observed(first_party: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
-    return bounded_centroid(first_party, ["cep"], 1, t.max_observed_radius_km, t)
+    return bounded_centroid(unique_evidence(first_party, ["cep"]), ["cep"], 1, t.max_observed_radius_km, t)
 
 
 def near_municipality(osm: DataFrame, addresses: DataFrame, municipalities: DataFrame) -> DataFrame:
@@ -55,15 +59,53 @@ def near_municipality(osm: DataFrame, addresses: DataFrame, municipalities: Data
     return rows.withColumn("distance_km", distance_km(F.col("latitude"), F.col("longitude"), F.col("_mlat"), F.col("_mlon"))).drop("_mlat", "_mlon")
 
 
+def corroborated(osm: DataFrame, addresses: DataFrame, municipalities: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+    """Map nodes of known codes near enough to their municipality's reference point."""
+    return near_municipality(osm, addresses, municipalities).filter(F.col("distance_km") <= t.max_osm_municipality_distance_km)
+
+
 def osm_postcode(osm: DataFrame, addresses: DataFrame, municipalities: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
-    near = near_municipality(osm, addresses, municipalities).filter(F.col("distance_km") <= t.max_osm_municipality_distance_km)
-    return bounded_centroid(near, ["cep"], 1, t.max_osm_radius_km, t)
+    return bounded_centroid(unique_evidence(corroborated(osm, addresses, municipalities, t), ["cep"]), ["cep"], 1, t.max_osm_radius_km, t)
+
+
+def prefix_pool(first_party: DataFrame) -> DataFrame:
+    """First-party evidence that names its municipality, with its prefix."""
+    return first_party.filter("ibge is not null").withColumn("prefix", F.substring("cep", 1, 5))
 
 
 def observed_prefix(first_party: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """By (prefix, ibge), from evidence that names its municipality."""
-    pool = first_party.filter("ibge is not null").withColumn("prefix", F.substring("cep", 1, 5))
-    return bounded_centroid(pool, ["prefix", "ibge"], t.min_prefix_samples, t.max_prefix_radius_km, t)
+    keys = ["prefix", "ibge"]
+    return bounded_centroid(unique_evidence(prefix_pool(first_party), keys), keys, t.min_prefix_samples, t.max_prefix_radius_km, t)
+
+
+def require_sound(addresses: DataFrame, first_party: DataFrame, osm: DataFrame) -> None:
+    """The rules that a build fails by: codes that stand twice, one identity of several places in a group, evidence of
+    another municipality than its code's (whatever tier would win), unfit source categories."""
+    require_empty(addresses.groupBy("cep").count().filter("count > 1").select("cep"), "codes that stand twice")
+    pool = prefix_pool(first_party)
+    for evidence, keys in ((first_party, ["cep"]), (osm, ["cep"]), (pool, ["prefix", "ibge"])):
+        require_empty(evidence_conflicts(evidence, keys), "identities of several places")
+        require_empty(category_problems(evidence, keys), "unfit source categories")
+    require_empty(ibge_conflicts(addresses, first_party), "evidence of another municipality")
+
+
+def digests(addresses: DataFrame, first_party: DataFrame, osm: DataFrame, municipalities: DataFrame, localities: DataFrame, t: Thresholds = Thresholds()) -> dict[str, DataFrame]:
+    """tier -> (keys, evidence_digest) of the evidence that its estimates rest on: what the outlier rule keeps."""
+    pools = {"observed_cep": (first_party, ["cep"]), "osm_postcode": (corroborated(osm, addresses, municipalities, t), ["cep"]), "observed_cep_prefix": (prefix_pool(first_party), ["prefix", "ibge"])}
+    kept = {tier: evidence_digests(mad_filter(unique_evidence(rows, keys), keys, t).filter("retained"), keys) for tier, (rows, keys) in pools.items()}
+    return kept | {"municipality": locality_digests(localities)}
+
+
+def locality_digests(localities: DataFrame, source: str = "ibge-localidades") -> DataFrame:
+    """(ibge, evidence_digest) over all localities of a municipality, each as often as it stands."""
+    rows = localities.select("ibge", F.lit(None).cast("string").alias("evidence_id"), F.lit(source).alias("source"), "latitude", "longitude")
+    return evidence_digests(rows, ["ibge"], distinct=False)
+
+
+def require_references(municipalities: DataFrame) -> None:
+    if municipalities.isEmpty():
+        raise GateError("no municipality has a city point")
 
 
 def resolve(addresses: DataFrame, first_party: DataFrame, osm: DataFrame, municipalities: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postalis import functions as fn
-from postalis.operators import centroid, containment, evaluation, gates, lookup, refresh, tiers
+from postalis.config import QualityPolicy
+from postalis.operators import build, centroid, containment, contract, evaluation, lookup, refresh, report, tiers
 from postalis.plans import testdata as T
 from postalis.sources import records
 
@@ -24,7 +25,7 @@ class Views:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        own = {"addr": T.ADDR, "fp": T.FIRST_PARTY, "osm": T.OSM, "holdout": T.HOLDOUT, "localities": T.LOCALITIES, "polygons": T.POLYGONS, "diff": T.DIFF, "raw": T.RAW}
+        own = {"addr": T.ADDR, "fp": T.FIRST_PARTY, "osm": T.OSM, "holdout": T.HOLDOUT, "localities": T.LOCALITIES, "polygons": T.POLYGONS, "diff": T.DIFF, "raw": T.RAW, "records": T.RECORDS}
         return T.view(self.spark, self.sf_dir, own[name])
 
     def muni(self) -> DataFrame:
@@ -33,6 +34,17 @@ class Views:
     def artifact(self) -> DataFrame:
         return tiers.resolve(self.addr, self.fp, self.osm, self.muni())
 
+    def stored(self) -> DataFrame:
+        """The artifact with a digest (of the code; some malformed), sources as an array, and a version."""
+        digest = F.when(F.col("latitude").isNotNull(), F.when(F.substring("cep", 8, 1) == "9", "sha256:zz").otherwise(F.concat(F.lit("sha256:"), F.sha2("cep", 256))))
+        return self.artifact().withColumns({"evidence_digest": digest, "dataset_version": F.lit("v1"), "geo_source": F.split("geo_source", ",")})
+
+    def inputs(self) -> report.Inputs:
+        return report.Inputs(self.artifact(), self.osm, self.muni(), self.polygons, self.holdout)
+
+    def outcomes(self, cohort: str) -> DataFrame:
+        return report.cohort_outcomes(report.cohort_inputs(self.inputs())[cohort], self.inputs(), cohort)
+
 
 def query(f):
     QUERIES[f.__name__] = lambda spark, sf_dir: f(Views(spark, sf_dir))
@@ -149,13 +161,12 @@ def missing_polygons(v):
 
 @query
 def production_eligible(v):
-    rows = evaluation.production_eligible(v.osm, v.addr, v.muni())
-    return rows.groupBy(F.coalesce("exclusion_reason", F.lit("retained")).alias("reason")).agg(F.count("*").alias("n"))
+    return evaluation.exclusion_counts(evaluation.production_eligible(v.osm, v.addr, v.muni()))
 
 
 @query
 def artifact_statistics(v):
-    return evaluation.artifact_statistics(v.artifact())
+    return evaluation.artifact_statistics(v.stored())
 
 
 @query
@@ -170,7 +181,8 @@ def municipality_conflicts(v):
 
 @query
 def bounds_violations(v):
-    return evaluation.bounds_violations(v.artifact()).select("cep", F.round("latitude", 9).alias("latitude"), F.round("longitude", 9).alias("longitude"))
+    moved = F.col("latitude") + F.when(F.substring("cep", 8, 1) == "7", 12.0).otherwise(0.0)  # beyond the northern bound
+    return evaluation.bounds_violations(v.artifact().withColumn("latitude", moved)).select("cep", F.round("latitude", 9).alias("latitude"), F.round("longitude", 9).alias("longitude"))
 
 
 @query
@@ -183,18 +195,19 @@ def holdout_split_cep(v):
     return evaluation.split(v.osm, by_code=True).groupBy("cep", "held_out").agg(F.count("*").alias("n"))
 
 
-def samples(v, by_code=False):
-    return evaluation.evaluate(evaluation.split(v.osm, by_code=by_code), v.addr, v.muni())
+def samples(v, cohort="leave_observation_out"):
+    good = F.col("outcome") == evaluation.EVALUATED
+    return v.outcomes(cohort).filter(good).select("evidence_id", "uf", "address_class", "precision", "error_km")
 
 
 @query
 def evaluate_loo(v):
-    return samples(v).withColumn("error_km", F.round("error_km", 6))
+    return v.outcomes("leave_observation_out").withColumn("error_km", F.round("error_km", 6))
 
 
 @query
 def evaluate_unseen(v):
-    return samples(v, True).withColumn("error_km", F.round("error_km", 6))
+    return v.outcomes("unseen_cep").withColumn("error_km", F.round("error_km", 6))
 
 
 @query
@@ -209,7 +222,7 @@ def purpose_metrics(v):
 
 @query
 def cohort_summary(v):
-    return evaluation.cohort(evaluation.split(v.osm, by_code=True), v.addr)
+    return evaluation.cohort(report.all_outcomes(v.inputs(), POLICY).groupBy("cohort"))
 
 
 @query
@@ -219,7 +232,29 @@ def official_pilot(v):
 
 @query
 def quality_checks(v):
-    return evaluation.checks(evaluation.artifact_statistics(v.artifact()), {"record_count": ("min", 100), "coverage": ("min", 0.95), "unresolved": ("max", 10)})
+    return evaluation.checks(evaluation.artifact_statistics(v.stored()), {"record_count": ("min", 100), "coverage": ("min", 0.95), "unresolved": ("max", 10), "invalid_digests": ("max", 0)})
+
+
+#: A policy with bounds that the test tables meet in part.
+POLICY = QualityPolicy({
+    "version": "test-1", "brazil_bounds": {"latitude_min": -34.0, "latitude_max": 5.5, "longitude_min": -74.0, "longitude_max": -28.0},
+    "build_thresholds": {"minimum_records": 100, "minimum_coverage": 0.5, "maximum_unresolved": 10**9, "minimum_ufs": 2, "maximum_invalid_bounds": 0, "maximum_uf_ibge_mismatches": 10**9, "maximum_municipality_conflicts": 100, "maximum_geo_source_bytes": 2048, "maximum_evidence_digest_bytes": 71, "maximum_invalid_evidence_digests": 0, "allowed_precision_tiers": ["observed_cep", "osm_postcode", "municipality"]},
+    "validation": {
+        "modulus": 5, "remainder": 0, "osm_evidence": {"maximum_outside_target_municipality_fraction": 0.01},
+        "cohorts": {c: {"minimum_records": 10, "minimum_ufs": 3, "maximum_missing_fraction": share, "maximum_prediction_failure_fraction": 0.02, "required_address_classes": ["urban_address_proxy"]} for c, share in (("leave_observation_out", 0.9), ("unseen_cep", 0.001))},
+        "per_uf": {"cohort": "unseen_cep", "required_ufs": ["AC", "RO"], "thresholds": {"AC": {"minimum_samples": 1, "maximum_p95_km": 5.0}, "RO": {"minimum_samples": 3, "maximum_p95_km": 700.0}}},
+        "purposes": {"near": {"cohort": "leave_observation_out", "allowed_precision_tiers": ["osm_postcode"], "minimum_records": 5, "maximum_p95_km": 2.0}, "region": {"cohort": "unseen_cep", "allowed_precision_tiers": ["municipality"], "ufs": ["RO"], "minimum_records": 10**6, "maximum_p95_km": 700.0}},
+        "official_pilot": {"minimum_records": 10, "maximum_missing_fraction": 0.1, "maximum_prediction_failure_fraction": 0.0, "expected_ufs": ["RO"], "maximum_p95_km": 700.0},
+    },
+})
+
+
+@query
+def report_checks(v):
+    """Every check of the policy, from the whole report."""
+    inputs = v.inputs()
+    found = report.quality_report(report.Inputs(v.stored(), inputs.osm, inputs.municipalities, inputs.edges, inputs.official), POLICY, "v1")
+    return report.check_table(found, inputs.osm).select("name", "passed")
 
 
 @query
@@ -234,20 +269,41 @@ def prefix_members(v):
 
 @query
 def prefix_aggregate(v):
-    return lookup.prefix_estimates(v.artifact()).withColumns({c: F.round(c, 9) for c in ("latitude", "longitude")})
+    found = lookup.prefix_estimates(v.stored()).withColumns({c: F.round(c, 9) for c in ("latitude", "longitude")})
+    return found.withColumn("sources", F.array_join("sources", ",")).drop("evidence_digest")  # tested with a known digest
+
+
+def gaps(v):
+    """Flat rows of which only first-party ones have a place, and administrative references of municipalities without a city."""
+    own = tiers.observed(v.fp)
+    rows = v.addr.select("cep", "ibge").join(own, "cep", "left").withColumns({
+        "precision": F.when(F.col("latitude").isNotNull(), "osm_postcode"), "method": F.when(F.col("latitude").isNotNull(), "m"), "evidence_radius_km": F.col("radius_km"), "geo_source": F.split("geo_source", ","), "evidence_digest": F.lit(None).cast("string"),
+    }).drop("radius_km")
+    digest = F.lit(None).cast("string").alias("evidence_digest")
+    lacking = refresh.unreferenced(rows, v.muni())
+    return rows, v.muni().select("*", digest), tiers.administrative_reference(v.localities, lacking.filter("ibge < '3'"), "Povoado").select("*", digest)
 
 
 @query
 def fill_null_geo(v):
-    rows = v.addr.select("cep", "ibge").join(tiers.observed(v.fp).select("cep", "latitude", "longitude"), "cep", "left")
-    cityless = v.localities.groupBy("ibge").agg(F.count_if(F.col("category") == "Cidade").alias("c")).filter("c = 0 and ibge < '3'")
-    administrative = cityless.select("ibge", F.lit(-10.0).alias("latitude"), F.lit(-50.0).alias("longitude"))
-    return refresh.fill_null_geo(rows, v.muni(), administrative).groupBy("origin").agg(F.count("*").alias("n"))
+    filled = refresh.fill_null_geo(*gaps(v))
+    return filled.select("cep", "ibge", "origin", "precision", "method", *(F.round(c, 9).alias(c) for c in ("latitude", "longitude")), "evidence_count", "evidence_radius_km", F.array_join("geo_source", ",").alias("geo_source"))
+
+
+@query
+def candidate_counts(v):
+    return refresh.candidate_counts(v.artifact())
 
 
 @query
 def diff_counts(v):
-    return refresh.diff_counts(v.diff, "classification", list(refresh.ALLOWED))
+    return refresh.diff_counts(v.diff)
+
+
+@query
+def diff_problems(v):
+    fields = F.when(F.col("c_custkey") % 47 == 0, F.array(F.lit("uf"), F.lit("uf"))).otherwise(F.array(F.lit("uf"), F.lit("city")))
+    return refresh.diff_problems(v.diff.withColumn("changed_fields", fields)).select("cep", F.array_join("failed", ",").alias("failed"))
 
 
 @query
@@ -264,9 +320,11 @@ def merge_compare(v):
 
 @query
 def sorted_unique_check(v):
+    """Positions leave gaps of whole ranges; codes fall back at some of them."""
+    customer = v.spark.read.parquet(f"{v.sf_dir}/customer.parquet")
     code = F.when(F.col("c_custkey") % 40 == 0, "00000000").otherwise(F.expr(T.CEP.format("c_custkey")))
-    rows = v.spark.read.parquet(f"{v.sf_dir}/customer.parquet").select(F.col("c_custkey").alias("position"), code.alias("cep"))
-    return refresh.order_violations(rows, "position")
+    place = F.col("c_custkey") + F.floor(F.col("c_custkey") / 30) * 250_000
+    return refresh.order_violations(customer.select(place.alias("position"), code.alias("cep")), "position")
 
 
 @query
@@ -276,12 +334,49 @@ def needed_codes(v):
 
 @query
 def row_contract_violations(v):
-    absent = F.col("latitude").isNull()
-    failed = gates.failed_rules(
-        bounds=absent | fn.in_bounds(F.col("latitude"), F.col("longitude")), count=absent | (F.col("evidence_count") > 0), street=F.col("street").isNotNull(),
-        uf=F.substring("ibge", 1, 2).eqNullSafe(fn.state_code(F.col("uf"))),
-    )
-    return v.artifact().select("cep", F.array_join(failed, ",").alias("failed")).filter("failed <> ''")
+    """Rows of the artifact with faults of every kind at some codes."""
+    n = F.substring("cep", 4, 5).cast("int")
+    broken = v.stored().withColumns({
+        "method": F.when(F.col("latitude").isNotNull(), F.when(n % 5 == 0, " ").otherwise("m")), "evidence_radius_km": F.when(n % 7 == 0, F.lit(-1.0)).otherwise(F.col("radius_km")),
+        "uf": F.when(n % 11 == 0, "XX").otherwise(F.col("uf")), "city": F.when(n % 13 == 0, "  ").when(n % 17 == 0, F.repeat(F.lit("é"), 257)).otherwise(F.col("city")),
+        "dataset_version": F.when(n % 19 == 0, "v2").otherwise(F.col("dataset_version")), "prefix": F.when(n % 23 == 0, "00000").otherwise(F.col("prefix")),
+        "geo_source": F.when(n % 29 == 0, F.array(F.lit("b"), F.lit("a"))).otherwise(F.col("geo_source")), "longitude": F.when(n % 31 == 0, F.lit(-20.0)).otherwise(F.col("longitude")),
+    })
+    return contract.row_problems(broken, "v1").select("cep", F.array_join("failed", ",").alias("failed"))
+
+
+@query
+def build_rows(v):
+    """From text records to the artifact's rows, under all gates; digests, which SQL lacks, by their form."""
+    rows = build.build_rows(v.records, v.fp, v.osm, v.localities, "v1")
+    places = [F.round(c, 9).alias(c) for c in ("latitude", "longitude")]
+    formed = F.coalesce(F.length("evidence_digest"), F.lit(0)).alias("digest_length")
+    names = ["cep", "prefix", "street", "complement", "unit", "neighborhood", "city", "uf", "state", "region", "ibge", "precision", "method", "evidence_count", "evidence_radius_km", "dataset_version"]
+    return rows.select(*names, *places, F.array_join("geo_source", ",").alias("geo_source"), formed)
+
+
+@query
+def build_statistics(v):
+    return build.build_statistics(v.artifact(), v.muni())
+
+
+@query
+def artifact_versions(v):
+    version = F.when(F.substring("cep", 8, 1) == "4", F.lit(None)).when(F.substring("cep", 8, 1) == "5", "v2").otherwise("v1")
+    return build.verify_artifact(v.artifact().withColumn("dataset_version", version), "v1")
+
+
+@query
+def record_problems(v):
+    n = F.regexp_replace("cep", "-", "").cast("int")
+    broken = v.records.withColumns({"ibge": F.when(n % 5 == 0, "12").otherwise(F.col("ibge")), "localidade": F.when(n % 7 == 0, chr(160)).otherwise(F.col("localidade"))})
+    return build.record_problems(build.address_rows(broken))
+
+
+@query
+def category_problems(v):
+    source = F.when(F.substring("cep", 8, 1) == "3", F.concat(F.lit("-bad:"), "source")).otherwise(F.col("source"))
+    return centroid.category_problems(v.fp.withColumn("source", source), ["cep"])
 
 
 @query

@@ -23,9 +23,10 @@ OBS = f"""SELECT cast(o_orderkey as string) AS k, o_custkey, m, {CEP.format("o_c
     FROM (SELECT *, {M.format("o_custkey")} AS m FROM {{orders}}) o"""
 FIRST_PARTY = f"""SELECT concat('store:', k) AS evidence_id, cep, ibge, latitude, longitude, concat(lower(replace(substr(o_orderpriority, 3), ' ', '-')), ':', k) AS source
     FROM ({OBS}) o WHERE o_custkey % 4 = 0 AND m % 5 <> 4 AND m % 9 <> 8"""
-OSM = f"""SELECT concat('openstreetmap:node/', k) AS evidence_id, cep, cast(NULL as string) AS ibge, latitude, longitude, concat('openstreetmap:node/', k) AS source
-    FROM ({OBS}) o WHERE o_custkey % 4 = 1"""
-HOLDOUT = f"SELECT cep, latitude, longitude FROM ({OBS}) o WHERE o_custkey % 4 = 2 AND o_custkey % 5 = 1"
+#: The other orders are map nodes, of which some have an unknown code, and the official sample: every order is in one view.
+OSM = f"""SELECT concat('openstreetmap:node/', k) AS evidence_id, CASE WHEN cast(k as bigint) % 37 = 0 THEN concat('9', substr(cep, 2)) ELSE cep END AS cep, cast(NULL as string) AS ibge, latitude, longitude, concat('openstreetmap:node/', k) AS source
+    FROM ({OBS}) o WHERE o_custkey % 4 = 1 OR (o_custkey % 4 = 0 AND (m % 5 = 4 OR m % 9 = 8))"""
+HOLDOUT = f"SELECT CASE WHEN cast(k as bigint) % 41 = 0 THEN concat('9', substr(cep, 2)) ELSE cep END AS cep, latitude, longitude FROM ({OBS}) o WHERE o_custkey % 4 IN (2, 3)"
 PLACES = f"SELECT DISTINCT m, {IBGE} AS ibge FROM (SELECT {M.format('c_custkey')} AS m FROM {{customer}}) c"
 LOCALITIES = " UNION ALL ".join(
     [f"SELECT ibge, 'Cidade' AS category, cast(-30 + m as double) AS latitude, cast(-70 + m as double) AS longitude FROM ({PLACES}) p WHERE m % 9 <> 8"]
@@ -38,9 +39,15 @@ POLYGONS = " UNION ALL ".join(
     f"SELECT ibge, cast((-70 + m) * 1000000000 + ({x1}) as bigint) AS x1, cast((-30 + m) * 1000000000 + ({y1}) as bigint) AS y1, cast((-70 + m) * 1000000000 + ({x2}) as bigint) AS x2, cast((-30 + m) * 1000000000 + ({y2}) as bigint) AS y2 FROM ({PLACES}) p WHERE m % 7 <> 6"
     for x1, y1, x2, y2 in EDGES
 )
-DIFF = f"""SELECT cep, CASE c WHEN 0 THEN 'added' WHEN 1 THEN 'unchanged' WHEN 2 THEN 'changed_text' WHEN 3 THEN 'changed_ibge' ELSE 'removed' END AS classification,
-    CASE WHEN c = 0 THEN 'fill' WHEN c IN (1, 2) THEN 'inherit' WHEN c = 3 AND c_custkey % 2 = 0 THEN 'recompute' WHEN c = 3 THEN 'inherit' ELSE 'drop' END AS geography_action
-    FROM (SELECT {CEP.format("c_custkey")} AS cep, c_custkey, c_custkey % 5 AS c FROM {{customer}}) d"""
+#: All classifications and actions; every seventh customer's action is the next row's, so some pairs aren't allowed.
+DIFF = f"""SELECT cep, c_custkey, CASE c WHEN 0 THEN 'added' WHEN 1 THEN 'address_changed' WHEN 2 THEN 'ibge_changed' WHEN 3 THEN 'missing_from_source' WHEN 4 THEN 'source_link_conflict' ELSE 'unchanged' END AS classification,
+    CASE a WHEN 0 THEN CASE WHEN c_custkey % 4 = 0 THEN 'unresolved' ELSE 'assigned_municipality' END WHEN 1 THEN CASE WHEN c_custkey % 4 = 1 THEN 'preserved' ELSE 'invalidated_exact_to_municipality' END
+        WHEN 2 THEN 'reassigned_municipality' WHEN 3 THEN 'retained_missing' WHEN 4 THEN 'retained_source_link_conflict' ELSE 'preserved' END AS geography_action,
+    c_custkey % 53 <> 0 AS candidate_included, CASE WHEN c_custkey % 59 = 0 THEN '12' ELSE '1100205' END AS current_ibge, cast(NULL as string) AS previous_ibge, CASE WHEN c_custkey % 61 = 0 THEN 'x' ELSE cep END AS previous_cep
+    FROM (SELECT {CEP.format("c_custkey")} AS cep, c_custkey, c_custkey % 6 AS c, CASE WHEN c_custkey % 7 = 0 THEN (c_custkey + 1) % 6 ELSE c_custkey % 6 END AS a FROM {{customer}}) d"""
+#: Address records as text, as an input has them.
+RECORDS = f"""SELECT concat(substr(cep, 1, 5), '-', substr(cep, 6)) AS cep, concat(chr(160), street, ' ') AS logradouro, '' AS complemento, cast(NULL as string) AS unidade, neighborhood AS bairro, concat(' ', city) AS localidade, uf, cast(NULL as string) AS estado, '  ' AS regiao, ibge
+    FROM ({ADDR}) r"""
 RAW = f"""SELECT c_custkey, concat(substr({CEP.format("c_custkey")}, 1, 5), CASE WHEN c_custkey % 4 = 0 THEN '' ELSE '-' END, substr({CEP.format("c_custkey")}, 6), CASE WHEN c_custkey % 7 = 0 THEN '9' ELSE '' END) AS raw_code,
     CASE WHEN c_custkey % 3 = 0 THEN '   ' WHEN c_custkey % 3 = 1 THEN concat(chr(160), c_name, '  ') ELSE c_name END AS raw_text FROM {{customer}}"""
 
