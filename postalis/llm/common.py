@@ -89,6 +89,11 @@ def screen(df: DataFrame, column: str, ids: DataFrame, hit: bool = True) -> Data
     return rows.filter(found if hit else ~found).select(*df.columns)
 
 
+#: Rows of an Arrow batch, unless the session has its own setting: thousands of whole texts at once, in the executor and
+#: twice or more in its Python worker, would take much of an executor's memory.
+BATCH_ROWS, BATCH_SETTING = "1000", "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict]]], schema: str, end: bool = False) -> DataFrame:
     """mapInArrow with one function per task: make() builds it, it turns a batch into dicts of columns; with end, it is
     called with None after the last batch."""
@@ -103,6 +108,9 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Itera
             for columns in step(None):
                 yield to_batch(columns, target)
 
+    spark = df.sparkSession
+    if not spark.sparkContext.getConf().contains(BATCH_SETTING):
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     return df.mapInArrow(run, schema)
 
 
@@ -111,40 +119,6 @@ def map_sorted(df: DataFrame, keys: list[str], order: list, make: Callable[[], C
     return map_arrow(df.repartition(*keys).sortWithinPartitions(*keys, *order), make, schema)
 
 
-def map_groups(df: DataFrame, keys: list[str], make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict]]], schema: str) -> DataFrame:
-    """Grouped map for very many small groups of bounded size: rows are dealt out and sorted by the keys (longs, not
-    null), and the function gets one group's rows at a time, without a pandas frame for each."""
-    target = arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step, rest = make(), None
-
-        def groups(table: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-            found: dict[str, list] = {f.name: [] for f in target}
-            for start, end in zip(starts[:-1], starts[1:], strict=True):
-                for columns in step(table.slice(start, end - start)):
-                    for name in found:
-                        found[name] += columns[name]
-            yield to_batch(found, target)
-
-        for batch in batches:
-            table = batch if rest is None else pa.concat_batches([rest, batch])
-            if not table.num_rows:
-                continue
-            change = np.zeros(table.num_rows - 1, bool)
-            for key in keys:
-                column = table.column(key).to_numpy()
-                change |= column[1:] != column[:-1]
-            starts = np.concatenate([[0], np.flatnonzero(change) + 1])
-            if len(starts) > 1:
-                yield from groups(table, starts)
-            rest = table.slice(starts[-1])
-        if rest is not None:
-            yield from groups(rest, np.array([0, rest.num_rows]))
-
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
-
-
 def raw(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column, None for null."""
     return column.cast(pa.binary()).to_pylist()

@@ -23,6 +23,8 @@ from postalis.llm.common import durable, map_arrow, raw
 LN10 = math.log(10)
 START = "▁"
 MILLI = 1000
+#: Distinct words that a task counts before it hands them on.
+MOST_WORDS = 150_000
 
 
 class Pieces:
@@ -123,18 +125,23 @@ def word_table(docs: DataFrame) -> DataFrame:
     """(word, c, total): counts in training texts and in all, A-Z in lower case."""
 
     def make():
-        def step(batch: pa.RecordBatch):
-            train: Counter = Counter()
-            rest: Counter = Counter()
-            for text, held in zip(raw(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                if text:
-                    (rest if held else train).update(text.lower().split())
-            words = list(train | rest)
-            yield {"word": pa.array(words, pa.binary()).cast(pa.string()), "c": [train[w] for w in words], "total": [train[w] + rest[w] for w in words]}
+        train: Counter = Counter()
+        rest: Counter = Counter()
+
+        def step(batch: pa.RecordBatch | None):
+            if batch is not None:
+                for text, held in zip(raw(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                    if text:
+                        (rest if held else train).update(text.lower().split())
+            if batch is None or len(train) + len(rest) > MOST_WORDS:
+                words = list(train | rest)
+                yield {"word": pa.array(words, pa.binary()).cast(pa.string()), "c": [train[w] for w in words], "total": [train[w] + rest[w] for w in words]}
+                train.clear()
+                rest.clear()
 
         return step
 
-    return map_arrow(docs, make, "word string, c long, total long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("total").alias("total"))
+    return map_arrow(docs, make, "word string, c long, total long", end=True).groupBy("word").agg(F.sum("c").alias("c"), F.sum("total").alias("total"))
 
 
 def common(words: DataFrame, most: int) -> DataFrame:

@@ -54,7 +54,7 @@ class TokenIds(dict):
     pre-tokenizer; a tokenizer whose own rules give other ids for samples of such chunks gets every chunk whole.
     """
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 250_000) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
