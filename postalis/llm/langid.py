@@ -58,7 +58,7 @@ class Scorer:
     """Word scores as slices of two growing arrays (language, log frequency above the floor) and the kind of entry that
     gave them; forgotten beyond about most_words words or most_numbers numbers."""
 
-    def __init__(self, model: Model, most_words: int = 250_000, most_numbers: int = 4_000_000) -> None:
+    def __init__(self, model: Model, most_words: int = 150_000, most_numbers: int = 2_000_000) -> None:
         self.model, self.most_words, self.most_numbers = model, most_words, most_numbers
         self.reset()
 
@@ -124,17 +124,19 @@ def fit(docs: DataFrame, docs_per_lang: int = 3000, per_lang: int = 20_000) -> M
 
     def counted():
         def step(batch: pa.RecordBatch):
-            by_lang: dict[str, Counter] = {}
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                by_lang.setdefault(lang, Counter()).update(words_of(text))
-            for lang, words in by_lang.items():
-                found: Counter = Counter()
-                for word, n in words.items():
-                    found[0, word] += n
-                    for k in range(1, LONGEST + 1):
-                        for g in grams(word, k):
-                            found[k, g] += n
-                yield {"kind": [k for k, _ in found], "gram": [g for _, g in found], "lang": [lang] * len(found), "n": list(found.values())}
+            for start in range(0, batch.num_rows, 50):  # a few texts at a time: they have very many different n-grams
+                part = batch.slice(start, 50)
+                by_lang: dict[str, Counter] = {}
+                for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    by_lang.setdefault(lang, Counter()).update(words_of(text))
+                for lang, words in by_lang.items():
+                    found: Counter = Counter()
+                    for word, n in words.items():
+                        found[0, word] += n
+                        for k in range(1, LONGEST + 1):
+                            for g in grams(word, k):
+                                found[k, g] += n
+                    yield {"kind": [k for k, _ in found], "gram": [g for _, g in found], "lang": [lang] * len(found), "n": list(found.values())}
 
         return step
 

@@ -8,10 +8,10 @@ length, however common, meets in one task.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from bisect import bisect_right, insort
-from functools import cache
 from struct import Struct
 from unicodedata import normalize
 
@@ -47,8 +47,8 @@ def packed(ids: list[int]) -> bytes:
 
 class TokenIds(dict):
     """White-space delimited chunk -> its ids as little-endian uint32 bytes. The pre-tokenizer never joins chunks across
-    ASCII white space, so a text's ids are its chunks' ids in turn. One per Python worker, of about `most` chunks;
-    beyond, the earliest, which are the common ones, stay.
+    ASCII white space, so a text's ids are its chunks' ids in turn. One per task, of about `most` chunks; beyond,
+    the earliest, which are the common ones, stay.
 
     Chunks of letters and marks go to the tokenizer's model run by run, which spares them its normalizer and
     pre-tokenizer; a tokenizer whose own rules give other ids for samples of such chunks gets every chunk whole.
@@ -87,10 +87,8 @@ class TokenIds(dict):
         return [b"".join(map(self.__getitem__, (t if b"<|" in t else t.lower()).split())) for t in texts]
 
 
-@cache
 def token_ids(path: str) -> TokenIds:
-    import os
-
+    """One for a task, so that its memory goes with the task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return TokenIds(path)
 
