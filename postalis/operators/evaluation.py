@@ -107,15 +107,21 @@ def percentiles(prefix: str = "error_km") -> list:
     return [F.round(F.expr(f"percentile_disc({q}) within group (order by {prefix})"), 3).alias(n) for q, n in ((0.5, "p50_km"), (0.9, "p90_km"), (0.95, "p95_km"))]
 
 
-def group_metrics(samples: DataFrame) -> DataFrame:
-    """(metric, n, p50_km, p90_km, p95_km) overall and by state, class, precision and (state, precision), in one pass of
-    grouping sets; the four tiers appear even without a sample."""
+def grouped_metrics(samples: DataFrame, by: str | None = None) -> DataFrame:
+    """(by, metric, n, p50_km, p90_km, p95_km) overall and by state, class, precision and (state, precision), of each value
+    of by, in one pass of grouping sets; only groups that have samples."""
     aggregates = ", ".join(f"round(percentile_disc({q}) within group (order by error_km), 3) as {n}" for q, n in ((0.5, "p50_km"), (0.9, "p90_km"), (0.95, "p95_km")))
-    name = """case grouping_id(uf, address_class, precision) when 7 then 'overall' when 3 then concat('uf:', uf) when 5 then concat('address_class:', address_class)
+    own = [by] if by else []
+    name = f"""case grouping_id({", ".join([*own, "uf", "address_class", "precision"])}) when 7 then 'overall' when 3 then concat('uf:', uf) when 5 then concat('address_class:', address_class)
               when 6 then concat('precision:', precision) else concat('uf_precision:', uf, ':', precision) end"""
-    found = samples.sparkSession.sql(f"select {name} as metric, count(*) as n, {aggregates} from {{s}} group by grouping sets ((), (uf), (address_class), (precision), (uf, precision))", s=samples).filter("n > 0")
+    sets = ", ".join(f"({', '.join([*own, *x])})" for x in ([], ["uf"], ["address_class"], ["precision"], ["uf", "precision"]))
+    return samples.sparkSession.sql(f"select {''.join(f'{x}, ' for x in own)}{name} as metric, count(*) as n, {aggregates} from {{s}} group by grouping sets ({sets})", s=samples).filter("n > 0")
+
+
+def group_metrics(samples: DataFrame) -> DataFrame:
+    """grouped_metrics, in which the four tiers appear even without a sample."""
     tiers = samples.sparkSession.createDataFrame([(f"precision:{t}",) for t in TIERS], "metric string")
-    return found.join(tiers, "metric", "full").withColumn("n", F.coalesce("n", F.lit(0)))
+    return grouped_metrics(samples).join(tiers, "metric", "full").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def purpose_metrics(samples: DataFrame, precisions: list[str], ufs: list[str] | None = None) -> DataFrame:

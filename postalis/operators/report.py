@@ -135,7 +135,10 @@ def quality_report(inputs: Inputs, policy: QualityPolicy, version: str, t: Thres
         empty = evaluation.cohort(rows.limit(0)).first().asDict()
         cohorts = {n: cohorts.get(n, empty) for n in (*COHORTS, *(f"raw_{n}" for n in COHORTS), "official_pilot")}
         good = rows.filter(F.col("outcome") == evaluation.EVALUATED)
-        metrics = {n: {r.metric: {k: v for k, v in r.asDict().items() if k != "metric"} for r in evaluation.group_metrics(good.filter(F.col("cohort") == n)).collect()} for n in cohorts}  # a row a group of states and tiers
+        none = {"n": 0, "p50_km": None, "p90_km": None, "p95_km": None}
+        metrics: dict[str, dict[str, dict]] = {n: {f"precision:{t}": none for t in TIERS} for n in cohorts}
+        for r in evaluation.grouped_metrics(good, "cohort").collect():  # a row a cohort and group of states and tiers
+            metrics[r.cohort][r.metric] = {k: r[k] for k in none}
         purposes = {}
         for name, own in sorted(policy.at("validation", "purposes").items()):
             sample = good.filter(F.col("cohort") == own["cohort"])
@@ -184,11 +187,11 @@ def markdown(report: dict) -> str:
     number = lambda x: "-" if x is None else f"{x:g}" if isinstance(x, float) else str(x)
     out = [f"# Quality of {report['dataset_version']}", "", f"Policy {report['quality_version']}: {report['status']}.", "", "| statistic | value |", "|-|-|"]
     out += [f"| {k} | {number(v)} |" for k, v in sorted(report["artifact"].items())]
-    out += ["", "| evidence | observations |", "|-|-|"] + [f"| {k} | {number(v)} |" for k, v in report["evidence_selection"].items() if not isinstance(v, dict)]
-    out += [f"| excluded: {k} | {v} |" for k, v in report["evidence_selection"]["excluded_by_reason"].items()]
+    out += ["", "| evidence | observations |", "|-|-|"] + [f"| {k} | {number(v)} |" for k, v in sorted(report["evidence_selection"].items()) if not isinstance(v, dict)]
+    out += [f"| excluded: {k} | {v} |" for k, v in sorted(report["evidence_selection"]["excluded_by_reason"].items())]
     for title, cohorts in (("Cohorts", report["cohorts"]), ("Raw diagnostics, not gated", report["uncensored_diagnostics"]), ("Official sample", {"official_pilot": report["official_pilot"]})):
         out += ["", f"## {title}"]
-        for name, own in cohorts.items():
+        for name, own in sorted(cohorts.items()):
             out += ["", f"{name}: {own['evaluated']} of {own['heldout_observations']} evaluated, {own['missing']} of unknown codes, {own['failures']} without an estimate.", "", "| group | n | p50 km | p90 km | p95 km |", "|-|-|-|-|-|"]
             out += [f"| {m} | {r['n']} | {number(r['p50_km'])} | {number(r['p90_km'])} | {number(r['p95_km'])} |" for m, r in sorted(own["metrics"].items())]
     out += ["", "## Checks", "", "| check | passed | actual | threshold |", "|-|-|-|-|"] + [f"| {c['name']} | {'yes' if c['passed'] else 'no'} | {canonical(c['actual'])} | {canonical(c['threshold'])} |" for c in report["checks"]]
