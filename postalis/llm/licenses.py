@@ -134,9 +134,10 @@ def frequencies(docs: DataFrame) -> tuple[dict[bytes, int], int]:
 def scan(docs: DataFrame, rarest: int = 16, least: float = 0.6) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score).
 
-    docs needs doc_id and text. Null and empty texts have no words, no labels ('') and score 0; first_word and
-    last_word are null without a base place. Score: the best share of a template's weight found in place, or 1 with a
-    base phrase. Repeated rows repeat their result; an empty table gives an empty one.
+    docs needs doc_id and text; other columns, whatever their names, are left aside. Null and empty texts have no words,
+    no labels ('') and score 0; first_word and last_word are null without a base place; very long texts are scanned
+    whole. Score: the best share of a template's weight found in place, or 1 with a base phrase; templates or starts
+    that tie give the same label and score. Repeated rows repeat their result; an empty table gives an empty one.
     """
     index = docs.sparkSession.sparkContext.broadcast(Index(*frequencies(docs)))  # the size of the templates
 

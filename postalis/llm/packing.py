@@ -190,8 +190,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset).
 
-    docs needs doc_id and text. Null text is empty and packs as the end id alone; documents longer than the capacity
-    are cut into full pieces and a rest. Repeated rows are packed one by one. An empty table gives an empty result.
+    docs needs doc_id and text; other columns, whatever their names, are left aside. Null text is empty and packs as the
+    end id alone; documents longer than the capacity are cut into full pieces and a rest. Repeated rows are packed one by
+    one, pieces of equal length in any order. An empty table gives an empty result.
     """
     cut = durable(pieces(docs, tokenizer, capacity))
     counts = durable(cut.groupBy("part", "length").agg(F.count("*").alias("n")))

@@ -114,8 +114,9 @@ def counts(text: bytes) -> tuple[int, int, int, int, int]:
 def judge(docs: DataFrame, rules: Rules = Rules(), carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_removed_lines, clean_text, and carried columns).
 
-    docs needs doc_id, text and source. Null or empty text has no word and fails; a null source is a host of its own;
-    repeated rows get the same verdict; an empty table gives an empty result. clean_text is the text without the
+    docs needs doc_id, text and source; other columns, whatever their names, are left aside unless carried. Null or empty
+    text has no word and fails; a null source is a host of its own; very long texts are judged whole; a line at a limit
+    stays, one above it goes; repeated rows get the same verdict; an empty table gives an empty result. clean_text is the text without the
     removed lines (null for null text); ask for it or not, an unused column costs little.
     """
     spark, lines = docs.sparkSession, durable(removed_lines(docs, rules))
