@@ -107,6 +107,7 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Itera
         if end:
             for columns in step(None):
                 yield to_batch(columns, target)
+        pa.default_memory_pool().release_unused()  # a worker lives on after its task
 
     spark = df.sparkSession
     if not spark.sparkContext.getConf().contains(BATCH_SETTING):

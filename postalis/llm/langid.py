@@ -67,31 +67,38 @@ class Scorer:
         self.kinds, self.starts, self.lengths = (np.zeros(4096, np.int64) for _ in range(3))
         self.lang, self.value, self.used = np.zeros(1 << 14, np.int32), np.zeros(1 << 14), 0
 
-    def found(self, word: str) -> tuple[int, np.ndarray, np.ndarray]:
-        """(kind, languages, log frequencies above the kind's floor)"""
-        m = self.model
-        if (i := m.tables[0].get(word)) is not None:
-            own = slice(m.starts[i], m.starts[i] + m.lengths[i])
-            return 0, m.lang[own], m.above[own]
-        for n in range(LONGEST, 0, -1):
-            table = m.tables[n]
-            if at := [table[g] for g in grams(word, n) if g in table]:
-                own = [slice(m.starts[i], m.starts[i] + m.lengths[i]) for i in at]
-                lang = np.concatenate([m.lang[x] for x in own])
-                return n, lang, np.concatenate([m.above[x] for x in own]) / len(at)
-        return -1, m.lang[:0], m.above[:0]
-
-    def learn(self, word: str) -> None:
-        kind, lang, value = self.found(word)
-        slot = len(self.index)
-        if slot == len(self.kinds):
+    def entries(self, word: str) -> tuple[int, list[int]]:
+        """(kind, the model's entries that give the word's score)"""
+        tables = self.model.tables
+        if (i := tables[0].get(word)) is not None:
+            return 0, [i]
+        padded = f"<{word}>"
+        for n in range(LONGEST, 1, -1):
+            get = tables[n].get
+            if at := [i for k in range(len(padded) - n + 1) if (i := get(padded[k : k + n])) is not None]:
+                return n, at
+        at = [i for c in word if (i := tables[1].get(c)) is not None]
+        return (1, at) if at else (-1, at)
+
+    def learn(self, words: list[str]) -> None:
+        """Scores of new words, all at once: an entry's log frequencies, or the mean of several entries'."""
+        m, first = self.model, len(self.index)
+        kinds, at = zip(*map(self.entries, words), strict=True)
+        sizes = np.fromiter(map(len, at), np.int64, len(at))
+        own = np.fromiter((i for x in at for i in x), np.int64, int(sizes.sum()))
+        lengths = m.lengths[own]
+        places = np.repeat(m.starts[own] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        word = np.repeat(np.repeat(np.arange(len(words)), sizes), lengths)
+        while first + len(words) > len(self.kinds):
             self.kinds, self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.kinds, self.starts, self.lengths))
-        while self.used + len(lang) > len(self.lang):
+        while self.used + len(places) > len(self.lang):
             self.lang, self.value = np.concatenate([self.lang, np.zeros_like(self.lang)]), np.concatenate([self.value, np.zeros_like(self.value)])
-        end = self.used + len(lang)
-        self.lang[self.used : end], self.value[self.used : end] = lang, value
-        self.kinds[slot], self.starts[slot], self.lengths[slot] = kind, self.used, len(lang)
-        self.index[word], self.used = slot, end
+        end, new = self.used + len(places), slice(first, first + len(words))
+        self.lang[self.used : end], self.value[self.used : end] = m.lang[places], m.above[places] / sizes[word]
+        many = np.bincount(word, minlength=len(words))
+        self.kinds[new], self.lengths[new], self.starts[new] = kinds, many, self.used + np.cumsum(many) - many
+        self.index.update(zip(words, range(first, first + len(words)), strict=True))
+        self.used = end
 
     def __call__(self, words: list[str]) -> tuple[str, float]:
         if not words or not self.model.langs:
@@ -100,8 +107,8 @@ class Scorer:
         if len(self.index) + len(new) > self.most_words or self.used > self.most_numbers:
             self.reset()
             new = set(words)
-        for word in sorted(new):
-            self.learn(word)
+        if new:
+            self.learn(sorted(new))
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         lengths = self.lengths[at]
         places = np.repeat(self.starts[at] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
