@@ -78,13 +78,21 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(pages, htmltext.fit(pages))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from postalis.llm.alignment import token_alignment
+
+    return token_alignment(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postalis.llm.stages import run
 
     return run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_exact_top_k, op4_license_scan, op5_quality_rules, op6_lm_scoring, op7_source_mixing, op8_jaccard_join, op9_tool_calls, op10_html_text, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_exact_top_k, op4_license_scan, op5_quality_rules, op6_lm_scoring, op7_source_mixing, op8_jaccard_join, op9_tool_calls, op10_html_text, op11_token_alignment, pipeline)}
 
 ORACLE_SQL = {
     "op3_exact_top_k": """
