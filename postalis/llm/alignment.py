@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import json
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -17,12 +18,11 @@ from itertools import chain, groupby, islice
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postalis.llm.common import Scratch, map_arrow
+from postalis.llm.common import Scratch, map_arrow, packed, steps, unpacked
 
 #: Buckets of side B's ids; a bucket's pairs with their sums are held by a task.
 BUCKETS = 64
@@ -35,8 +35,14 @@ PART_BYTES = 8 << 20
 #: Pairs of a block of a run, which is unpacked alone.
 BLOCK = 4096
 #: Letters of a text encoded at once, and units and links remembered by a task.
-PORTION, MOST_UNITS, MOST_LINKS = 1 << 20, 150_000, 2_000_000
-
+PORTION, MOST_UNITS, MOST_LINKS = 1 << 20, 300_000, 4_000_000
+#: Units encoded at once, and letters of a unit that is encoded alone.
+TOGETHER, LONG_UNIT = 4000, 10_000
+
+# Fixed value: how byte-level tokenizers cut texts before they merge.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: What side B's pieces have for a space.
+PIECE_SPACE = "▁"
 #: The Unicode property White_Space.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: White space before other characters, which a carriage return may continue: pieces of side B end with one.
@@ -46,25 +52,6 @@ FIGURES = ["n_a", "n_b", "n_groups", "n_links"]
 ROWS = "run long, at int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, bucket int, head binary, body binary, size long"
 
 
-def packed(*parts: np.ndarray) -> bytes:
-    """Arrays with their bytes by place, compressed."""
-    return zstandard.compress(b"".join(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes() for x in parts), 3)
-
-
-def unpacked(data: bytes, *shape: tuple[int, str]) -> list[np.ndarray]:
-    data, at, found = zstandard.decompress(data), 0, []
-    for n, kind in shape:
-        size = n * np.dtype(kind).itemsize
-        found.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, size, at).reshape(-1, n).T).view(kind).ravel() if n else np.zeros(0, kind))
-        at += size
-    return found
-
-
-def steps(sorted_values: np.ndarray) -> np.ndarray:
-    """Differences, which cumsum undoes."""
-    return np.diff(sorted_values, prepend=sorted_values.dtype.type(0))
-
-
 def to_head(keys: np.ndarray, sums: np.ndarray) -> bytes:
     """Sorted pairs with their sums, in blocks that can be unpacked one by one."""
     out = []
@@ -122,52 +109,80 @@ def from_body(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 @cache
 def tokenizers(path_a: str, path_b: str) -> tuple:
-    """(encoder of A, encoder of B's units, bytes of A's tokens, bytes of B's tokens)"""
+    """(encoder of A inside a text, encoder of B inside a text, bytes of A's tokens, bytes of B's tokens, lengths of either)"""
     import sentencepiece
+    import tiktoken
     from tokenizers import Tokenizer
 
     a = Tokenizer.from_file(path_a)
     a.encode_special_tokens = True
+    model = json.loads(a.to_str())["model"]
+    merged_ids = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if merged_ids != sorted(merged_ids):
+        raise ValueError("ids of side A must rise with its merges")
     printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # the byte-level alphabet: these stand for themselves
     letters = {chr(x): x for x in printed} | {chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in set(printed))}
     bytes_a: dict[int, bytes] = {i: bytes(letters[c] for c in word) if set(word) <= set(letters) else word.encode() for word, i in a.get_vocab(with_added_tokens=True).items()}
     b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-    bytes_b = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(map(b.id_to_piece, range(b.get_piece_size())))]
+    bytes_b = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace(PIECE_SPACE, " ").encode() for i, p in enumerate(map(b.id_to_piece, range(b.get_piece_size())))]
     line = b.encode("\n")
-    crossing = re.compile(rf"[^{SPACE}▁](?!\r)[{SPACE}▁]|\n")
+    crossing = re.compile(rf"[^{SPACE}{PIECE_SPACE}](?!\r)[{SPACE}{PIECE_SPACE}]|\n")
     if len(line) != 2 or any(crossing.search(b.id_to_piece(i)) for i in range(b.get_piece_size()) if not (b.is_byte(i) or b.is_control(i) or b.is_unknown(i))) or max(len(bytes_b), max(bytes_a)) >= 1 << 16:
         raise ValueError("pieces of side B must not hold white space (but \\r) behind other characters, and ids must fit 16 bits")
 
-    def encode_b(units: list[str]) -> list[list[int]]:
+    def encode_b(text: str) -> list[int]:
         """As inside a text: a line feed keeps the added space away."""
-        return [ids[2:] for ids in b.encode(["\n" + u for u in units], num_threads=1)]
-
-    return a, encode_b, bytes_a, bytes_b
-
-
-def align(a: list[int], b: list[int], bytes_a, bytes_b, whole: bytes) -> tuple[int, str, list[int]] | None:
-    """(groups, their text, links as b << 16 | a) of one unit; None where tokens don't give its bytes."""
-    if b"".join([bytes_a[x] for x in a]) != whole or b"".join([bytes_b[x] for x in b]) != whole:
-        return None
-    groups, links, i, j, at_a, at_b, first_a, first_b = [], [], 0, 0, 0, 0, 0, 0
-    while i < len(a):  # token i of A and j of B overlap
-        links.append(b[j] << 16 | a[i])
-        end_a, end_b = at_a + len(bytes_a[a[i]]), at_b + len(bytes_b[b[j]])
-        if end_a <= end_b:
-            i, at_a = i + 1, end_a
-        if end_b <= end_a:
-            j, at_b = j + 1, end_b
-        if at_a == at_b:
-            groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-            first_a, first_b = i, j
-    return len(groups), ";".join(groups), links
+        return b.encode("\n" + text, num_threads=1)[2:]
+
+    lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+    for found, own in zip(lengths, (bytes_a, dict(enumerate(bytes_b))), strict=True):
+        found[list(own)] = list(map(len, own.values()))
+    fast = tiktoken.Encoding("side A", pat_str=PATTERN, mergeable_ranks={bytes_a[i]: i for i in model["vocab"].values() if i not in a.get_added_tokens_decoder()}, special_tokens={})
+
+    def encode_a(text: str) -> list[int]:
+        """By the vocabulary's ranks; a unit that is very long by the library whose time doesn't grow with its square."""
+        return a.encode(text, add_special_tokens=False).ids if len(text) > LONG_UNIT and text.find(" ", 1) < 0 else fast.encode_ordinary(text)
+
+    return encode_a, encode_b, bytes_a, bytes_b, *lengths
+
+
+def written(ids: np.ndarray, marks: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Decimal ids one after another, each behind its mark (0: none), and the place behind each."""
+    digits = 1 + sum((ids >= 10**k).astype(np.int64) for k in range(1, 5))
+    ends = np.cumsum(digits + (marks > 0))
+    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
+    for k in range(5):
+        some = digits > k
+        out[ends[some] - 1 - k] = 48 + ids[some] // 10**k % 10
+    out[(ends - digits - 1)[marks > 0]] = marks[marks > 0]
+    return out.tobytes(), ends
+
+
+def align(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(figures of each unit, links as b << 16 | a unit by unit, the groups' texts) of units that end at cuts, from the
+    tokens of all of them and the places where these end."""
+    first, last = np.searchsorted(ends_b, np.append(0, ends_a[:-1]), "right"), np.searchsorted(ends_b, ends_a)
+    n = last - first + 1  # tokens of B that overlap one of A
+    links = ids_b[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())] << 16 | np.repeat(ids_a, n)
+    both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+    order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+    group, side = np.concatenate([group_a, group_b])[order], np.repeat([0, 1], [len(ids_a), len(ids_b)])[order]
+    unit = np.searchsorted(cuts, both)[group]
+    starts = lambda x: np.concatenate([[True], x[1:] != x[:-1]])
+    marks = np.where(starts(unit), 0, np.where(starts(group), ord(";"), np.where(starts(side), ord("|"), ord(","))))
+    text, places = written(np.concatenate([ids_a, ids_b])[order], marks)
+    stops = places[np.append(np.flatnonzero(starts(unit))[1:], len(unit)) - 1].tolist()
+    text = text.decode()
+    by = lambda x, weights=None: np.bincount(np.searchsorted(cuts, x), weights, len(cuts)).astype(np.int64)
+    return np.stack([by(ends_a), by(ends_b), by(both), by(ends_a, n), np.zeros(len(cuts), np.int64)], 1), links.astype(np.uint32), [text[i:j] for i, j in zip([0, *stops], stops)]
 
 
 class Units:
     """What a task remembers of units: figures, links and group texts; forgotten beyond MOST_UNITS or MOST_LINKS."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
-        self.a, self.encode_b, self.bytes_a, self.bytes_b = tokenizers(path_a, path_b)
+        self.encode_a, self.encode_b, self.bytes_a, self.bytes_b, self.lengths_a, self.lengths_b = tokenizers(path_a, path_b)
         self.reset()
 
     def reset(self) -> None:
@@ -177,18 +192,39 @@ class Units:
         self.links, self.used, self.starts = np.zeros(1 << 14, np.uint32), 0, np.zeros(1024, np.int64)
 
     def learn(self, units: list[str]) -> None:
-        for u, a, b in zip(units, self.a.encode_batch(units, add_special_tokens=False), self.encode_b(units), strict=True):
-            found = align(a.ids, b, self.bytes_a, self.bytes_b, u.encode())
-            n, text, links = found or (0, "", [])
-            i = self.index[u] = len(self.texts)
-            self.texts.append(text)
-            while i >= len(self.starts):
-                self.starts, self.figures = np.concatenate([self.starts, self.starts * 0]), np.concatenate([self.figures, self.figures * 0])
-            while self.used + len(links) > len(self.links):
-                self.links = np.concatenate([self.links, self.links * 0])
-            self.figures[i] = (len(a.ids), len(b), n, len(links), not found)
-            self.starts[i], self.used = self.used, self.used + len(links)
-            self.links[self.starts[i] : self.used] = links
+        """Encode units behind one another, as both tokenizers cut between them; white space alone, by itself. A unit with
+        U+2581, whose tokens give a space, fails."""
+        alone = [[u] for u in units if (u.isspace() or len(u) > LONG_UNIT) and PIECE_SPACE not in u]
+        rest = [u for u in units if not (u.isspace() or len(u) > LONG_UNIT) and PIECE_SPACE not in u]
+        for some in [rest[i : i + TOGETHER] for i in range(0, len(rest), TOGETHER)] + alone:
+            text = "".join(some)
+            ids_a, ids_b = np.array(self.encode_a(text), np.int64), np.array(self.encode_b(text), np.int64)
+            ends_a, ends_b = np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b])
+            cuts = np.cumsum([len(u.encode()) for u in some])
+            raw = text.encode()
+            if b"".join(map(self.bytes_a.__getitem__, ids_a.tolist())) != raw or b"".join(map(self.bytes_b.__getitem__, ids_b.tolist())) != raw or not (np.isin(cuts, ends_a).all() and np.isin(cuts, ends_b).all()):
+                if len(some) > 1:
+                    for u in some:
+                        self.learn([u])
+                    continue
+                self.keep(some, np.array([[0, 0, 0, 0, 1]]), np.zeros(0, np.uint32), [""])
+                continue
+            self.keep(some, *align(ids_a, ids_b, ends_a, ends_b, cuts))
+        if odd := [u for u in units if PIECE_SPACE in u]:
+            self.keep(odd, np.tile([0, 0, 0, 0, 1], (len(odd), 1)), np.zeros(0, np.uint32), [""] * len(odd))
+
+    def keep(self, units: list[str], figures: np.ndarray, links: np.ndarray, texts: list[str]) -> None:
+        first = len(self.texts)
+        self.index.update(zip(units, range(first, first + len(units)), strict=True))
+        self.texts += texts
+        while len(self.texts) > len(self.starts):
+            self.starts, self.figures = np.concatenate([self.starts, self.starts * 0]), np.concatenate([self.figures, self.figures * 0])
+        while self.used + len(links) > len(self.links):
+            self.links = np.concatenate([self.links, self.links * 0])
+        new = slice(first, first + len(units))
+        self.figures[new], self.starts[new] = figures, self.used + np.cumsum(figures[:, 3]) - figures[:, 3]
+        self.links[self.used : self.used + len(links)] = links
+        self.used += len(links)
 
     def known(self, units: list[str]) -> np.ndarray:
         new = set(units).difference(self.index)
