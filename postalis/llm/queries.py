@@ -86,13 +86,27 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postalis.llm import toxicity
+
+    docs = read(spark, sf_dir, "documents")
+    field = toxicity.fit(docs, read(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0))
+    return toxicity.score(docs, field).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "n_spans", "spans")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from postalis.llm.search import search
+
+    return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postalis.llm.stages import run
 
     return run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_exact_top_k, op4_license_scan, op5_quality_rules, op6_lm_scoring, op7_source_mixing, op8_jaccard_join, op9_tool_calls, op10_html_text, op11_token_alignment, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_best_fit_packing, op3_exact_top_k, op4_license_scan, op5_quality_rules, op6_lm_scoring, op7_source_mixing, op8_jaccard_join, op9_tool_calls, op10_html_text, op11_token_alignment, op12_toxicity, op13_ranked_search, pipeline)}
 
 ORACLE_SQL = {
     "op3_exact_top_k": """
@@ -121,4 +135,15 @@ ORACLE_SQL = {
           || CASE WHEN up IS NOT NULL THEN '"c' || conv_id || '-' || up || '"' ELSE 'null' END || ',"result":' || coalesce(to_json(answer)::VARCHAR, 'null')
           || ',"status":"' || status || '","tool":' || coalesce('"' || tool || '"', 'null') || ',"turn":' || coalesce(turn::VARCHAR, 'null') || '}' AS record
         FROM k""",
+    "op13_ranked_search": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t FROM documents WHERE text IS NOT NULL),
+        i AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+        q AS (SELECT i, item_id, term, count(*) AS n FROM (SELECT i, item_id, unnest(t) AS term FROM i) GROUP BY ALL),
+        a AS (SELECT count(*) FILTER (len(t) > 0) AS docs, sum(len(t))::BIGINT AS words FROM d),
+        p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+        w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, a GROUP BY term, docs),
+        s AS (SELECT q.i, q.item_id, d.doc_id, d.r, sum(q.n * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (25 + (75 * len(d.t) * a.docs) // a.words))))::BIGINT AS score
+              FROM q JOIN w USING (term) JOIN p USING (term) JOIN d USING (r), a GROUP BY ALL)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0) WHERE rank <= 10""",
 }
