@@ -79,3 +79,24 @@ def float_hex(value: Column) -> Column:
     part = lambda i: F.regexp_extract(java, r"^(-?0x[01])\.([0-9a-f]+)p(-?)([0-9]+)$", i)
     fraction = F.when(value == 0, F.lit("0")).otherwise(F.rpad(part(2), 13, "0"))
     return F.concat(part(1), F.lit("."), fraction, F.lit("p"), F.when(part(3) == "", "+").otherwise("-"), part(4))
+
+
+def round_exact(value: Column, digits: int) -> Column:
+    """Round a double's exact binary value to decimal digits, halves to even, as Python does; Spark's own functions round
+    its shortest decimal notation. The product with 10 ** digits and its error are exact (split by 2 ** 27 + 1), so the
+    side of a tie is known. Beyond 2 ** 51 / 10 ** digits, where doubles lie wider apart, Spark's rounding stays."""
+    scale = float(10**digits)
+    halves = lambda c: ((c * F.lit(134217729.0)) - ((c * F.lit(134217729.0)) - c))
+    s, size = F.lit(scale), F.abs(value)
+    high_s = scale * 134217729.0 - (scale * 134217729.0 - scale)
+    low_s = scale - high_s
+    high = halves(size)
+    low = size - high
+    product = size * s
+    error = ((high * F.lit(high_s) - product) + high * F.lit(low_s) + low * F.lit(high_s)) + low * F.lit(low_s)
+    whole = F.floor(product).cast("double")
+    side = ((product - whole) - F.lit(0.5)) + error
+    # a product just below a whole number may have been rounded up to it: then side is near -0.5 and whole is right all the same
+    rounded = F.when(side > 0, whole + 1).when(side < 0, whole).otherwise(whole + whole % 2)
+    own = F.when(size < F.lit(2.0**51 / scale), rounded / s).otherwise(F.bround(size, digits))
+    return F.when(value < 0, -own).otherwise(own)

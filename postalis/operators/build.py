@@ -7,9 +7,9 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postalis.config import TIERS, Thresholds
+from postalis.config import TIERS, QualityPolicy, Thresholds
 from postalis.functions import clean_text, municipality_code, postal_code
-from postalis.operators import tiers
+from postalis.operators import containment, manifest, report, tiers
 from postalis.operators.contract import row_problems
 from postalis.operators.gates import GateError, require_empty
 
@@ -46,9 +46,19 @@ def estimated_rows(addresses: DataFrame, first_party: DataFrame, osm: DataFrame,
     )
 
 
-def build_rows(records: DataFrame, first_party: DataFrame, osm: DataFrame, localities: DataFrame, version: str, t: Thresholds = Thresholds()) -> DataFrame:
-    """The artifact's rows from the inputs, after every rule about them held."""
+def polygon_eligible(osm: DataFrame, addresses: DataFrame, edges: DataFrame) -> DataFrame:
+    """Map nodes without those outside the polygon of their code's municipality; codes nobody knows stay. Every
+    municipality of an observed code must have a polygon."""
+    require_empty(containment.missing_polygons(osm, addresses, edges), "municipalities without a polygon")
+    return containment.select(osm, addresses, edges).filter("eligible").select(*(c for c in osm.columns if c != "ibge"), F.lit(None).cast("string").alias("ibge")).select(*osm.columns)
+
+
+def build_rows(records: DataFrame, first_party: DataFrame, osm: DataFrame, localities: DataFrame, version: str, t: Thresholds = Thresholds(), edges: DataFrame | None = None) -> DataFrame:
+    """The artifact's rows from the inputs, after every rule about them held; with polygon edges, only map nodes that lie in
+    their municipality count."""
     addresses = address_rows(records)
+    if edges is not None:
+        osm = polygon_eligible(osm, addresses, edges)
     require_empty(record_problems(addresses), "unfit records")
     tiers.require_sound(addresses, first_party, osm)
     tiers.require_references(tiers.municipality_reference(localities))
@@ -66,12 +76,48 @@ def build_statistics(rows: DataFrame, municipalities: DataFrame) -> DataFrame:
     )
 
 
-def write_artifact(rows: DataFrame, folder: str, **metadata: str) -> None:
-    """Rows sorted by code, so that file statistics prune point lookups, and key-value metadata beside them."""
+def write_artifact(rows: DataFrame, folder: str, **metadata: str) -> dict:
+    """Rows sorted by code, so that file statistics prune point lookups, and key-value metadata beside them; the counts and
+    digest that the writing pass took are returned."""
     require_empty(row_problems(rows).select("cep", "failed"), "rows against the contract")
-    rows.orderBy("cep").write.parquet(f"{folder}/rows")
+    written = manifest.observed_write(rows, f"{folder}/rows")
+    write_metadata(rows.sparkSession, folder, metadata)
+    return written
+
+
+def write_metadata(spark: SparkSession, folder: str, metadata: dict[str, str]) -> None:
     pairs = sorted({"format": FORMAT, **metadata}.items())
-    rows.sparkSession.createDataFrame(pairs, "key string, value string").coalesce(1).write.parquet(f"{folder}/metadata")
+    spark.createDataFrame(pairs, "key string, value string").coalesce(1).write.parquet(f"{folder}/metadata")
+
+
+def store(rows: DataFrame, folder: str, version: str, policy: QualityPolicy, inputs: dict, settings: dict, origins: tuple[str, ...] = ()) -> dict:
+    """Write a build: rows with their counts, then, if the stored rows keep contract and policy, metadata and manifest.
+    Columns beginning with _ are counted, not stored. A folder without a manifest is no build."""
+    spark = rows.sparkSession
+    written = manifest.observed_write(rows, f"{folder}/rows", origins)
+    stored = spark.read.parquet(f"{folder}/rows")
+    require_empty(row_problems(stored, version).select("cep", "failed"), "rows against the contract")
+    require_empty(stored.groupBy("cep").count().filter("count > 1").select("cep"), "codes that stand twice")
+    report.require_quality(stored, policy)
+    found = manifest.document(version, written, inputs, settings | {"quality_version": policy.version, "quality_sha256": policy.sha256})
+    write_metadata(spark, folder, {"dataset_version": version, **{f"count_{k}": str(v) for k, v in written["statistics"].items()}})
+    spark.createDataFrame([(json.dumps(found, ensure_ascii=False, sort_keys=True, separators=(",", ":")),)], "value string").coalesce(1).write.text(f"{folder}/manifest")
+    return found
+
+
+def read_manifest(spark: SparkSession, folder: str) -> dict:
+    found = json.loads(spark.read.text(f"{folder}/manifest", wholetext=True).first()[0])
+    if found.get("format") != manifest.FORMAT:
+        raise GateError(f"not a build of format {manifest.FORMAT}")
+    return found
+
+
+def build(records: DataFrame, first_party: DataFrame, osm: DataFrame, localities: DataFrame, edges: DataFrame, folder: str, version: str, policy: QualityPolicy, inputs: dict, t: Thresholds = Thresholds()) -> dict:
+    """From inputs to a stored build and its manifest."""
+    rows = build_rows(records, first_party, osm, localities, version, t, edges)
+    known = tiers.municipality_reference(localities).select("ibge", F.lit(True).alias("_joined"))
+    marked = rows.join(known, "ibge", "left").withColumn("_joined", F.coalesce("_joined", F.lit(False)))
+    return store(marked, folder, version, policy, inputs, {"thresholds": {k: v for k, v in sorted(vars(t).items())}})
 
 
 def read_metadata(spark: SparkSession, folder: str) -> dict[str, str]:
@@ -84,6 +130,7 @@ def read_artifact(spark: SparkSession, folder: str) -> DataFrame:
     if metadata.get("format") != FORMAT or not metadata.get("dataset_version"):
         raise GateError(f"not an artifact of format {FORMAT}: {json.dumps(metadata)[:200]}")
     rows = spark.read.parquet(f"{folder}/rows")
+    require_empty(rows.filter(~F.col("dataset_version").eqNullSafe(F.lit(metadata["dataset_version"]))).select("cep", "dataset_version"), "rows of another version than the metadata's")
     return rows
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postalis.operators.gates import require_empty
+
 BIN = 50_000_000  # 0.05 degrees
 NANO = "cast(rint({} * 1e9) as bigint)"
 
@@ -19,14 +21,16 @@ def classify(points: DataFrame, edges: DataFrame, key: str = "evidence_id") -> D
     """points (key, ibge, latitude, longitude) with position: interior, boundary or outside, by even-odd crossings.
 
     An equi-join on municipality and latitude bin brings a point to the few edges that can matter; being on an edge
-    wins over parity, so rings may turn either way and holes and islands need no marking.
+    wins over parity, so rings may turn either way and holes and islands need no marking. Rows that say the same count
+    once, since parity would cancel them; a key with several places gets a row for each.
     """
-    rows = points.select(key, "ibge", F.expr(NANO.format("longitude")).alias("x"), F.expr(NANO.format("latitude")).alias("y")).withColumn("bin", F.expr(f"(y + 90000000000) div {BIN}"))
+    places = points.select(key, "ibge", F.expr(NANO.format("longitude")).alias("x"), F.expr(NANO.format("latitude")).alias("y")).distinct()
+    rows = places.withColumn("bin", F.expr(f"(y + 90000000000) div {BIN}"))
     both = rows.join(edge_bins(edges), ["ibge", "bin"], "left")
     side = "(cast(x - x1 as decimal(13,0)) * cast(y2 - y1 as decimal(13,0)) - cast(y - y1 as decimal(13,0)) * cast(x2 - x1 as decimal(13,0)))"
     on = F.expr(f"coalesce({side} = 0 and x between least(x1, x2) and greatest(x1, x2) and y between least(y1, y2) and greatest(y1, y2), false)")
     crossing = F.expr(f"coalesce((y1 > y) <> (y2 > y) and (-{side} > 0) = (y2 > y1), false)")
-    found = both.groupBy(key).agg(F.bool_or(on).alias("on"), (F.count_if(crossing) % 2 == 1).alias("odd"))
+    found = both.groupBy(key, "ibge", "x", "y").agg(F.bool_or(on).alias("on"), (F.count_if(crossing) % 2 == 1).alias("odd"))
     return found.select(key, F.when(F.col("on"), "boundary").when(F.col("odd"), "interior").otherwise("outside").alias("position"))
 
 
@@ -40,8 +44,14 @@ def missing_polygons(observations: DataFrame, addresses: DataFrame, edges: DataF
     return targets(observations, addresses).filter("ibge is not null").select("ibge").distinct().join(edges.select("ibge").distinct(), "ibge", "left_anti")
 
 
+def require_identities(observations: DataFrame, key: str = "evidence_id") -> None:
+    """An identity stands once: a repeated one is an error, whatever it says."""
+    require_empty(observations.groupBy(key).count().filter(F.col(key).isNull() | (F.col("count") > 1)).select(key), "repeated or missing identities of observations")
+
+
 def select(observations: DataFrame, addresses: DataFrame, edges: DataFrame) -> DataFrame:
-    """observations with ibge, position (unknown_cep where the code isn't known) and eligible."""
+    """observations with ibge, position (unknown_cep where the code isn't known) and eligible. Their identities must differ."""
+    require_identities(observations)
     rows = targets(observations, addresses)
     placed = rows.join(classify(rows.filter("ibge is not null"), edges), "evidence_id", "left")
     position = F.when(F.col("ibge").isNull(), "unknown_cep").otherwise(F.col("position"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from postalis.operators import strict
 from postalis.operators.gates import GateError, failed_rules, require_empty
+from postalis.sources.lines import placed_lines
 
 # Which geography actions a classification of a diff row allows, and the row's keys.
 ALLOWED = {
@@ -18,6 +20,12 @@ ALLOWED = {
 }
 ACTIONS = ("assigned_municipality", "invalidated_exact_to_municipality", "preserved", "reassigned_municipality", "retained_missing", "retained_source_link_conflict", "unresolved")
 DIFF = "candidate_included boolean, cep string, changed_fields array<string>, classification string, current_ibge string, geography_action string, previous_cep string, previous_ibge string, valid_until string"
+_OPEN = (*strict.TEXT, *strict.NOTHING)
+DIFF_SHAPE: strict.Shape = {
+    "candidate_included": strict.FLAG, "cep": strict.TEXT, "changed_fields": strict.TEXTS, "classification": strict.TEXT, "geography_action": strict.TEXT,
+    "current_ibge": _OPEN, "previous_cep": _OPEN, "previous_ibge": _OPEN, "valid_until": _OPEN,
+}
+MOST_DIFF_LINE = 65_536
 # Precisions that a candidate may carry; methods of filled rows.
 CANDIDATE_PRECISIONS = ("municipality", "osm_postcode")
 FILLED = {"municipality": "ibge_municipality_reference", "administrative": "ibge_administrative_locality_aggregate"}
@@ -98,6 +106,17 @@ def require_diff(diff: DataFrame, position: str | None = None) -> None:
         require_empty(order_violations(diff, position), "diff rows out of order")
 
 
+def read_diff(spark: SparkSession, path: str) -> DataFrame:
+    """Diff rows of a file of JSON lines with exactly the known keys and kinds, each line ended, in rising order of codes."""
+    lines = placed_lines(spark, path, MOST_DIFF_LINE)
+    require_empty(lines.filter("not ended").select("file", "offset"), "a diff line without a line feed")
+    odd = strict.strict(F.col("value"), DIFF_SHAPE)
+    require_empty(lines.select("file", "offset", odd.alias("problems")).filter(F.size("problems") > 0), "diff lines of other keys or kinds")
+    diff = lines.select("position", F.from_json("value", DIFF, {"mode": "FAILFAST"}).alias("r")).select("position", "r.*")
+    require_diff(diff, "position")
+    return diff.drop("position")
+
+
 def refreshed(rows: DataFrame, municipalities: DataFrame, administrative: DataFrame) -> DataFrame:
     """A candidate's rows with every gap filled; one that no reference fills is an error."""
     filled = fill_null_geo(rows, municipalities, administrative)

@@ -21,27 +21,34 @@ CHECK = "name string, passed boolean, actual string, threshold string"
 
 @dataclass(frozen=True)
 class Inputs:
-    """What a report is about: the artifact, raw map nodes, municipality references, polygon edges, an official sample."""
+    """What a report is about: the artifact, raw map nodes, municipality references, polygon edges, an official sample. The
+    artifact is read by several sums, so it is best a stored one; addresses: its codes with municipality, state, street and
+    neighbourhood, where they can be had without its estimates."""
 
     artifact: DataFrame
     osm: DataFrame
     municipalities: DataFrame
     edges: DataFrame
     official: DataFrame
+    addresses: DataFrame | None = None
+
+    @property
+    def known(self) -> DataFrame:
+        return (self.artifact if self.addresses is None else self.addresses).select("cep", "ibge", "uf", "street", "neighborhood")
 
 
 def cohort_inputs(inputs: Inputs, t: Thresholds = Thresholds()) -> dict[str, DataFrame]:
     """cohort -> map nodes. Leave-observation-out takes what production retains of the nodes in their polygon; unseen codes
     take all of the nodes in their polygon, since training applies production's rules itself."""
-    eligible = containment.select(inputs.osm, inputs.artifact, inputs.edges).filter("eligible").select(*inputs.osm.columns)
-    retained = evaluation.production_eligible(eligible, inputs.artifact, inputs.municipalities, t).filter("exclusion_reason is null").drop("exclusion_reason")
+    eligible = containment.select(inputs.osm, inputs.known, inputs.edges).filter("eligible").select(*inputs.osm.columns)
+    retained = evaluation.production_eligible(eligible, inputs.known, inputs.municipalities, t).filter("exclusion_reason is null").drop("exclusion_reason")
     return {"leave_observation_out": retained, "unseen_cep": eligible}
 
 
 def cohort_outcomes(osm: DataFrame, inputs: Inputs, cohort: str, modulus: int = 5, remainder: int = 0, t: Thresholds = Thresholds()) -> DataFrame:
     """Outcomes of a cohort's held-out nodes: single observations, or whole codes."""
     parted = evaluation.split(osm, modulus, remainder, by_code=cohort == "unseen_cep")
-    return evaluation.outcomes(parted, inputs.artifact, inputs.municipalities, t)
+    return evaluation.outcomes(parted, inputs.known, inputs.municipalities, t)
 
 
 def all_outcomes(inputs: Inputs, policy: QualityPolicy, t: Thresholds = Thresholds()) -> DataFrame:
@@ -143,10 +150,10 @@ def quality_report(inputs: Inputs, policy: QualityPolicy, version: str, t: Thres
         for name, own in sorted(policy.at("validation", "purposes").items()):
             sample = good.filter(F.col("cohort") == own["cohort"])
             purposes[name] = evaluation.purpose_metrics(sample, own["allowed_precision_tiers"], own.get("ufs")).first().asDict() | {"cohort": own["cohort"], "ufs": sorted(own.get("ufs", STATES))}
-        selected = containment.select(inputs.osm, inputs.artifact, inputs.edges)
+        selected = containment.select(inputs.osm, inputs.known, inputs.edges)
         selection = containment.selection_statistics(selected).first().asDict()
         eligible = selected.filter("eligible").select(*inputs.osm.columns)
-        excluded = {r.reason: r.n for r in evaluation.exclusion_counts(evaluation.production_eligible(eligible, inputs.artifact, inputs.municipalities, t)).collect()}  # four rows
+        excluded = {r.reason: r.n for r in evaluation.exclusion_counts(evaluation.production_eligible(eligible, inputs.known, inputs.municipalities, t)).collect()}  # four rows
         retained = excluded.pop("retained")
         if selection["outside"] + sum(excluded.values()) != selection["observations"] - retained:
             raise GateError("the counts of excluded map nodes don't add up")

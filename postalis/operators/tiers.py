@@ -26,7 +26,11 @@ def municipality_reference(localities: DataFrame) -> DataFrame:
     return rows.groupBy("ibge").agg(F.min("clat").alias("latitude"), F.min("clon").alias("longitude"), F.count("*").alias("evidence_count"), F.round(far, 3).alias("radius_km")).withColumn("geo_source", F.lit("ibge-localidades"))
 
 
-def administrative_reference(localities: DataFrame, codes: DataFrame, category: str = "Distrito Estadual de Fernando de Noronha") -> DataFrame:
+# Fixed value: the category of localities that stands for a municipality without a city.
+ADMINISTRATIVE = "Distrito Estadual de Fernando de Noronha"
+
+
+def administrative_reference(localities: DataFrame, codes: DataFrame, category: str = ADMINISTRATIVE) -> DataFrame:
     """Reference of the requested codes (ibge) from the localities of one category, whose mean is the point. That all
     localities of those codes lie in bounds, whatever their category, is required here."""
     require_empty(bounds_problems(localities, codes), "localities out of bounds")
@@ -103,6 +107,11 @@ def locality_digests(localities: DataFrame, source: str = "ibge-localidades") ->
     return evidence_digests(rows, ["ibge"], distinct=False)
 
 
+def administrative_digests(localities: DataFrame, category: str = ADMINISTRATIVE) -> DataFrame:
+    """(ibge, evidence_digest) over the localities that an administrative reference rests on."""
+    return locality_digests(localities.filter(F.col("category") == category), "ibge-localidades-administrative")
+
+
 def require_references(municipalities: DataFrame) -> None:
     if municipalities.isEmpty():
         raise GateError("no municipality has a city point")

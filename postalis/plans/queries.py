@@ -40,7 +40,7 @@ class Views:
         return self.artifact().withColumns({"evidence_digest": digest, "dataset_version": F.lit("v1"), "geo_source": F.split("geo_source", ",")})
 
     def inputs(self) -> report.Inputs:
-        return report.Inputs(self.artifact(), self.osm, self.muni(), self.polygons, self.holdout)
+        return report.Inputs(self.artifact(), self.osm, self.muni(), self.polygons, self.holdout, self.addr)
 
     def outcomes(self, cohort: str) -> DataFrame:
         return report.cohort_outcomes(report.cohort_inputs(self.inputs())[cohort], self.inputs(), cohort)

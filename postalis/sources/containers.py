@@ -1,26 +1,21 @@
-"""Readers for container files (ZIP, GeoPackage, zipped shapefile): Spark lists and ships the files, tasks open them.
-
-Each container is read by one task, since these formats can't be split without their directory; a file may hold 2 GiB
-at most, the limit of a binary value. Rows leave a task in small batches, and what follows is dealt out again.
-"""
+"""GeoPackages and folders of records. A GeoPackage is a database file that one library opens as a whole: a task a file, of
+2 GiB at most; archives and shapefiles are read by range (archives.py, shapefile.py)."""
 
 from __future__ import annotations
 
 import io
 import re
 import sqlite3
-import struct
 import zipfile
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postalis.operators.gates import GateError
 
-MOST_UNPACKED, MOST_RATIO = 600 << 20, 100
+MOST_RATIO = 100
 LOCALITY = ["CD_MUN", "CT_LOCALIDADE", "LAT_LOCALIDADE", "LONG_LOCALIDADE"]
 
 
@@ -41,21 +36,6 @@ def safe_members(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
     return found
 
 
-def zip_entries(spark: SparkSession, path: str, suffix: str = ".json", batch: int = 500) -> DataFrame:
-    """(member, content) of the archives' members with the suffix in either case."""
-
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for content in frame["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    members = [m for m in safe_members(archive) if m.filename.lower().endswith(suffix)]
-                    for i in range(0, len(members), batch):
-                        some = members[i : i + batch]
-                        yield pd.DataFrame({"member": [m.filename for m in some], "content": [archive.read(m) for m in some]})
-
-    return files(spark, path).select("content").mapInPandas(unpack, "member string, content binary").repartition("member")
-
-
 def geopackage_localities(spark: SparkSession, path: str) -> DataFrame:
     """(ibge, category, latitude, longitude) of the first feature layer that has the locality columns, from GeoPackages
     or ZIPs that hold exactly one. Rows without coordinates are left out; a code that isn't seven digits is an error."""
@@ -94,65 +74,6 @@ def localities_of(content: bytes, batch: int = 10_000) -> Iterator[pd.DataFrame]
         db.close()
 
 
-def polygon_edges(spark: SparkSession, path: str) -> DataFrame:
-    """(ibge, ring, x1, y1, x2, y2) in nanodegrees, of municipality polygons in zipped shapefiles."""
-
-    def load(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for content in frame["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    members = {m.filename.rsplit(".", 1)[-1].lower(): m for m in safe_members(archive)}
-                    if not {"shp", "dbf"} <= set(members) or sum(m.file_size for m in members.values()) > MOST_UNPACKED:
-                        raise GateError("the archive must hold a shapefile of bounded size")
-                    codes = dbf_codes(archive.read(members["dbf"]))
-                    yield from shape_edges(archive.read(members["shp"]), codes)
-
-    return files(spark, path).select("content").mapInPandas(load, "ibge string, ring int, x1 long, y1 long, x2 long, y2 long").repartition("ibge")
-
-
-def dbf_codes(data: bytes, field: str = "CD_MUN") -> list[str]:
-    """The field's values in record order; deleted rows, repeated or malformed codes are errors."""
-    count, start, width = struct.unpack_from("<IHH", data, 4)
-    at, place, fields = 32, 1, {}
-    while data[at] != 0x0D:
-        fields[data[at : at + 11].split(b"\0")[0].decode("ascii")] = (place, data[at + 16])
-        place, at = place + data[at + 16], at + 32
-    if field not in fields or len(data) < start + count * width:
-        raise GateError("the table is cut short or lacks the code")
-    offset, length = fields[field]
-    rows = [data[start + i * width : start + (i + 1) * width] for i in range(count)]
-    codes = [r[offset : offset + length].decode("utf-8").strip() for r in rows]
-    if any(r[:1] != b" " for r in rows) or len(set(codes)) < count or not all(re.fullmatch("[0-9]{7}", c) for c in codes):
-        raise GateError("the table has deleted rows, or repeated or malformed codes")
-    return codes
-
-
-def shape_edges(data: bytes, codes: list[str]) -> Iterator[pd.DataFrame]:
-    """One frame of edges a record. Rings must be closed, finite and of four points or more."""
-    magic, words = struct.unpack_from(">i20xi", data, 0)
-    version, kind = struct.unpack_from("<ii", data, 28)
-    if (magic, version, kind) != (9994, 1000, 5) or 2 * words != len(data):
-        raise GateError("not a polygon shapefile, or cut short")
-    at, seen = 100, 0
-    while at < len(data):
-        number, words = struct.unpack_from(">ii", data, at)
-        parts, points = struct.unpack_from("<ii", data, at + 8 + 36)
-        if number != seen + 1 or number > len(codes) or 2 * words != 44 + 4 * parts + 16 * points:
-            raise GateError(f"record {number} doesn't fit the index or its own length")
-        starts = np.frombuffer(data, "<i4", parts, at + 52)
-        xy = np.frombuffer(data, "<f8", 2 * points, at + 52 + 4 * parts).reshape(-1, 2)
-        ends = np.append(starts[1:], points)
-        if not np.isfinite(xy).all() or (ends - starts < 4).any() or (xy[starts] != xy[ends - 1]).any():
-            raise GateError(f"record {number} has an open, short or infinite ring")
-        grid = np.rint(xy * 1e9).astype(np.int64)
-        first = np.setdiff1d(np.arange(points), ends - 1)
-        ring = np.searchsorted(ends, first, "right").astype(np.int32)
-        yield pd.DataFrame({"ibge": codes[seen], "ring": ring, "x1": grid[first, 0], "y1": grid[first, 1], "x2": grid[first + 1, 0], "y2": grid[first + 1, 1]})
-        at, seen = at + 8 + 2 * words, seen + 1
-    if seen != len(codes):
-        raise GateError("the shapes and the table differ in number")
-
-
 def directory_entries(spark: SparkSession, folder: str, suffix: str = ".json") -> DataFrame:
     """(member, content) of a folder's files, named by their path below it."""
     root = re.sub(r"^[a-z]+:/*", "/", folder).rstrip("/") + "/"

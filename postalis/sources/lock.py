@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postalis.operators.gates import GateError, require_empty
+from postalis.sources import store
 
 SHA256 = re.compile("[0-9a-f]{64}")
 # Text fields that every source has, and how a source may be had.
@@ -91,9 +92,8 @@ def selected(sources: tuple[Source, ...], ids: tuple[str, ...] = (), optional: b
 
 
 def digests(spark: SparkSession, folder: str) -> DataFrame:
-    """(filename, bytes, sha256) of a folder's files, of 2 GiB at most each."""
-    found = spark.read.format("binaryFile").load(folder)
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    """(filename, bytes, sha256) of a folder's files, of any size."""
+    return store.digests(spark, folder).select(store.file_name(F.col("path")).alias("filename"), "bytes", "sha256")
 
 
 def lock_problems(spark: SparkSession, folder: str, sources: tuple[Source, ...]) -> DataFrame:

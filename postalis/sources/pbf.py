@@ -11,13 +11,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from postalis.functions import postal_code
 from postalis.operators.gates import GateError
+from postalis.sources.store import opened
 
 # Limits of the format.
 MOST_HEADER, MOST_BLOB, MOST_RAW = 64 << 10, 64 << 20, 32 << 20
@@ -25,11 +25,6 @@ SCHEMA = "id long, latitude double, longitude double, tags map<string,string>"
 ARROW = pa.schema([("id", pa.int64()), ("latitude", pa.float64()), ("longitude", pa.float64()), ("tags", pa.map_(pa.string(), pa.string()))])
 
 
-def opened(path: str):
-    system, place = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
-    return system.open_input_file(place)
-
-
 def varint(data: memoryview, at: int) -> tuple[int, int]:
     value = shift = 0
     while True:

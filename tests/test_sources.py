@@ -4,7 +4,6 @@ import hashlib
 import io
 import json
 import sqlite3
-import struct
 import zipfile
 import zlib
 
@@ -13,8 +12,8 @@ from pyspark.sql import functions as F
 
 from postalis import sinks
 from postalis.functions import float_hex
-from postalis.operators import centroid, containment, gates
-from postalis.sources import containers, pbf, records
+from postalis.operators import centroid, gates, refresh
+from postalis.sources import archives, containers, pbf, records
 
 RECORD = {"cep": "01001-000", "logradouro": "Praça da Sé", "localidade": "São Paulo", "uf": "SP", "ibge": "3550308"}
 
@@ -33,7 +32,7 @@ def test_records_of_zip_and_folder_agree(spark, tmp_path):
     folder.mkdir(parents=True)
     (folder / "01001000.json").write_text(one, "utf-8")
     (folder / "20010000.json").write_text(two, "utf-8")
-    a = {r.member.lower(): (r.sha256, r.cep) for r in records.load_records(containers.zip_entries(spark, path)).collect()}
+    a = {r.member.lower(): (r.sha256, r.cep) for r in records.load_records(archives.zip_entries(spark, path)).collect()}
     b = {r.member.lower(): (r.sha256, r.cep) for r in records.load_records(containers.directory_entries(spark, str(tmp_path / "d"))).collect()}
     assert a == b and a["v1/01001000.json"] == (hashlib.sha256(one.encode()).hexdigest(), "01001-000") and len(a) == 2
 
@@ -43,7 +42,7 @@ def test_corrections(spark, tmp_path):
     path = zipped(tmp_path / "a.zip", v1__69310188_dot_json=text)
     fix = {"member": "v1/69310188.json", "source_sha256": hashlib.sha256(text.encode()).hexdigest(), "field": "cep", "from": "70864-040", "to": "69310-188", "reason": "name"}
     (tmp_path / "c.json").write_text(json.dumps({"format": "x", "corrections": [fix]}))
-    entries = containers.zip_entries(spark, path)
+    entries = archives.zip_entries(spark, path)
     with pytest.raises(gates.GateError):
         records.load_records(entries)
     assert records.load_records(entries, records.load_corrections(spark, str(tmp_path / "c.json"))).first().cep == "69310-188"
@@ -55,7 +54,7 @@ def test_corrections(spark, tmp_path):
 def test_unsafe_archives_and_bad_json_fail(spark, tmp_path):
     for i, members in enumerate([{"..__x_dot_json": "{}"}, {"x_dot_json": "[1]"}, {"x_dot_json": "{"}]):
         with pytest.raises(Exception, match="unsafe|not a JSON object|MALFORMED|alformed"):
-            records.records(containers.zip_entries(spark, zipped(tmp_path / f"{i}.zip", **members))).collect()
+            records.records(archives.zip_entries(spark, zipped(tmp_path / f"{i}.zip", **members))).collect()
 
 
 def test_observations(spark, tmp_path):
@@ -87,25 +86,6 @@ def test_geopackage(spark, tmp_path):
     assert containers.geopackage_localities(spark, packed).count() == 2
 
 
-def shapefile(path, code, rings):
-    points = [p for ring in rings for p in ring]
-    starts = [sum(map(len, rings[:i])) for i in range(len(rings))]
-    body = struct.pack("<i4dii", 5, -47, -24, -46, -23, len(rings), len(points)) + struct.pack(f"<{len(rings)}i", *starts) + b"".join(struct.pack("<dd", *p) for p in points)
-    shp = struct.pack(">i20xi", 9994, (108 + len(body)) // 2) + struct.pack("<ii8d", 1000, 5, *[0.0] * 8) + struct.pack(">ii", 1, len(body) // 2) + body
-    dbf = struct.pack("<4BIHH20x", 3, 24, 1, 1, 1, 65, 8) + b"CD_MUN".ljust(11, b"\0") + b"C" + bytes(4) + bytes([7]) + bytes(15) + b"\r" + b" " + code.encode() + b"\x1a"
-    return zipped(path, m_dot_shp=shp, m_dot_dbf=dbf)
-
-
-def test_shapefile_feeds_containment(spark, tmp_path):
-    rings = [[(-47, -24), (-46, -24), (-46, -23), (-47, -23), (-47, -24)], [(-46.6, -23.6), (-46.4, -23.6), (-46.4, -23.4), (-46.6, -23.4), (-46.6, -23.6)]]
-    edges = containers.polygon_edges(spark, shapefile(tmp_path / "m.zip", "3550308", rings))
-    assert edges.count() == 8 and {r.ring for r in edges.collect()} == {0, 1}
-    points = spark.createDataFrame([("in", "3550308", -23.2, -46.5), ("hole", "3550308", -23.5, -46.5)], "evidence_id string, ibge string, latitude double, longitude double")
-    assert dict(containment.classify(points, edges).collect()) == {"in": "interior", "hole": "outside"}
-    with pytest.raises(Exception, match="open, short"):
-        containers.polygon_edges(spark, shapefile(tmp_path / "o.zip", "3550308", [rings[0][:-1] + [(-47, -23.5)]])).collect()
-
-
 def number(value):
     out = b""
     while value > 127:
@@ -155,12 +135,12 @@ def test_float_hex_and_digests(spark):
 
 def test_exports_round_trip(spark, tmp_path):
     schema = ", ".join(f"{c} string" for c in sinks.FLAT[:11]) + ", latitude double, longitude double, precision string, method string, evidence_count long, evidence_radius_km double, geo_source array<string>, evidence_digest string, dataset_version string"
-    one = ("01001001", "01001", "Praça", None, None, None, "São Paulo", "SP", None, None, "3550308", -23.55, 0.0001, "observed_cep", "m", 1, 0.0, ["a", "b"], "sha256:" + "0" * 64, "1")
+    one = ("01001001", "01001", "Praça", None, None, None, "São Paulo", "SP", None, None, "3550308", -23.55, -46.63, "observed_cep", "m", 1, 0.0001, ["a", "b"], "sha256:" + "0" * 64, "1")
     none = ("01001000", "01001", None, None, None, None, "X", "SP", None, None, "3550308", *[None] * 8, "1")
     flat = spark.createDataFrame([one, none], schema)
     sinks.write_jsonl(flat, str(tmp_path / "j"))
     lines = [line for p in sorted((tmp_path / "j").glob("part-*")) for line in p.read_text("utf-8").splitlines()]
-    assert [json.loads(x)["cep"] for x in lines] == ["01001000", "01001001"] and '"coordinates":[0.0001,-23.55]' in lines[1] and "Praça" in lines[1]
+    assert [json.loads(x)["cep"] for x in lines] == ["01001000", "01001001"] and '"coordinates":[-46.63,-23.55]' in lines[1] and '"evidence_radius_km":0.0001' in lines[1] and "Praça" in lines[1]
     assert {tuple(r) for r in map(str, sinks.read_jsonl(spark, str(tmp_path / "j")).collect())} == {tuple(r) for r in map(str, flat.collect())}
     sinks.write_csv(flat, str(tmp_path / "c"))
     rows = [line for p in sorted((tmp_path / "c").glob("part-*")) for line in p.read_text("utf-8").splitlines()]
@@ -168,3 +148,45 @@ def test_exports_round_trip(spark, tmp_path):
     assert sinks.part_digests(spark, str(tmp_path / "j")).count() >= 1
     bad = spark.createDataFrame([(lines[1].replace(":", ": ", 1),), ("{}",), ("{",), (lines[0],)], "value string")
     assert sorted(r.problem for r in sinks.line_problems(bad).collect()) == ["no JSON", "not canonical", "other keys"]
+
+
+def test_exports_that_break_a_rule_fail(spark, tmp_path):
+    geo = {"type": "Point", "coordinates": [-46.63, -23.55], "precision": "observed_cep", "method": "m", "evidence_count": 1, "evidence_radius_km": 0.0, "source": ["a"], "evidence_digest": "sha256:" + "0" * 64}
+    row = dict.fromkeys(sinks.TEXT) | {"cep": "01001000", "prefix": "01001", "city": "X", "uf": "SP", "ibge": "3550308", "dataset_version": "1", "geo": geo}
+    line = lambda **more: sinks.canonical(row | more) + "\n"
+    two = line(cep="01001001")
+    path = tmp_path / "x.jsonl"
+
+    def read(text, **more):
+        path.write_text(text, "utf-8")
+        return sinks.read_jsonl(spark, str(path), **more)
+
+    fine = line() + two
+    size, digest = len(fine.encode()), hashlib.sha256(fine.encode()).hexdigest()
+    assert read(fine, version="1", expected={"x.jsonl": (size, digest)}).count() == 2
+    cases = {
+        "out of order": two + line(), "twice": line() + line(), "line feed": (line() + two)[:-1], "keys or kinds": line(geo=geo | {"colour": "red"}) + two, "canonical": line().replace(":", ": ", 1) + two,
+        "against the contract": line(geo=geo | {"coordinates": [200.0, 95.0]}), "kind of": line(ibge=3550308), "point of two": line(geo=geo | {"coordinates": [1.0, 2.0, 3.0]}), "has lines": "", "longer than": line(street="x" * 70_000),
+    }
+    for match, text in cases.items():
+        with pytest.raises(Exception, match={"has lines": "no file|has lines", "longer than": "longer than|too long"}.get(match, match)):
+            read(text)
+    with pytest.raises(gates.GateError, match="expected"):
+        read(fine, expected={"x.jsonl": (size, "0" * 64)})
+    with pytest.raises(gates.GateError, match="version"):
+        read(fine, version="2")
+
+
+def test_diff_files(spark, tmp_path):
+    row = {"candidate_included": True, "cep": "01001000", "changed_fields": [], "classification": "unchanged", "current_ibge": "3550308", "geography_action": "preserved", "previous_cep": None, "previous_ibge": None, "valid_until": None}
+    path = tmp_path / "d.jsonl"
+
+    def read(*rows):
+        path.write_text("".join(json.dumps(r) + "\n" for r in rows))
+        return refresh.read_diff(spark, str(path)).collect()
+
+    assert [r.cep for r in read(row, row | {"cep": "01001001", "changed_fields": ["street"], "classification": "address_changed"})] == ["01001000", "01001001"]
+    cases = {"keys or kinds": [row | {"colour": "red"}], "kind of": [row | {"cep": 1001000}], "keys of": [{k: v for k, v in row.items() if k != "valid_until"}], "unfit": [row | {"geography_action": "unresolved"}], "out of order": [row | {"cep": "01001001"}, row]}
+    for match, rows in cases.items():
+        with pytest.raises(gates.GateError, match=match):
+            read(*rows)
