@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from postalis.functions import EARTH_KM, STATES
-from postalis.operators.refresh import ALLOWED
+from postalis.operators.refresh import ACTIONS, ALLOWED, CANDIDATE_PRECISIONS
 from postalis.plans import testdata as T
 
 
@@ -121,6 +121,26 @@ CHECKS = [
     ("official_pilot.maximum_prediction_failure_fraction", "(SELECT count(*) FILTER (outcome = 'prediction_failure') = 0 FROM official)"),
     ("official_pilot.expected_ufs", "(SELECT list_sort(list_distinct(list(uf))) = ['RO'] FROM official WHERE outcome = 'evaluated')"), ("official_pilot.maximum_p95_km", p95("official", "true") + " <= 700"),
 ]
+#: The artifact from map nodes in their polygon only: BASE with another osm.
+BUILT = BASE.replace(f"osm AS ({T.plain(T.OSM)})", f"osm_all AS ({T.plain(T.OSM)}){PLACED.replace('FROM osm ', 'FROM osm_all ').replace(T.plain(T.POLYGONS), T.plain(T.EVERY_POLYGON))}, osm AS (SELECT o.* FROM osm_all o JOIN sel USING (evidence_id) WHERE position <> 'outside')")
+CANDIDATE = f""", cand AS (SELECT *, coalesce(precision IN ('municipality', 'osm_postcode'), false) AS loc FROM art), sd AS ({T.plain(T.SOUND_DIFF)}), fate AS ({T.plain(T.FATES)}),
+    adm AS (SELECT ibge, avg(latitude) AS latitude, avg(longitude) AS longitude, count(*) AS evidence_count FROM ({T.plain(T.EVERY_LOCALITY)}) e WHERE category = 'Distrito Estadual de Fernando de Noronha' GROUP BY ibge)"""
+FILLED = ", ".join(f"round(CASE WHEN c.loc THEN c.{n} WHEN m.ibge IS NOT NULL THEN m.{n} ELSE d.{n} END, 9) AS {n}" for n in ("latitude", "longitude"))
+
+
+def difference(identity: str, parts: list[str], total: str) -> str:
+    return f"SELECT '{identity}' AS identity, cast({len(parts) + 1} AS bigint) AS terms, cast({' + '.join(parts)} - {total} AS bigint) AS difference"
+
+
+def rounded(value: str, scale: int) -> str:
+    """Exact half-even rounding of a double, by its product with the scale and the product's error."""
+    v, f = f"abs({value})", "134217729e0"
+    high = f"({v} * {f} - ({v} * {f} - {v}))"
+    product = f"({v} * {scale}e0)"
+    side = f"(({product} - floor({product})) - 0.5e0 + (({high} * {scale}e0 - {product}) + ({v} - {high}) * {scale}e0))"
+    return f"(CASE WHEN {value} < 0 THEN -1e0 ELSE 1e0 END * (CASE WHEN {side} > 0 THEN floor({product}) + 1 WHEN {side} < 0 THEN floor({product}) ELSE floor({product}) + floor({product}) % 2 END / {scale}e0))"
+
+
 PAIRS = ", ".join(f"('{c}', '{a}')" for c, actions in ALLOWED.items() for a in actions)
 PCT = "round(quantile_disc(error_km, 0.5), 3) AS p50_km, round(quantile_disc(error_km, 0.9), 3) AS p90_km, round(quantile_disc(error_km, 0.95), 3) AS p95_km"
 DIGITS = "regexp_replace(raw_code, '[^0-9]', '', 'g')"
@@ -209,7 +229,21 @@ SQL = {
     "candidate_counts": BASE + " SELECT count(*) AS candidate_rows, count(latitude) AS located_rows, count(*) - count(latitude) AS unresolved_rows, count(*) FILTER (precision = 'municipality') AS municipality, count(*) FILTER (precision = 'osm_postcode') AS osm_postcode, count(*) FILTER (precision NOT IN ('municipality', 'osm_postcode')) AS other_precisions FROM art",
     "diff_problems": f"""WITH x AS (SELECT cep, list_filter([CASE WHEN c_custkey % 47 = 0 THEN 'changed_fields' END, CASE WHEN c_custkey % 59 = 0 THEN 'current_ibge' END, CASE WHEN NOT candidate_included THEN 'included' END,
         CASE WHEN (classification, geography_action) NOT IN ({PAIRS}) THEN 'pair' END, CASE WHEN c_custkey % 61 = 0 THEN 'previous_cep' END], lambda f: f IS NOT NULL) AS failed FROM ({T.plain(T.DIFF)})) SELECT cep, array_to_string(failed, ',') AS failed FROM x WHERE len(failed) > 0""",
-    "build_rows": BASE + f""" SELECT cep, prefix, street, cast(NULL AS varchar) AS complement, cast(NULL AS varchar) AS unit, neighborhood, city, uf, cast(NULL AS varchar) AS state, cast(NULL AS varchar) AS region, ibge, precision,
+    "candidate_rows": BASE + CANDIDATE + f""" SELECT c.cep, c.street, c.city, c.uf, c.ibge, CASE WHEN c.loc THEN c.precision ELSE 'municipality' END AS precision, {FILLED},
+        CASE WHEN c.loc THEN 'earlier' WHEN m.ibge IS NOT NULL THEN 'ibge_municipality_reference' ELSE 'ibge_administrative_locality_aggregate' END AS method, CASE WHEN c.loc THEN c.evidence_count WHEN m.ibge IS NOT NULL THEN m.evidence_count ELSE d.evidence_count END AS evidence_count,
+        CASE WHEN c.loc THEN c.radius_km WHEN m.ibge IS NOT NULL THEN m.radius_km ELSE 0e0 END AS evidence_radius_km, CASE WHEN c.loc THEN c.geo_source WHEN m.ibge IS NOT NULL THEN 'ibge-localidades' ELSE 'ibge-localidades-administrative' END AS geo_source,
+        71 AS digest_length, 'v2' AS dataset_version, CASE WHEN c.loc THEN 'geo_inherited' WHEN m.ibge IS NOT NULL THEN 'geo_filled_municipality' ELSE 'geo_filled_administrative' END AS origin
+        FROM cand c LEFT JOIN muni m ON m.ibge = c.ibge LEFT JOIN adm d ON d.ibge = c.ibge""",
+    "count_identities": BASE + f", diff_ AS ({T.plain(T.DIFF)}) " + " UNION ALL ".join([
+        difference("rows by classification", [f"(SELECT count(*) FROM diff_ WHERE classification = '{c}')" for c in ALLOWED], "(SELECT count(*) FROM art)"), difference("rows by action", [f"(SELECT count(*) FROM diff_ WHERE geography_action = '{a}')" for a in ACTIONS], "(SELECT count(*) FROM art)"),
+        difference("rows located or not", ["(SELECT count(latitude) FROM art)", "(SELECT count(*) - count(latitude) FROM art)"], "(SELECT count(*) FROM art)"),
+        difference("located rows by precision", [f"(SELECT count(*) FROM art WHERE precision = '{p}')" for p in CANDIDATE_PRECISIONS], "(SELECT count(latitude) FROM art)"),
+    ]),
+    "inherited_problems": BASE + CANDIDATE + """ SELECT * FROM (SELECT cep, CASE WHEN NOT added AND NOT smuggled AND lost THEN 'missing' WHEN (added OR smuggled) AND NOT lost AND classification <> 'added' THEN 'not added'
+        WHEN NOT added AND NOT smuggled AND NOT lost AND (readdressed OR (moved AND loc)) THEN CASE WHEN classification IN ('unchanged', 'missing_from_source', 'source_link_conflict') THEN 'changed' WHEN geography_action = 'preserved' AND moved AND loc THEN 'moved' END END AS problem
+        FROM cand JOIN fate USING (cep) JOIN sd USING (cep)) WHERE problem IS NOT NULL""",
+    "exact_rounding": f"SELECT o_orderkey, {rounded('small', 1000)} AS small, {rounded('(-small)', 1000)} AS negative, {rounded('wide', 100)} AS wide FROM ({T.plain(T.HALVES)}) h",
+    "build_rows": BUILT + f""" SELECT cep, prefix, street, cast(NULL AS varchar) AS complement, cast(NULL AS varchar) AS unit, neighborhood, city, uf, cast(NULL AS varchar) AS state, cast(NULL AS varchar) AS region, ibge, precision,
         CASE precision WHEN 'observed_cep' THEN 'robust_median_first_party' WHEN 'osm_postcode' THEN 'robust_median_osm_postcode' WHEN 'observed_cep_prefix' THEN 'bounded_same_ibge_prefix_median' WHEN 'municipality' THEN 'ibge_city_reference_with_locality_dispersion' END AS method,
         evidence_count, radius_km AS evidence_radius_km, 'v1' AS dataset_version, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude, geo_source, CASE WHEN latitude IS NULL THEN 0 ELSE 71 END AS digest_length FROM art""",
     "build_statistics": BASE + f""" SELECT count(*) AS input_records, count(DISTINCT a.cep) AS unique_ceps, count(m.ibge) AS ibge_joined, round(coalesce(count(m.ibge) / nullif(count(*), 0), 0), 8) AS ibge_join_rate, count(a.latitude) AS located, count(*) - count(a.latitude) AS unresolved,

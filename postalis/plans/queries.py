@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from postalis import functions as fn
 from postalis.config import QualityPolicy
-from postalis.operators import build, centroid, containment, contract, evaluation, lookup, refresh, report, tiers
+from postalis.operators import build, candidate, centroid, chain, containment, contract, evaluation, identities, lookup, refresh, report, tiers
 from postalis.plans import testdata as T
+from postalis.sinks import FLAT
 from postalis.sources import records
 
 QUERIES = {}
@@ -25,7 +26,7 @@ class Views:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        own = {"addr": T.ADDR, "fp": T.FIRST_PARTY, "osm": T.OSM, "holdout": T.HOLDOUT, "localities": T.LOCALITIES, "polygons": T.POLYGONS, "diff": T.DIFF, "raw": T.RAW, "records": T.RECORDS}
+        own = {"addr": T.ADDR, "fp": T.FIRST_PARTY, "osm": T.OSM, "holdout": T.HOLDOUT, "localities": T.LOCALITIES, "polygons": T.POLYGONS, "diff": T.DIFF, "raw": T.RAW, "records": T.RECORDS, "every_polygon": T.EVERY_POLYGON, "every_locality": T.EVERY_LOCALITY, "sound_diff": T.SOUND_DIFF, "fates": T.FATES, "halves": T.HALVES}
         return T.view(self.spark, self.sf_dir, own[name])
 
     def muni(self) -> DataFrame:
@@ -39,6 +40,23 @@ class Views:
         digest = F.when(F.col("latitude").isNotNull(), F.when(F.substring("cep", 8, 1) == "9", "sha256:zz").otherwise(F.concat(F.lit("sha256:"), F.sha2("cep", 256))))
         return self.artifact().withColumns({"evidence_digest": digest, "dataset_version": F.lit("v1"), "geo_source": F.split("geo_source", ",")})
 
+    def candidate(self) -> DataFrame:
+        """Flat rows of a candidate: only points of the precisions that one may carry."""
+        located = F.col("precision").isin(*refresh.CANDIDATE_PRECISIONS)
+        kept = {c: F.when(located, F.col(c)) for c in ("latitude", "longitude", "evidence_count", "precision")}
+        rows = self.artifact().withColumns({"evidence_radius_km": F.when(located, F.col("radius_km")), "geo_source": F.when(located, F.split("geo_source", ",")), **kept})
+        none = F.lit(None).cast("string")
+        rows = rows.withColumns({"method": F.when(located, F.lit("earlier")), "evidence_digest": F.when(located, F.concat(F.lit("sha256:"), F.sha2("cep", 256))), "dataset_version": F.lit("v2"), **dict.fromkeys(("complement", "unit", "state", "region"), none)})
+        return rows.select(*FLAT)
+
+    def inheritance(self) -> tuple[DataFrame, DataFrame]:
+        """A base and a candidate of the same rows, in which some are added, smuggled in, lost, given another street or moved."""
+        rows = self.candidate().join(self.fates, "cep")
+        marks = ["added", "smuggled", "lost", "readdressed", "moved"]
+        base = rows.filter("not added and not smuggled").withColumn("dataset_version", F.lit("v1"))
+        new = rows.filter("not lost").withColumn("street", F.when(F.col("readdressed"), "another").otherwise(F.col("street"))).withColumn("latitude", F.when(F.col("moved"), F.col("latitude") + 1).otherwise(F.col("latitude")))
+        return base.drop(*marks), new.drop(*marks)
+
     def inputs(self) -> report.Inputs:
         return report.Inputs(self.artifact(), self.osm, self.muni(), self.polygons, self.holdout, self.addr)
 
@@ -253,7 +271,7 @@ POLICY = QualityPolicy({
 def report_checks(v):
     """Every check of the policy, from the whole report."""
     inputs = v.inputs()
-    found = report.quality_report(report.Inputs(v.stored(), inputs.osm, inputs.municipalities, inputs.edges, inputs.official), POLICY, "v1")
+    found = report.quality_report(report.Inputs(v.stored(), inputs.osm, inputs.municipalities, inputs.edges, inputs.official, v.addr), POLICY, "v1")
     return report.check_table(found, inputs.osm).select("name", "passed")
 
 
@@ -348,13 +366,37 @@ def row_contract_violations(v):
 @query
 def build_rows(v):
     """From text records to the artifact's rows, under all gates; digests, which SQL lacks, by their form."""
-    rows = build.build_rows(v.records, v.fp, v.osm, v.localities, "v1")
+    rows = build.build_rows(v.records, v.fp, v.osm, v.localities, "v1", edges=v.every_polygon)
     places = [F.round(c, 9).alias(c) for c in ("latitude", "longitude")]
     formed = F.coalesce(F.length("evidence_digest"), F.lit(0)).alias("digest_length")
     names = ["cep", "prefix", "street", "complement", "unit", "neighborhood", "city", "uf", "state", "region", "ibge", "precision", "method", "evidence_count", "evidence_radius_km", "dataset_version"]
     return rows.select(*names, *places, F.array_join("geo_source", ",").alias("geo_source"), formed)
 
 
+@query
+def candidate_rows(v):
+    """A candidate with its diff, under all gates, and its gaps filled."""
+    rows = candidate.candidate_rows(v.candidate(), v.sound_diff.withColumn("changed_fields", F.array().cast("array<string>")), v.every_locality)
+    places = [F.round(c, 9).alias(c) for c in ("latitude", "longitude")]
+    return rows.select("cep", "street", "city", "uf", "ibge", "precision", "method", "evidence_count", "evidence_radius_km", *places, F.array_join("geo_source", ",").alias("geo_source"), F.length("evidence_digest").alias("digest_length"), "dataset_version", F.col("_origin").alias("origin"))
+
+
+@query
+def count_identities(v):
+    """Which sums of a refresh's counts hold, from all located rows and the unsound diff."""
+    return identities.differences(identities.measured(v.artifact(), v.diff))
+
+
+@query
+def inherited_problems(v):
+    return chain.inherited_problems(*v.inheritance(), v.sound_diff)
+
+
+@query
+def exact_rounding(v):
+    return v.halves.select("o_orderkey", fn.round_exact(F.col("small"), 3).alias("small"), fn.round_exact(-F.col("small"), 3).alias("negative"), fn.round_exact(F.col("wide"), 2).alias("wide"))
+
+
 @query
 def build_statistics(v):
     return build.build_statistics(v.artifact(), v.muni())

@@ -39,6 +39,20 @@ POLYGONS = " UNION ALL ".join(
     f"SELECT ibge, cast((-70 + m) * 1000000000 + ({x1}) as bigint) AS x1, cast((-30 + m) * 1000000000 + ({y1}) as bigint) AS y1, cast((-70 + m) * 1000000000 + ({x2}) as bigint) AS x2, cast((-30 + m) * 1000000000 + ({y2}) as bigint) AS y2 FROM ({PLACES}) p WHERE m % 7 <> 6"
     for x1, y1, x2, y2 in EDGES
 )
+#: The same polygons for every municipality, as a build needs.
+EVERY_POLYGON = POLYGONS.replace(" WHERE m % 7 <> 6", "")
+#: Localities with the ones that stand for municipalities without a city.
+EVERY_LOCALITY = LOCALITIES + f" UNION ALL SELECT ibge, 'Distrito Estadual de Fernando de Noronha' AS category, -30 + m + 0.05e0 AS latitude, cast(-70 + m as double) AS longitude FROM ({PLACES}) p WHERE m % 9 = 8"
+#: A diff that keeps all rules: each row's action is the first that its classification allows.
+SOUND_DIFF = f"""SELECT cep, CASE c WHEN 0 THEN 'added' WHEN 1 THEN 'address_changed' WHEN 2 THEN 'ibge_changed' WHEN 3 THEN 'missing_from_source' WHEN 4 THEN 'source_link_conflict' ELSE 'unchanged' END AS classification,
+    CASE c WHEN 0 THEN 'assigned_municipality' WHEN 1 THEN 'preserved' WHEN 2 THEN 'reassigned_municipality' WHEN 3 THEN 'retained_missing' WHEN 4 THEN 'retained_source_link_conflict' ELSE 'preserved' END AS geography_action,
+    true AS candidate_included, cast(NULL as string) AS current_ibge, cast(NULL as string) AS previous_ibge, cast(NULL as string) AS previous_cep, cast(NULL as string) AS valid_until
+    FROM (SELECT {CEP.format("c_custkey")} AS cep, c_custkey % 6 AS c FROM {{customer}}) d"""
+#: What becomes of a base row in the candidate that inherits from it, by its code's number.
+FATES = f"""SELECT {CEP.format("c_custkey")} AS cep, c_custkey % 6 = 0 AND c_custkey % 12 <> 0 AS added, c_custkey % 90 = 5 AS smuggled, c_custkey % 113 = 0 AS lost, c_custkey % 6 = 1 OR c_custkey % 101 = 0 AS readdressed, c_custkey % 97 = 0 AS moved
+    FROM {{customer}}"""
+#: Doubles of which many are no decimal tie though their shortest notation is one.
+HALVES = "SELECT o_orderkey, (o_orderkey % 40000) / 1e4 + 5e-4 AS small, (o_orderkey * 37 % 1000003) / 8e0 - 5e4 AS wide FROM {orders}"
 #: All classifications and actions; every seventh customer's action is the next row's, so some pairs aren't allowed.
 DIFF = f"""SELECT cep, c_custkey, CASE c WHEN 0 THEN 'added' WHEN 1 THEN 'address_changed' WHEN 2 THEN 'ibge_changed' WHEN 3 THEN 'missing_from_source' WHEN 4 THEN 'source_link_conflict' ELSE 'unchanged' END AS classification,
     CASE a WHEN 0 THEN CASE WHEN c_custkey % 4 = 0 THEN 'unresolved' ELSE 'assigned_municipality' END WHEN 1 THEN CASE WHEN c_custkey % 4 = 1 THEN 'preserved' ELSE 'invalidated_exact_to_municipality' END
