@@ -3,7 +3,7 @@ check of a policy. Spark sums up; what reaches the driver is one row a cohort, s
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from postalis.config import BUILD, COHORTS, TIERS, QualityPolicy, Thresholds
 from postalis.functions import STATES
 from postalis.operators import containment, evaluation
 from postalis.operators.gates import GateError
+from postalis.operators.settled import settle
 from postalis.sinks import canonical
 
 # Fixed value: the report's format.
@@ -37,11 +38,15 @@ class Inputs:
         return (self.artifact if self.addresses is None else self.addresses).select("cep", "ibge", "uf", "street", "neighborhood")
 
 
-def cohort_inputs(inputs: Inputs, t: Thresholds = Thresholds()) -> dict[str, DataFrame]:
+def cohort_inputs(inputs: Inputs, t: Thresholds = Thresholds(), cohort: str | None = None) -> dict[str, DataFrame]:
     """cohort -> map nodes. Leave-observation-out takes what production retains of the nodes in their polygon; unseen codes
-    take all of the nodes in their polygon, since training applies production's rules itself."""
-    eligible = containment.select(inputs.osm, inputs.known, inputs.edges).filter("eligible").select(*inputs.osm.columns)
-    retained = evaluation.production_eligible(eligible, inputs.known, inputs.municipalities, t).filter("exclusion_reason is null").drop("exclusion_reason")
+    take all of the nodes in their polygon, since training applies production's rules itself. Both are read for training
+    and for what is held out, so the nodes in their polygon are computed once, and what production retains of them too
+    where it is asked for."""
+    eligible = settle(containment.select(inputs.osm, inputs.known, inputs.edges).filter("eligible").select(*inputs.osm.columns))
+    if cohort == "unseen_cep":
+        return {cohort: eligible}
+    retained = settle(evaluation.production_eligible(eligible, inputs.known, inputs.municipalities, t).filter("exclusion_reason is null").drop("exclusion_reason"))
     return {"leave_observation_out": retained, "unseen_cep": eligible}
 
 
@@ -135,31 +140,29 @@ def check_names(policy: QualityPolicy) -> list[str]:
 
 
 def quality_report(inputs: Inputs, policy: QualityPolicy, version: str, t: Thresholds = Thresholds()) -> dict:
-    """The report as a document. The outcomes are read by several sums, so they are cached."""
-    rows = all_outcomes(inputs, policy, t).cache()
-    try:
-        cohorts = {r.cohort: {k: v for k, v in r.asDict().items() if k != "cohort"} for r in evaluation.cohort(rows.groupBy("cohort")).collect()}  # five rows
-        empty = evaluation.cohort(rows.limit(0)).first().asDict()
-        cohorts = {n: cohorts.get(n, empty) for n in (*COHORTS, *(f"raw_{n}" for n in COHORTS), "official_pilot")}
-        good = rows.filter(F.col("outcome") == evaluation.EVALUATED)
-        none = {"n": 0, "p50_km": None, "p90_km": None, "p95_km": None}
-        metrics: dict[str, dict[str, dict]] = {n: {f"precision:{t}": none for t in TIERS} for n in cohorts}
-        for r in evaluation.grouped_metrics(good, "cohort").collect():  # a row a cohort and group of states and tiers
-            metrics[r.cohort][r.metric] = {k: r[k] for k in none}
-        purposes = {}
-        for name, own in sorted(policy.at("validation", "purposes").items()):
-            sample = good.filter(F.col("cohort") == own["cohort"])
-            purposes[name] = evaluation.purpose_metrics(sample, own["allowed_precision_tiers"], own.get("ufs")).first().asDict() | {"cohort": own["cohort"], "ufs": sorted(own.get("ufs", STATES))}
-        selected = containment.select(inputs.osm, inputs.known, inputs.edges)
-        selection = containment.selection_statistics(selected).first().asDict()
-        eligible = selected.filter("eligible").select(*inputs.osm.columns)
-        excluded = {r.reason: r.n for r in evaluation.exclusion_counts(evaluation.production_eligible(eligible, inputs.known, inputs.municipalities, t)).collect()}  # four rows
-        retained = excluded.pop("retained")
-        if selection["outside"] + sum(excluded.values()) != selection["observations"] - retained:
-            raise GateError("the counts of excluded map nodes don't add up")
-        statistics = evaluation.artifact_statistics(inputs.artifact).first().asDict()
-    finally:
-        rows.unpersist()
+    """The report as a document. References and outcomes are read by several sums, so they are computed once."""
+    inputs = replace(inputs, municipalities=settle(inputs.municipalities))
+    rows = settle(all_outcomes(inputs, policy, t))
+    cohorts = {r.cohort: {k: v for k, v in r.asDict().items() if k != "cohort"} for r in evaluation.cohort(rows.groupBy("cohort")).collect()}  # five rows
+    empty = evaluation.cohort(rows.limit(0)).first().asDict()
+    cohorts = {n: cohorts.get(n, empty) for n in (*COHORTS, *(f"raw_{n}" for n in COHORTS), "official_pilot")}
+    good = rows.filter(F.col("outcome") == evaluation.EVALUATED)
+    none = {"n": 0, "p50_km": None, "p90_km": None, "p95_km": None}
+    metrics: dict[str, dict[str, dict]] = {n: {f"precision:{t}": none for t in TIERS} for n in cohorts}
+    for r in evaluation.grouped_metrics(good, "cohort").collect():  # a row a cohort and group of states and tiers
+        metrics[r.cohort][r.metric] = {k: r[k] for k in none}
+    purposes = {}
+    for name, own in sorted(policy.at("validation", "purposes").items()):
+        sample = good.filter(F.col("cohort") == own["cohort"])
+        purposes[name] = evaluation.purpose_metrics(sample, own["allowed_precision_tiers"], own.get("ufs")).first().asDict() | {"cohort": own["cohort"], "ufs": sorted(own.get("ufs", STATES))}
+    selected = containment.select(inputs.osm, inputs.known, inputs.edges)
+    selection = containment.selection_statistics(selected).first().asDict()
+    eligible = selected.filter("eligible").select(*inputs.osm.columns)
+    excluded = {r.reason: r.n for r in evaluation.exclusion_counts(evaluation.production_eligible(eligible, inputs.known, inputs.municipalities, t)).collect()}  # four rows
+    retained = excluded.pop("retained")
+    if selection["outside"] + sum(excluded.values()) != selection["observations"] - retained:
+        raise GateError("the counts of excluded map nodes don't add up")
+    statistics = evaluation.artifact_statistics(inputs.artifact).first().asDict()
     found = checks(statistics, selection, cohorts, metrics, purposes, policy)
     failures = [c["name"] for c in found if not c["passed"]]
     return {

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postalis import functions as fn
 from postalis.config import QualityPolicy
 from postalis.operators import build, candidate, centroid, chain, containment, contract, evaluation, identities, lookup, refresh, report, tiers
+from postalis.operators.settled import settle
 from postalis.plans import testdata as T
 from postalis.sinks import FLAT
 from postalis.sources import records
@@ -58,10 +59,11 @@ class Views:
         return base.drop(*marks), new.drop(*marks)
 
     def inputs(self) -> report.Inputs:
-        return report.Inputs(self.artifact(), self.osm, self.muni(), self.polygons, self.holdout, self.addr)
+        return report.Inputs(self.artifact(), self.osm, settle(self.muni()), self.polygons, self.holdout, self.addr)
 
     def outcomes(self, cohort: str) -> DataFrame:
-        return report.cohort_outcomes(report.cohort_inputs(self.inputs())[cohort], self.inputs(), cohort)
+        inputs = self.inputs()
+        return report.cohort_outcomes(report.cohort_inputs(inputs, cohort=cohort)[cohort], inputs, cohort)
 
 
 def query(f):
