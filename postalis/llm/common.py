@@ -203,7 +203,7 @@ def hashed_words(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def packed(*parts: np.ndarray) -> bytes:
     """Arrays with their bytes by place, compressed."""
-    return zstandard.compress(b"".join(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes() for x in parts), 3)
+    return zstandard.compress(b"".join(np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T).tobytes() for x in parts), 3)
 
 
 def unpacked(data: bytes, *shape: tuple[int, str]) -> list[np.ndarray]:
