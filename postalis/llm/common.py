@@ -90,9 +90,9 @@ def screen(df: DataFrame, column: str, ids: DataFrame, hit: bool = True) -> Data
     return rows.filter(found if hit else ~found).select(*df.columns)
 
 
-#: Rows of an Arrow batch, unless the session has its own setting: thousands of whole texts at once, in the executor and
+#: Rows of an Arrow batch, unless the session has a setting other than Spark's default, which stays: thousands of whole texts at once, in the executor and
 #: twice or more in its Python worker, would take much of an executor's memory.
-BATCH_ROWS, BATCH_SETTING = "1000", "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS, BATCH_SETTING, BATCH_DEFAULT = "1000", "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
 def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict]]], schema: str, end: bool = False) -> DataFrame:
@@ -111,7 +111,7 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Itera
         pa.default_memory_pool().release_unused()  # a worker lives on after its task
 
     spark = df.sparkSession
-    if not spark.sparkContext.getConf().contains(BATCH_SETTING):
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT and not spark.sparkContext.getConf().contains(BATCH_SETTING):
         spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     return df.mapInArrow(run, schema)
 

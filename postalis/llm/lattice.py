@@ -10,7 +10,6 @@ Words outside the commonest hot_words meet their counts and scores in a join; th
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 
 import numpy as np
@@ -22,7 +21,8 @@ from postalis.llm.common import durable, map_arrow, raw
 
 LN10 = math.log(10)
 START = "▁"
-MILLI = 1000
+#: Expected counts are whole numbers of this unit, so their sums don't depend on how words are dealt out.
+UNIT = 10**9
 #: Distinct words that a task counts before it hands them on.
 MOST_WORDS = 150_000
 
@@ -92,7 +92,8 @@ class Pieces:
         return here
 
     def expected(self, word: str, weight: int, into: Counter) -> None:
-        """Add the pieces' expected counts, in thousandths, times the word's count (forward, then backward)."""
+        """Add the pieces' expected counts, in billionths, times the word's count (forward, then backward). A border whose
+        share is under a quarter of a unit can't make a piece's count one, so the way back ends there."""
         word = START + word
         n, get, logs, exp, log = len(word), self.ids.get, self.logs, math.exp, math.log
         arriving: list[list[tuple[float, int, int | tuple]]] = [[] for _ in range(n + 1)]
@@ -110,9 +111,9 @@ class Pieces:
                     break
                 if k >= 0:
                     arriving[j].append((here + logs[k], i, (k,)))
-        share = [0.0] * n + [float(weight * MILLI)]  # posterior probability of a border here, times the count
+        share = [0.0] * n + [float(weight * UNIT)]  # posterior probability of a border here, times the count
         for j in range(n, 0, -1):
-            if (now := share[j]) > 1e-4:
+            if (now := share[j]) > 0.25:
                 base = alpha[j]
                 for x, i, ids in arriving[j]:
                     part = now * exp(x - base)
@@ -121,6 +122,14 @@ class Pieces:
                         into[k] += round(part)  # by word, so sums don't depend on how words are dealt out
 
 
+def mark_of(text: bytes | None) -> int:
+    """64 bits that tell the texts of one id (or of none) apart."""
+    from xxhash import xxh3_64_intdigest
+
+    mark = xxh3_64_intdigest(text or b"")
+    return mark - (1 << 64) if mark >> 63 else mark
+
+
 def word_table(docs: DataFrame) -> DataFrame:
     """(word, c, total): counts in training texts and in all, A-Z in lower case."""
 
@@ -163,7 +172,7 @@ def score(docs: DataFrame, vocabulary: str, held_out: Column, hot_words: int = 1
     docs needs doc_id and text; other columns, whatever their names, are left aside; held_out is a condition on doc_id.
     Null text is empty: its end token alone. Very long texts are scored whole, very long words by the same recursion.
     base_score is the add-one unigram model of whole words, score the lattice model's log10 probability; both count the
-    end. Repeated rows each get their row; an empty table gives an empty result.
+    end. Repeated rows each get their row, rows of one id (or none) and different texts their own; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), held_out.alias("held_out"))
@@ -180,12 +189,12 @@ def score(docs: DataFrame, vocabulary: str, held_out: Column, hot_words: int = 1
             into: Counter = Counter()
             for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 pieces.expected(word, c, into)
-            yield {"piece": list(into), "n": list(into.values())}
+            yield {"piece": list(into), "n": [x // UNIT for x in into.values()], "rest": [x % UNIT for x in into.values()]}
 
         return step
 
-    counts = map_arrow(table.filter("c > 0").select("word", "c"), expected, "piece long, n long").groupBy("piece").agg(F.sum("n")).collect()  # a row a piece
-    model = start.value.reweighted({r[0]: r[1] / MILLI for r in counts} | {start.value.end: float(n_docs)})
+    counts = map_arrow(table.filter("c > 0").select("word", "c"), expected, "piece long, n long, rest long").groupBy("piece").agg(F.sum("n"), F.sum("rest")).collect()  # a row a piece
+    model = start.value.reweighted({r[0]: r[1] + r[2] / UNIT for r in counts} | {start.value.end: float(n_docs)})
     sent = spark.sparkContext.broadcast(model)
 
     def scored():
@@ -210,7 +219,7 @@ def score(docs: DataFrame, vocabulary: str, held_out: Column, hot_words: int = 1
             for text in raw(batch.column(1)):
                 own = (text or b"").lower().split()
                 at = np.fromiter((index.get(w, -1) for w in own), np.int64, len(own))
-                marks.append(zlib.crc32(text or b""))
+                marks.append(mark_of(text))
                 sums.append((len(own) + 1, *(values[at[at >= 0]].sum(0) if len(values) else (0, 0, 0))))
             n, known, base, log = (np.array(x) for x in zip(*sums, strict=True)) if sums else [np.zeros(0)] * 4
             yield {"doc_id": batch.column(0), "mark": marks, "copies": np.ones(len(marks), np.int64), "n_tokens": n.astype(np.int64), "known": known.astype(np.int64), "base": base, "log": log}
@@ -226,7 +235,7 @@ def score(docs: DataFrame, vocabulary: str, held_out: Column, hot_words: int = 1
             keys, tokens = [], []
             for key, text in zip(batch.column(0).to_pylist(), raw(batch.column(1)), strict=True):
                 own = Counter(w for w in (text or b"").lower().split() if w not in index)
-                mark = zlib.crc32(text or b"")
+                mark = mark_of(text)
                 keys += [(key, mark, n) for n in own.values()]
                 tokens += [xxh64_intdigest(w, 42) for w in own]
             ids, marks, times = zip(*keys, strict=True) if keys else [[]] * 3

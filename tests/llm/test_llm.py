@@ -298,7 +298,7 @@ def test_lattice_score_is_the_sum_over_segmentations():
         assert math.isclose(pieces.score(word), math.log(sum(map(math.exp, every))), rel_tol=1e-9)
     into = Counter()
     pieces.expected("ention", 2, into)
-    assert math.isclose(sum(n / 1000 * len(p) for p, k in pieces.ids.items() if k >= 0 and (n := into[k])), 2 * len("ention") + 2, rel_tol=1e-2)
+    assert math.isclose(sum(n / lattice.UNIT * len(p) for p, k in pieces.ids.items() if k >= 0 and (n := into[k])), 2 * len("ention") + 2, rel_tol=1e-6)
 
 
 @pytest.mark.parametrize("hot", [5, 150_000])
@@ -318,7 +318,7 @@ def test_lm_scores(edge, none, docs, hot):
         pieces, into = lattice.Pieces(PIECES), Counter()
         for word, c in count.items():
             pieces.expected(word.decode(), c, into)
-        model = pieces.reweighted({k: x / lattice.MILLI for k, x in into.items()} | {pieces.end: float(n)})
+        model = pieces.reweighted({k: x / lattice.UNIT for k, x in into.items()} | {pieces.end: float(n)})
         score = sorted((str(r.doc_id), (sum(model.score(w.decode()) for w in words(r.text)) + model.logs[model.end]) / lattice.LN10) for r in rows)
         found = sorted(("None" if math.isnan(d) else str(int(d)), x) for d, x in got[["doc_id", "score"]].itertuples(index=False))
         assert [x[0] for x in found] == [x[0] for x in score] and all(math.isclose(x[1], y[1], rel_tol=1e-9) for x, y in zip(found, score, strict=True))
