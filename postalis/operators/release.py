@@ -15,7 +15,20 @@ from postalis.sinks import FLAT, canonical, part_digests, read_jsonl, write_csv,
 
 # Fixed value: the manifest's format.
 FORMAT = "postalis-release-v1"
-PARTS = ("artifact/rows", "artifact/metadata", "jsonl", "csv", "report", "markdown")
+PARTS = ("artifact/rows", "artifact/metadata", "jsonl", "csv", "report", "markdown", "notice")
+# Who must be named where a source category of their data stands in the rows.
+CREDITS = {"openstreetmap": "OpenStreetMap", "ibge-localidades": "IBGE", "ibge-localidades-administrative": "IBGE"}
+
+
+def notice_problems(rows: DataFrame, notice: str, credits: tuple[str, ...] = ()) -> list[str]:
+    """Names that a notice lacks: those of the rows' sources, and what the locked inputs ask for."""
+    categories = {r.c for r in rows.select(F.explode("geo_source").alias("c")).distinct().collect()}  # a few categories
+    return sorted(n for n in {CREDITS[c] for c in categories if c in CREDITS} | set(credits) if n not in notice)
+
+
+def sums_of(parts: dict[str, list[dict]]) -> str:
+    """A line a file: digest and place, in order of places."""
+    return "".join(f"{digest}  {place}\n" for place, digest in sorted((f"{part}/{f['file']}", f["sha256"]) for part, files in parts.items() for f in files))
 
 
 def write_document(spark: SparkSession, text: str, folder: str) -> None:
@@ -29,24 +42,33 @@ def read_document(spark: SparkSession, folder: str) -> str:
 
 def contents(spark: SparkSession, folder: str) -> dict[str, list[dict]]:
     """Part -> its files' names, sizes and digests, by name."""
-    return {name: [r.asDict() for r in part_digests(spark, f"{folder}/{name}").select(F.element_at(F.split("path", "/"), -1).alias("file"), "bytes", "sha256").orderBy("file").collect()] for name in PARTS}  # a row a file
+    return {name: files_of(spark, f"{folder}/{name}") for name in PARTS}
+
+
+def files_of(spark: SparkSession, folder: str) -> list[dict]:
+    return [r.asDict() for r in part_digests(spark, folder).select(F.element_at(F.split("path", "/"), -1).alias("file"), "bytes", "sha256").orderBy("file").collect()]  # a row a file
 
 
-def package(rows: DataFrame, found: dict, policy: QualityPolicy, folder: str) -> dict:
-    """Write a release of flat rows with their passed report; the manifest, which comes last, makes it complete."""
+def package(rows: DataFrame, found: dict, policy: QualityPolicy, folder: str, notice: str, credits: tuple[str, ...] = ()) -> dict:
+    """Write a release of flat rows with their passed report and a notice that names all sources; manifest and sums, which
+    come last, make it complete."""
     if report.report_problems(found, policy) or found["status"] != "pass":
         raise GateError("only a sound report that passed is released")
     spark, version = rows.sparkSession, found["dataset_version"]
     require_empty(row_problems(rows, version).select("cep", "failed"), "rows against the contract")
     require_empty(rows.groupBy("cep").count().filter("count > 1").select("cep"), "codes that stand twice")
+    if lacking := notice_problems(rows, notice, credits):
+        raise GateError(f"the notice doesn't name {', '.join(lacking)}")
     build.write_artifact(rows, f"{folder}/artifact", dataset_version=version)
     stored = build.read_artifact(spark, f"{folder}/artifact")
     write_jsonl(stored, f"{folder}/jsonl")
     write_csv(stored, f"{folder}/csv")
     write_document(spark, canonical(found) + "\n", f"{folder}/report")
     write_document(spark, report.markdown(found), f"{folder}/markdown")
-    manifest = {"format": FORMAT, "dataset_version": version, "quality_version": policy.version, "records": stored.count(), "contents": contents(spark, folder)}
+    write_document(spark, notice, f"{folder}/notice")
+    manifest = {"format": FORMAT, "dataset_version": version, "quality_version": policy.version, "records": stored.count(), "credits": list(credits), "contents": contents(spark, folder)}
     write_document(spark, canonical(manifest) + "\n", f"{folder}/manifest")
+    write_document(spark, sums_of(manifest["contents"] | {"manifest": files_of(spark, f"{folder}/manifest")}), f"{folder}/sums")
     return manifest
 
 
@@ -66,6 +88,8 @@ def verify(spark: SparkSession, folder: str, policy: QualityPolicy) -> dict:
         raise GateError("not a release of this format and policy")
     if manifest["contents"] != contents(spark, folder):
         raise GateError("parts differ from the manifest")
+    if read_document(spark, f"{folder}/sums") != sums_of(manifest["contents"] | {"manifest": files_of(spark, f"{folder}/manifest")}):
+        raise GateError("files differ from their sums")
     found = json.loads(read_document(spark, f"{folder}/report"))
     if problems := report.report_problems(found, policy):
         raise GateError("; ".join(problems))
@@ -77,4 +101,6 @@ def verify(spark: SparkSession, folder: str, policy: QualityPolicy) -> dict:
         raise GateError("artifact, report and manifest disagree")
     require_empty(row_problems(stored, manifest["dataset_version"]).select("cep", "failed"), "rows against the contract")
     require_empty(export_problems(spark, folder), "exports against the artifact")
+    if lacking := notice_problems(stored, read_document(spark, f"{folder}/notice"), tuple(manifest["credits"])):
+        raise GateError(f"the notice doesn't name {', '.join(lacking)}")
     return manifest

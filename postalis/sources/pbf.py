@@ -11,12 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from postalis.functions import postal_code
-from postalis.operators.gates import GateError
+from postalis.operators.gates import GateError, require_empty
 from postalis.sources.store import opened
 
 # Limits of the format.
@@ -217,3 +217,28 @@ def evidence(judged: DataFrame) -> DataFrame:
     """(evidence_id, cep, ibge, latitude, longitude, source) of the accepted nodes."""
     name = F.concat(F.lit("openstreetmap:node/"), F.col("id").cast("string"))
     return judged.filter("status = 'accepted'").select(name.alias("evidence_id"), "cep", F.lit(None).cast("string").alias("ibge"), "latitude", "longitude", name.alias("source"))
+
+
+def extract(spark: SparkSession, path: str, folder: str) -> dict[str, int]:
+    """Write a map's accepted nodes as evidence: Parquet rows, whose writing pass takes the counters, and from these CSV in
+    the order of codes and sources. A node that stands twice is an error. Returns the counters."""
+    seen = Observation("nodes")
+    count = lambda s: F.count_if(F.col("status") == s).alias(s)
+    judged = judged_postcodes(nodes(spark, path)).observe(seen, F.count(F.lit(1)).alias("scanned"), F.count_if(F.col("status") != "untagged").alias("tagged"), *map(count, ("accepted", "invalid_postcode", "invalid_coordinate")))
+    evidence(judged).write.parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
+    require_empty(rows.groupBy("source").count().filter("count > 1").select("source"), "map nodes that stand twice")
+    write_evidence(rows, f"{folder}/csv")
+    return {k: int(v) for k, v in seen.get.items()}
+
+
+def write_evidence(rows: DataFrame, folder: str) -> None:
+    """Evidence as CSV in the order of codes and sources, with a header in each part; places as Python writes doubles."""
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cep, lat, lon, source = (batch.column(c).to_pylist() for c in ("cep", "latitude", "longitude", "source"))
+            yield pa.RecordBatch.from_arrays([pa.array(cep), pa.array([None] * len(cep), pa.string()), pa.array(list(map(repr, lat))), pa.array(list(map(repr, lon))), pa.array(source)], ["cep", "ibge", "latitude", "longitude", "source"])
+
+    ordered = rows.select("cep", "latitude", "longitude", "source").orderBy("cep", "source")
+    ordered.mapInArrow(lines, "cep string, ibge string, latitude string, longitude string, source string").write.csv(folder, header=True, nullValue="", emptyValue="", lineSep="\n", escape='"')

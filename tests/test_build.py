@@ -4,6 +4,7 @@ import copy
 import csv
 import hashlib
 import json
+import sqlite3
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F
 from postalis import __main__ as command
 from postalis import sinks
 from postalis.config import QualityPolicy, load_policy
-from postalis.operators import build, contract, gates, release, report
+from postalis.operators import build, contract, dataset, gates, release, report
 from postalis.plans.queries import POLICY
 from postalis.sources import containers, lock, records
+from test_ranges import POLYGONS, shape_members, shape_zip
 
 PLACES = [("3550308", "Cidade", -23.5505, -46.6333), ("3550308", "Povoado", -23.6, -46.7), ("3304557", "Cidade", -22.9111, -43.2057)]
 RECORDS = [
@@ -81,6 +83,9 @@ def test_artifact_and_exports(spark, inputs, tmp_path):
     spark.createDataFrame([("format", "other")], "key string, value string").write.mode("overwrite").parquet(f"{folder}/metadata")
     with pytest.raises(gates.GateError, match="not an artifact"):
         build.read_artifact(spark, folder)
+    spark.createDataFrame([("format", build.FORMAT), ("dataset_version", "v2")], "key string, value string").write.mode("overwrite").parquet(f"{folder}/metadata")
+    with pytest.raises(gates.GateError, match="another version"):
+        build.read_artifact(spark, folder)
 
 
 def test_broken_rows_are_not_stored(spark, inputs, tmp_path):
@@ -145,9 +150,21 @@ def test_report_and_release(spark, release_inputs, tmp_path):
         report.require_quality(inputs.artifact, strict)
     folder = str(tmp_path / "r")
     with pytest.raises(gates.GateError, match="only a sound report"):
-        release.package(inputs.artifact, found | {"status": "fail"}, policy, folder)
-    manifest = release.package(inputs.artifact, found, policy, folder)
+        release.package(inputs.artifact, found | {"status": "fail"}, policy, folder, "IBGE")
+    with pytest.raises(gates.GateError, match="doesn't name Atlas, IBGE"):
+        release.package(inputs.artifact, found, policy, folder, "nobody", ("Atlas",))
+    manifest = release.package(inputs.artifact, found, policy, folder, "Data of IBGE and the Atlas.", ("Atlas",))
     assert release.verify(spark, folder, policy) == json.loads(json.dumps(manifest)) and manifest["records"] == 4
+    sums = next((tmp_path / "r" / "sums").glob("part-*"))
+    whole = sums.read_text()
+    for line in whole.split("\n")[:-1]:
+        digest, place = line.split("  ")
+        assert hashlib.sha256((tmp_path / "r" / place).read_bytes()).hexdigest() == digest
+    (sums.parent / f".{sums.name}.crc").unlink()
+    sums.write_text(whole.replace("0", "1"))
+    with pytest.raises(gates.GateError, match="their sums"):
+        release.verify(spark, folder, policy)
+    sums.write_text(whole)
     part = next((tmp_path / "r" / "jsonl").glob("part-*"))
     part.write_text(part.read_text("utf-8").replace("Praça", "Praca"), "utf-8")
     (part.parent / f".{part.name}.crc").unlink()
@@ -198,3 +215,51 @@ def test_source_lock(spark, tmp_path):
         assert dict(lock.lock_problems(spark, str(data), lock.load_lock(spark, write({**source, **change}), "f")).collect()) == {"a": problem}
     entries = containers.directory_entries(spark, str(data), ".bin")
     assert lock.folder_digest(entries).first().bytes == 3
+
+
+def test_dataset_handle(spark, inputs, tmp_path):
+    folder = str(tmp_path / "a")
+    written = build.write_artifact(build.build_rows(*inputs, "v1"), folder, dataset_version="v1")
+    handle = dataset.open_dataset(spark, folder, "v1", written["rows"])
+    assert (handle.records, handle.located) == (4, 3)
+    assert handle.find("01001-000")["row"]["geo"]["precision"] == "observed_cep" and handle.find("53990959")["status"] == dataset.UNRESOLVED and handle.find("99999999")["status"] == dataset.UNKNOWN and handle.find("x")["status"] == dataset.INVALID
+    assert handle.find_prefix("01001000")["estimate"]["members"] == 2 and handle.find_prefix("99999999")["status"] == dataset.UNKNOWN
+    for version, rows in (("v2", None), ("v1", "4:0:0")):
+        with pytest.raises(gates.GateError):
+            dataset.open_dataset(spark, folder, version, rows)
+    part = next((tmp_path / "a" / "rows").glob("part-*"))
+    part.write_bytes(part.read_bytes() + b"x")
+    with pytest.raises(gates.GateError, match="have changed"):
+        handle.find("01001000")
+
+
+def test_build_by_commands(spark, tmp_path, capsys):
+    (tmp_path / "v1").mkdir()
+    for r in RECORDS[:3]:
+        (tmp_path / "v1" / f"{r['cep'].replace('-', '')}.json").write_text(json.dumps(r), "utf-8")
+    with (tmp_path / "o.csv").open("w", encoding="utf-8", newline="") as f:
+        csv.writer(f).writerows([("cep", "ibge", "latitude", "longitude", "source", "evidence_id"), *OBSERVED])
+    nodes = [("20010000", "", -22.9, -43.2, "openstreetmap:node/1"), ("20010000", "", -24.5, -43.2, "openstreetmap:node/2")]  # the second lies elsewhere
+    with (tmp_path / "n.csv").open("w", encoding="utf-8", newline="") as f:
+        csv.writer(f).writerows([("cep", "ibge", "latitude", "longitude", "source"), *nodes])
+    db = sqlite3.connect(tmp_path / "l.gpkg")
+    db.execute("create table gpkg_contents (table_name text, data_type text)")
+    db.execute("create table l (CD_MUN text, CT_LOCALIDADE text, LAT_LOCALIDADE real, LONG_LOCALIDADE real)")
+    db.execute("insert into gpkg_contents values ('l', 'features')")
+    db.executemany("insert into l values (?, ?, ?, ?)", PLACES)
+    db.commit()
+    db.close()
+    shape_zip(tmp_path / "b.zip", shape_members(POLYGONS))
+    document = copy.deepcopy(POLICY.document)
+    document["build_thresholds"] |= {"minimum_records": 3, "minimum_coverage": 1.0, "allowed_precision_tiers": ["observed_cep", "observed_cep_prefix", "osm_postcode"]}
+    (tmp_path / "p.json").write_text(json.dumps(document))
+    path = lambda name: str(tmp_path / name)
+    build_call = ["build", "--records", path("v1"), "--observations", path("o.csv"), "--osm", path("n.csv"), "--localities", path("l.gpkg"), "--boundaries", path("b.zip"), "--policy", path("p.json"), "--version", "7"]
+    assert command.main([*build_call, "--output", path("one")]) == 0
+    first = json.loads(capsys.readouterr().out)
+    assert first["statistics"]["tier_osm_postcode"] == 1 and first["inputs"]["observations"]["files"] == 1 and first["inputs"]["records"]["files"] == 3
+    assert command.main([*build_call, "--output", path("two")]) == 0 and json.loads(capsys.readouterr().out) == first
+    assert command.main(["lookup", path("one"), "20010-000", "--version", "7"]) == 0
+    assert json.loads(capsys.readouterr().out)["geo"]["coordinates"] == [-43.2, -22.9]
+    assert command.main(["lookup", path("one"), "20010-000", "--version", "8"]) == 1
+    assert command.main([*build_call[:-2], "--version", "8", "--policy", path("missing.json"), "--output", path("three")]) == 1

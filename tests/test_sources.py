@@ -101,9 +101,9 @@ def deltas(*values):
     return b"".join(number((d << 1) ^ (d >> 63)) for d in (b - a for a, b in zip((0, *values), values)))
 
 
-def pbf_file(path, raw, declared=None):
+def pbf_file(path, raw, declared=None, blobs=2):
     blob = field(2, len(raw) if declared is None else declared) + field(3, zlib.compress(raw))
-    parts = [(b"OSMHeader", field(1, b"")), (b"OSMData", blob), (b"OSMData", blob)]
+    parts = [(b"OSMHeader", field(1, b"")), *[(b"OSMData", blob)] * blobs]
     path.write_bytes(b"".join(len(h).to_bytes(4, "big") + h + b for k, b in parts for h in [field(1, k) + field(3, len(b))]))
     return str(path)
 
@@ -119,6 +119,12 @@ def test_pbf(spark, tmp_path):
     judged = pbf.judged_postcodes(found)
     assert tuple(pbf.counters(judged).first()) == (8, 6, 2, 2, 2)
     assert {r.source for r in pbf.evidence(judged).collect()} == {"openstreetmap:node/1"}
+    with pytest.raises(gates.GateError, match="stand twice"):
+        pbf.extract(spark, str(tmp_path / "a.pbf"), str(tmp_path / "twice"))
+    once = pbf_file(tmp_path / "once.pbf", raw, blobs=1)
+    assert pbf.extract(spark, once, str(tmp_path / "once")) == {"scanned": 4, "tagged": 3, "accepted": 1, "invalid_postcode": 1, "invalid_coordinate": 1}
+    assert next((tmp_path / "once" / "csv").glob("part-*")).read_text() == "cep,ibge,latitude,longitude,source\n01001000,,-23.55,-46.63,openstreetmap:node/1\n"
+    assert records.load_observations(spark, str(tmp_path / "once" / "csv"), map_nodes=True).count() == 1
     with pytest.raises(Exception, match="declares"):
         pbf.nodes(spark, pbf_file(tmp_path / "b.pbf", raw, len(raw) - 1)).collect()
 
