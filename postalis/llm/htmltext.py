@@ -2,8 +2,9 @@
 
 Each block element is a node with a hidden label: content, what stands around it, or a container that holds both. Its
 own potential is the naive-Bayes odds of what the element itself shows: tag, class words, length of its own text, share
-of links; nothing of its ancestors. Names that say plainly what stands around an article are evidence that no count
-outweighs. Parent-child potentials are the odds of a child's label given its parent's; within what stands around,
+of links; nothing of its ancestors. Names of boxes that mostly stand around an article start from fixed odds, which
+what the box holds and stands in can outweigh: a section named related-work within an article is part of it. Only
+elements that mean navigation, forms, footers and asides, and hidden ones, are certain. Parent-child potentials are the odds of a child's label given its parent's; within what stands around,
 nothing is content. Sum-product messages go up the tree and down again, which gives each node's exact marginal: a
 paragraph in a comment section or an advert is like any other by itself, and differs by the messages it gets.
 
@@ -35,6 +36,7 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE = frozenset("ul ol dl table menu body article main section div".split())
+ITEMS = frozenset("li dt dd tr td th".split())
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figcaption caption summary".split())
 # Elements whose name says what their text is: 1 the article, 0 what stands around it. A header is 0
 # outside of an article.
@@ -51,6 +53,9 @@ HELD = (0.5, 0.2, 0.3)
 #: Observations that the prior adds for a usual sign; log odds of a sure sign; share of both labels' pooled counts that
 #: is mixed into each label's, as features of a node depend on each other.
 PRIOR, SURELY, POOLED = 4000.0, 1e4, 0.35
+#: Log odds that a box named as a part around the article starts from: by its whole name, by a word in a longer name. What
+#: is in it and around it decides by messages: leaving the article for a part around it costs about 5.
+NAMED, NAMED_IN_PART = 12.0, 6.0
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 ENDS = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW | MUTED}
@@ -69,14 +74,15 @@ class Node:
     signed: bool = False  # with a copyright sign in its own text
 
 
-def names_of(attributes: str) -> list[str]:
+def names_of(attributes: str, tag: str = "") -> list[str]:
+    """Classes and role, and the id of a box; ids of headings and other texts are slugs of what they say."""
     out = []
     if attributes and not attributes.isspace():
         for name, *values in ATTRIBUTE.findall(attributes):
             value, name = "".join(values).lower(), name.lower()
             if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
                 out.append("hidden")
-            elif name in ("class", "id", "role"):
+            elif name in ("class", "role") or name == "id" and tag not in TEXTUAL:
                 out += [x for x in value.split() if not x.startswith(("has-", "with-", "no-", "without-"))]  # of what it holds
     return out
 
@@ -155,7 +161,7 @@ class Parser:
                     break
         if tag in ("hr", "html", "body"):
             return
-        parent, names = nodes[stack[-1]], names_of(attributes)
+        parent, names = nodes[stack[-1]], names_of(attributes, tag)
         known = SEMANTIC.get(tag, parent.known)
         if parent.known == 0 and known == 1:  # an article in a sidebar is a teaser
             known = 0
@@ -210,9 +216,12 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
 def features(node: Node) -> Iterator[str]:
     """What the element shows of itself. A name counts whole and in parts, apart for boxes and for textual elements."""
     density = node.link / node.text if node.text else -1.0
-    yield "tag:page header" if node.tag == "header" and node.known == 0 else f"tag:{node.tag}"
-    yield f"links:{'none' if density < 0 else 'few' if density < 0.2 else 'some' if density < 0.6 else 'most'}"
-    yield f"own:{'none' if not node.own else 'short' if node.own < 40 else 'middle' if node.own < 150 else 'long'}"
+    if node.tag not in ITEMS:  # whose list or table shows it once for all of them
+        yield "tag:page header" if node.tag == "header" and node.known == 0 else f"tag:{node.tag}"
+        yield f"links:{'none' if density < 0 else 'few' if density < 0.2 else 'some' if density < 0.6 else 'most'}"
+    size = "none" if not node.own else "short" if node.own < 40 else "middle" if node.own < 150 else "long"
+    if node.tag not in ITEMS or size in ("middle", "long"):
+        yield f"own:{size}"
     if node.signed:
         yield "copyright"
     if node.names:
@@ -226,7 +235,8 @@ def features(node: Node) -> Iterator[str]:
 def certain() -> dict[str, float]:
     """Log odds of features that no count changes."""
     out = {f"tag:{tag}": -SURELY for tag, label in SEMANTIC.items() if not label} | {"tag:page header": -SURELY}
-    out |= {f"{kind}:{word}": -SURELY for word in SURE for kind in ("box", "box part", "text")} | {f"box:{word}": -SURELY for word in DOUBTFUL}
+    out |= {f"box:{word}": -NAMED for word in SURE | DOUBTFUL} | {f"box part:{word}": -NAMED_IN_PART for word in SURE} | {f"box part:{word}": -NAMED_IN_PART * 3 / 4 for word in DOUBTFUL}
+    out["box:hidden"] = out["text:hidden"] = -SURELY
     return out | {f"tag:{tag}": SURELY / 100 for tag, label in SEMANTIC.items() if label}  # less: one in a sidebar is a teaser
 
 
