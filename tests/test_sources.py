@@ -1,7 +1,6 @@
 """Readers and exports on small hand-built files."""
 
 import hashlib
-import io
 import json
 import sqlite3
 import zipfile
