@@ -33,7 +33,7 @@ def call(arguments: list[str]) -> argparse.Namespace:
             own.add_argument(f"--{x}", required=x in needed)
         return own
 
-    command("build", "from records and evidence to an artifact", needed=("records", "observations", "localities", "boundaries", "policy", "version", "output"), more=("corrections", "osm", "config"))
+    command("build", "from records and evidence to an artifact", needed=("records", "observations", "localities", "boundaries", "policy", "version", "output"), more=("corrections", "osm", "config", "lock", "lock-format"))
     command("build-from-normalized", "from normalized rows and their diff to an artifact", needed=("rows", "diff", "localities", "policy", "version", "output"), more=("counts", "base"))
     command("lookup", "the row of a code, as JSON", "artifact", "code", more=("version",)).add_argument("--prefix", action="store_true", help="the estimate from its prefix instead")
     command("quality", "the quality report of an artifact", "artifact", needed=("osm", "localities", "boundaries", "official", "policy", "output"))
@@ -57,6 +57,14 @@ def files(spark: SparkSession, path: str) -> dict:
     return {"files": found[0], "bytes": found[1], "digest": manifest.digest_text(found[0], *found[2:])}
 
 
+def lineage(spark: SparkSession, own: argparse.Namespace) -> dict:
+    """With a lock, what it says of localities and polygons, which must be its files."""
+    if not own.lock:
+        return {}
+    whole = lock.whole_lock(spark, own.lock, own.lock_format or "")
+    return {"source_lock": whole.metadata, "sources": lock.locked_inputs(spark, whole, {"localities": own.localities, "boundaries": own.boundaries})}
+
+
 def inputs_of(spark: SparkSession, own: argparse.Namespace) -> dict[str, str]:
     return {name: path for name in INPUTS if (path := getattr(own, name, None))}
 
@@ -73,7 +81,7 @@ def done(spark: SparkSession, own: argparse.Namespace) -> int:
         found = records.load_records(entries(spark, own.records), fixes)
         first = records.load_observations(spark, own.observations)
         osm = records.load_observations(spark, own.osm, map_nodes=True) if own.osm else first.limit(0)
-        print(canonical(build.build(found, first, osm, containers.geopackage_localities(spark, own.localities), shapefile.polygon_edges(spark, own.boundaries), own.output, own.version, load_policy(own.policy), identities, load_thresholds(own.config) if own.config else Thresholds())))
+        print(canonical(build.build(found, first, osm, containers.geopackage_localities(spark, own.localities), shapefile.polygon_edges(spark, own.boundaries), own.output, own.version, load_policy(own.policy), identities, load_thresholds(own.config) if own.config else Thresholds(), lineage(spark, own))))
     elif own.kind == "build-from-normalized":
         rows, diff, places = read_jsonl(spark, own.rows, own.version), refresh.read_diff(spark, own.diff), containers.geopackage_localities(spark, own.localities)
         counts = json.loads("\n".join(r.value for r in spark.read.text(own.counts, wholetext=True).collect())) if own.counts else None  # one document
@@ -84,6 +92,7 @@ def done(spark: SparkSession, own: argparse.Namespace) -> int:
         official = records.load_observations(spark, own.official).select("cep", "latitude", "longitude")
         inputs = report.Inputs(artifact, records.load_observations(spark, own.osm, map_nodes=True), tiers.municipality_reference(places), shapefile.polygon_edges(spark, own.boundaries), official)
         found = report.quality_report(inputs, load_policy(own.policy), build.read_metadata(spark, own.artifact)["dataset_version"])
+        found = report.bound(found, build.read_manifest(spark, own.artifact))
         release.write_document(spark, canonical(found) + "\n", f"{own.output}/report")
         release.write_document(spark, report.markdown(found), f"{own.output}/markdown")
         return 0 if found["status"] == "pass" else 1
@@ -93,7 +102,11 @@ def done(spark: SparkSession, own: argparse.Namespace) -> int:
         lock.verify_sources(spark, own.folder, lock.selected(lock.load_lock(spark, own.lock, own.format), tuple(own.source), own.include_optional))
     elif own.kind == "package":
         found, notice = (release.read_document(spark, p) for p in (own.report, own.notice))
-        release.package(build.read_artifact(spark, own.artifact), json.loads(found), load_policy(own.policy), own.output, notice)
+        found, policy, made = json.loads(found), load_policy(own.policy), build.read_manifest(spark, own.artifact)
+        if problems := report.binding_problems(found, made, policy):
+            raise GateError("; ".join(problems))
+        credits = tuple(sorted({s["attribution"] for s in made["settings"].get("sources", [])}))
+        release.package(build.read_artifact(spark, own.artifact), found, policy, own.output, notice, credits)
     elif own.kind == "release":
         release.verify(spark, own.folder, load_policy(own.policy))
     else:

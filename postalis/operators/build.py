@@ -112,12 +112,12 @@ def read_manifest(spark: SparkSession, folder: str) -> dict:
     return found
 
 
-def build(records: DataFrame, first_party: DataFrame, osm: DataFrame, localities: DataFrame, edges: DataFrame, folder: str, version: str, policy: QualityPolicy, inputs: dict, t: Thresholds = Thresholds()) -> dict:
-    """From inputs to a stored build and its manifest."""
+def build(records: DataFrame, first_party: DataFrame, osm: DataFrame, localities: DataFrame, edges: DataFrame, folder: str, version: str, policy: QualityPolicy, inputs: dict, t: Thresholds = Thresholds(), lineage: dict | None = None) -> dict:
+    """From inputs to a stored build and its manifest; lineage: the lock and the locked sources that the inputs are."""
     rows = build_rows(records, first_party, osm, localities, version, t, edges)
     known = tiers.municipality_reference(localities).select("ibge", F.lit(True).alias("_joined"))
     marked = rows.join(known, "ibge", "left").withColumn("_joined", F.coalesce("_joined", F.lit(False)))
-    return store(marked, folder, version, policy, inputs, {"thresholds": {k: v for k, v in sorted(vars(t).items())}})
+    return store(marked, folder, version, policy, inputs, {"thresholds": {k: v for k, v in sorted(vars(t).items())}, **(lineage or {})})
 
 
 def read_metadata(spark: SparkSession, folder: str) -> dict[str, str]:

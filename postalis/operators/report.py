@@ -3,6 +3,7 @@ check of a policy. Spark sums up; what reaches the driver is one row a cohort, s
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -173,6 +174,25 @@ def quality_report(inputs: Inputs, policy: QualityPolicy, version: str, t: Thres
     }
 
 
+def bound(report: dict, manifest: dict) -> dict:
+    """A report with the identity of the build that it is about."""
+    return report | {"build": {"rows": manifest["rows"], "manifest_sha256": hashlib.sha256(canonical(manifest).encode()).hexdigest()}}
+
+
+def binding_problems(report: dict, manifest: dict, policy: QualityPolicy) -> list[str]:
+    """What a report and a build's manifest say otherwise: the build, its version, its policy, its counts."""
+    own, out = manifest["statistics"], []
+    if report.get("build") != bound({}, manifest)["build"]:
+        out.append("the report is about another build")
+    if report.get("dataset_version") != manifest["dataset_version"]:
+        out.append("the versions differ")
+    if (manifest["settings"].get("quality_version"), manifest["settings"].get("quality_sha256")) != (policy.version, policy.sha256):
+        out.append("the build was gated by another policy")
+    if any(report.get("artifact", {}).get(a) != own[b] for a, b in (("record_count", "records"), ("located", "located"), ("unresolved", "unresolved"), *((f"tier_{t}", f"tier_{t}") for t in TIERS))):
+        out.append("the counts differ")
+    return out
+
+
 def report_problems(report: dict, policy: QualityPolicy) -> list[str]:
     """What contradicts itself or the policy in a report that was read back."""
     out = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from dataclasses import dataclass
@@ -28,6 +29,26 @@ class Source:
     acquisition: str
     place: str  # the URL, or the path in the repository
     members: dict[str, tuple[int, str]]
+    texts: dict[str, str]
+
+    @property
+    def metadata(self) -> dict:
+        """What a build's manifest says of a source it used."""
+        return {**self.texts, "bytes": self.bytes, "sha256": self.sha256, "acquisition": self.acquisition, ACQUISITIONS[self.acquisition]: self.place}
+
+
+@dataclass(frozen=True)
+class Lock:
+    """A lock with its own identity, which a build's manifest names."""
+
+    release: str
+    publication_gate: str
+    sha256: str
+    sources: tuple[Source, ...]
+
+    @property
+    def metadata(self) -> dict:
+        return {"release": self.release, "publication_gate": self.publication_gate, "sha256": self.sha256}
 
 
 def source_problems(raw: dict) -> list[str]:
@@ -63,8 +84,14 @@ def source_problems(raw: dict) -> list[str]:
 
 def load_lock(spark: SparkSession, path: str, kind: str) -> tuple[Source, ...]:
     """The sources of a lock of the given format."""
+    return whole_lock(spark, path, kind).sources
+
+
+def whole_lock(spark: SparkSession, path: str, kind: str) -> Lock:
+    """A lock of the given format."""
+    text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())  # one document
     try:
-        document = json.loads("\n".join(r.value for r in spark.read.text(path, wholetext=True).collect()))  # one document
+        document = json.loads(text)
     except ValueError as error:
         raise GateError(f"the lock is no JSON: {error}") from error
     if not isinstance(document, dict) or document.get("format") != kind or not document.get("release") or not document.get("publication_gate"):
@@ -78,10 +105,26 @@ def load_lock(spark: SparkSession, path: str, kind: str) -> tuple[Source, ...]:
         problems += [f"{name} {x} stands twice" for x in sorted({str(x) for x in found if found.count(x) > 1})]
     if problems:
         raise GateError("; ".join(problems))
-    return tuple(
-        Source(r["id"], r["filename"], r["required"], r["bytes"], r["sha256"], r["acquisition"], r[ACQUISITIONS[r["acquisition"]]], {n: (m["bytes"], m["sha256"]) for n, m in (r.get("members") or {}).items()})
+    sources = tuple(
+        Source(r["id"], r["filename"], r["required"], r["bytes"], r["sha256"], r["acquisition"], r[ACQUISITIONS[r["acquisition"]]], {n: (m["bytes"], m["sha256"]) for n, m in (r.get("members") or {}).items()}, {n: r[n] for n in TEXTS})
         for r in raw
     )
+    return Lock(document["release"], document["publication_gate"], hashlib.sha256(text.encode()).hexdigest(), sources)
+
+
+def locked_inputs(spark: SparkSession, lock: Lock, inputs: dict[str, str]) -> list[dict]:
+    """Metadata of the locked sources that inputs (name -> path of one file) are, by size and digest; an input that isn't in
+    the lock, and two inputs that are the same source, are errors."""
+    found = []
+    for name, path in sorted(inputs.items()):
+        files = store.digests(spark, path).select(store.file_name(F.col("path")).alias("file"), "bytes", "sha256").take(2)
+        own = [s for s in lock.sources if len(files) == 1 and (s.filename, s.bytes, s.sha256) == tuple(files[0])]
+        if not own:
+            raise GateError(f"{name} isn't a file of the lock: {[tuple(f)[:2] for f in files]}")
+        found.append({"input": name, **own[0].metadata})
+    if len({f["id"] for f in found}) < len(found):
+        raise GateError("two inputs are the same locked source")
+    return found
 
 
 def selected(sources: tuple[Source, ...], ids: tuple[str, ...] = (), optional: bool = False) -> tuple[Source, ...]:

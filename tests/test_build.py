@@ -262,4 +262,17 @@ def test_build_by_commands(spark, tmp_path, capsys):
     assert command.main(["lookup", path("one"), "20010-000", "--version", "7"]) == 0
     assert json.loads(capsys.readouterr().out)["geo"]["coordinates"] == [-43.2, -22.9]
     assert command.main(["lookup", path("one"), "20010-000", "--version", "8"]) == 1
+    source = {"role": "r", "version": "1", "required": True, "acquisition": "https", "url": "https://example.org/a", "retrieved_at": "x", "attribution": "Atlas", "license_status": "x", "terms_status": "x"}
+    known = [{**source, "id": n, "filename": n, "bytes": (tmp_path / n).stat().st_size, "sha256": hashlib.sha256((tmp_path / n).read_bytes()).hexdigest()} for n in ("l.gpkg", "b.zip")]
+    for name, sources in (("lock.json", known), ("less.json", known[:1])):
+        (tmp_path / name).write_text(json.dumps({"format": "f", "release": "7", "publication_gate": "g", "sources": sources}))
+    assert command.main([*build_call, "--output", path("four"), "--lock", path("lock.json"), "--lock-format", "f"]) == 0
+    made = json.loads(capsys.readouterr().out)
+    assert [x["input"] for x in made["settings"]["sources"]] == ["boundaries", "localities"] and made["rows"] == first["rows"] and made["settings"]["source_lock"]["publication_gate"] == "g"
+    assert command.main([*build_call, "--output", path("five"), "--lock", path("less.json"), "--lock-format", "f"]) == 1 and "isn't a file of the lock" in capsys.readouterr().err
+    policy = load_policy(path("p.json"))
+    own = {"dataset_version": "7", "artifact": {"record_count": 3, "located": 3, "unresolved": 0, **{k: v for k, v in first["statistics"].items() if k.startswith("tier_")}}}
+    assert not report.binding_problems(report.bound(own, first), first, policy)
+    assert report.binding_problems(report.bound(own, made), first, policy) == ["the report is about another build"]
+    assert report.binding_problems(report.bound(own, first) | {"dataset_version": "8"}, first, QualityPolicy(policy.document, "1" * 64)) == ["the versions differ", "the build was gated by another policy"]
     assert command.main([*build_call[:-2], "--version", "8", "--policy", path("missing.json"), "--output", path("three")]) == 1
