@@ -27,9 +27,9 @@ def point(artifact: DataFrame, code: str) -> DataFrame:
 
 def prefix_members(artifact: DataFrame, code: str) -> DataFrame:
     """(cep, precision) of all codes with the same prefix, municipality and version; more than MOST_MEMBERS is an error. The
-    prefix is a range of codes, so on a table sorted by code file statistics prune the scan."""
+    prefix is a literal, so on a table sorted by code file statistics prune the scan."""
     group = [c for c in GROUP if c in artifact.columns]
-    artifact = artifact.filter(F.col("cep").between(f"{code[:5]}000", f"{code[:5]}999"))
+    artifact = artifact.filter(F.col("prefix") == code[:5])
     own = artifact.filter(F.col("cep") == code).select(*group).limit(1)
     members = artifact.join(F.broadcast(own), group, "left_semi").select("cep", "precision")  # one row
     if members.limit(MOST_MEMBERS + 1).count() > MOST_MEMBERS:
