@@ -37,7 +37,8 @@ def components(links: DataFrame, scratch: Scratch, chunk: int = CHUNK) -> DataFr
 
     Each task solves the links it has, `chunk` at a time, so a node has one root a chunk. Where a node has several,
     these roots are the links of the next, much smaller level; its answer is joined back. A level's largest root is
-    never a root again, and as nodes are hashes, levels shrink by a factor.
+    never a root again, and as nodes are hashes, levels shrink by a factor. A level's links are dealt to no more tasks
+    than make full chunks: in many small ones, a node would have as many roots, and levels would shrink slowly.
     """
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,15 +60,21 @@ def components(links: DataFrame, scratch: Scratch, chunk: int = CHUNK) -> DataFr
             yield solved()
 
     levels, edges, tables = [], links.select("a", "b"), []
+    n_links = edges.count()
     while True:
-        found = edges.mapInArrow(local, "node long, root long").groupBy("node").agg(F.min("root").alias("component"), F.collect_set("root").alias("roots"))  # a root a chunk
-        placed = scratch.keep(found)
+        tasks = max(1, -(-n_links // chunk))
+        found = (edges.repartition("a") if levels and tasks > 1 else edges).coalesce(tasks).mapInArrow(local, "node long, root long")
+        if tasks == 1:  # one chunk, so one root
+            placed = scratch.keep(found.withColumnRenamed("root", "component"))
+            tables.append(placed)
+            levels.append(placed)
+            break
+        placed = scratch.keep(found.groupBy("node").agg(F.min("root").alias("component"), F.collect_set("root").alias("roots")))  # a root a chunk
         tables.append(placed)
         levels.append(placed.select("node", "component"))
         edges = placed.filter("size(roots) > 1").select(F.col("component").alias("a"), F.explode("roots").alias("b")).filter("a <> b")
-        if edges.isEmpty():
+        if not (n_links := edges.count()):
             break
-        edges = edges.repartition("a")
     labels = levels.pop()
     while levels:
         low = labels.select(F.col("node").alias("component"), F.col("component").alias("low"))

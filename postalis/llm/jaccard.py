@@ -205,7 +205,8 @@ def overlap_ok(n: np.ndarray, m: np.ndarray, differ: np.ndarray, percent: int) -
 
 
 def verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int, scratch: Scratch, group: int) -> DataFrame:
-    """(a, b): the pairs (node x, node y, rx, ry: documents of these sets) that reach the similarity.
+    """(a, b): the pairs (node x, node y, rx, ry: documents of these sets) that reach the similarity; a pair stands
+    twice if a text of one doc_id does.
 
     Texts travel to their pairs: y's text meets those of at most `group` nodes x in a task, which holds one of them at
     a time.
@@ -238,7 +239,7 @@ def verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int, scratch:
         return step
 
     good = map_sorted(texts.join(roles, "doc_id").select("y", "part", "node", "role", "text"), ["y", "part"], ["role"], checked, "a long, b long")
-    links = scratch.keep(good.distinct())  # a pair stands twice if a text of one doc_id does
+    links = scratch.keep(good)
     scratch.drop(roles)
     return links
 
@@ -381,8 +382,7 @@ def classes(docs: DataFrame, size: int = 4, percent: int = 85, block: int = 1024
     texts = screen(docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text"), "doc_id", nodes.select(F.col("rep").alias("doc_id")))
     shared = keep(meetings(texts, size, percent, hot))
     found = keep(first_pairs(shared, nodes, percent, block))
-    pairs = found.groupBy("x", "y").agg(F.min("differ").alias("differ"), F.min("rx").alias("rx"), F.min("ry").alias("ry"))
-    best = keep(pairs.groupBy("x").agg(F.min(F.struct("differ", "y", "rx", "ry")).alias("s")).select("x", "s.y", "s.rx", "s.ry"))
+    best = keep(found.groupBy("x").agg(F.min(F.struct("differ", "y", "rx", "ry")).alias("s")).select("x", "s.y", "s.rx", "s.ry"))
     first = linked.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("doc_id", "a")
     one_id = linked.select("doc_id", F.col("node").alias("b")).join(first, "doc_id").filter("a < b").select("a", "b")  # one id, many texts
     links = keep(verify(docs, best, size, percent, scratch, block // 4).unionByName(one_id))

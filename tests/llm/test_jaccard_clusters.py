@@ -34,3 +34,16 @@ def test_forest_connects_groups_by_the_lightest_edges():
 
     x, y, weight = np.array([0, 0, 1, 2, 3]), np.array([2, 3, 2, 3, 4]), np.array([5, 1, 4, 2, 9])
     assert jaccard.forest(np.array([7, 7, 8, 9, 10]), x, y, weight) == [1, 3, 4]
+
+
+def test_few_links_in_many_tasks_are_one_level(spark):
+    from postalis.llm.common import Scratch
+    from postalis.llm.graph import components
+
+    draw = random.Random(3)
+    node = [draw.getrandbits(60) for _ in range(600)]
+    links = [(node[i], node[draw.randrange(max(0, i - 40), i)]) for i in range(1, 600)] + [(-5, -7), (-5, -7)]
+    scratch = Scratch(spark)
+    got = dict(components(spark.createDataFrame(links, "a long, b long").repartition(40), scratch).collect())
+    assert got == {n: min(node) for n in node} | {-5: -7, -7: -7}
+    assert scratch.n == 1
