@@ -2,8 +2,8 @@
 
 The pieces are those of an existing tokenizer vocabulary. Their weights start from the vocabulary's own scores (ranks,
 read as Zipf weights) and are re-estimated once from expected counts over all training words (forward-backward). A
-text's score is its marginal probability, the sum over all segmentations, by a forward recursion in log space; pieces
-never cross words, so a text's lattice is the product of its words' lattices and each distinct word is scored once.
+text's score is its marginal probability, the sum over all segmentations, by a forward recursion (in log space where
+doubles would not hold a word's probability); pieces never cross words, so a text's lattice is the product of its words' lattices and each distinct word is scored once.
 Words outside the commonest hot_words meet their counts and scores in a join; the commonest are sent to all tasks.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,10 @@ START = "▁"
 UNIT = 10**9
 #: Distinct words that a task counts before it hands them on.
 MOST_WORDS = 150_000
+#: Characters under which the pieces that start with them are remembered, and how many such strings at most.
+HEAD, MOST_HEADS = 4, 1 << 16
+#: Probabilities under this are left to the recursion in log space.
+LEAST = 1e-250
 
 
 class Pieces:
@@ -51,7 +56,12 @@ class Pieces:
                 self.ids.setdefault(piece[:k], -1)
         floor = weights[weights > 0].min()
         weights[weights == 0] = floor / 256
-        self.logs = np.log(weights / weights.sum()).tolist()
+        self.weigh(weights)
+
+    def weigh(self, weights: np.ndarray) -> None:
+        self.shares = (weights / weights.sum()).tolist()
+        self.logs = np.log(self.shares).tolist()
+        self.heads: dict[str, tuple[list[tuple[int, int, float]], bool]] = {}
 
     def reweighted(self, counts: dict[int, float]) -> Pieces:
         new = object.__new__(Pieces)
@@ -59,15 +69,55 @@ class Pieces:
         w = np.full(self.size, 0.5)
         for i, n in counts.items():
             w[i] += n
-        new.logs = np.log(w / w.sum()).tolist()
+        new.weigh(w)
         return new
 
     def spelt(self, character: str) -> tuple[int, ...]:
         """A character that is no piece, in bytes."""
         return tuple(self.bytes[b] for b in character.encode("utf-8", "replace"))
 
+    def starting(self, head: str) -> tuple[list[tuple[int, int, float]], bool]:
+        """(length, id, probability) of the pieces that head starts with, id -1 for its first character in bytes, and
+        whether longer pieces may start with all of head."""
+        found = []
+        k = self.ids.get(head[0])
+        if k is None or k < 0:
+            found.append((1, -1, math.prod(self.shares[b] for b in self.spelt(head[0]))))
+        for j in range(1, len(head) + 1):
+            k = self.ids.get(head[:j])
+            if k is None:
+                break
+            if k >= 0:
+                found.append((j, k, self.shares[k]))
+        if len(self.heads) >= MOST_HEADS:
+            self.heads.clear()
+        self.heads[head] = found, k is not None and len(head) == HEAD
+        return self.heads[head]
+
     def score(self, word: str) -> float:
-        """Natural log of the word's probability over all its segmentations: the forward recursion, in log space."""
+        """Natural log of the word's probability over all its segmentations: the forward recursion."""
+        own = START + word
+        n, get, shares, heads = len(own), self.ids.get, self.shares, self.heads.get
+        alpha = [1.0] + [0.0] * n
+        for i in range(n):
+            here = alpha[i]
+            if here < LEAST:
+                return self.score_in_logs(word)
+            head = own[i : i + HEAD]
+            found, more = heads(head) or self.starting(head)
+            for j, _, p in found:
+                alpha[i + j] += here * p
+            if more:
+                for j in range(i + HEAD + 1, n + 1):
+                    k = get(own[i:j])
+                    if k is None:
+                        break
+                    if k >= 0:
+                        alpha[j] += here * shares[k]
+        return math.log(alpha[n]) if alpha[n] >= LEAST else self.score_in_logs(word)
+
+    def score_in_logs(self, word: str) -> float:
+        """The same for words of any length."""
         word = START + word
         n, get, logs, exp, log = len(word), self.ids.get, self.logs, math.exp, math.log
         arriving: list[list[float]] = [[] for _ in range(n + 1)]
@@ -94,6 +144,47 @@ class Pieces:
     def expected(self, word: str, weight: int, into: Counter) -> None:
         """Add the pieces' expected counts, in billionths, times the word's count (forward, then backward). A border whose
         share is under a quarter of a unit can't make a piece's count one, so the way back ends there."""
+        own = START + word
+        n, get, shares, heads = len(own), self.ids.get, self.shares, self.heads.get
+        arriving: list[list[tuple[float, int, int]]] = [[] for _ in range(n + 1)]
+        alpha = [1.0] + [0.0] * n
+        for i in range(n):
+            here = alpha[i]
+            if here < LEAST:
+                return self.expected_in_logs(word, weight, into)
+            head = own[i : i + HEAD]
+            found, more = heads(head) or self.starting(head)
+            for j, k, p in found:
+                part = here * p
+                alpha[i + j] += part
+                arriving[i + j].append((part, i, k))
+            if more:
+                for j in range(i + HEAD + 1, n + 1):
+                    k = get(own[i:j])
+                    if k is None:
+                        break
+                    if k >= 0:
+                        part = here * shares[k]
+                        alpha[j] += part
+                        arriving[j].append((part, i, k))
+        if alpha[n] < LEAST:
+            return self.expected_in_logs(word, weight, into)
+        share = [0.0] * n + [float(weight * UNIT)]  # posterior probability of a border here, times the count
+        for j in range(n, 0, -1):
+            if (now := share[j]) > 0.25:
+                now /= alpha[j]
+                for part, i, k in arriving[j]:
+                    part *= now
+                    share[i] += part
+                    if part > 0.5:  # rounded by word, so sums don't depend on how words are dealt out
+                        if k >= 0:
+                            into[k] += round(part)
+                        else:
+                            for b in self.spelt(own[i]):
+                                into[b] += round(part)
+
+    def expected_in_logs(self, word: str, weight: int, into: Counter) -> None:
+        """The same for words of any length."""
         word = START + word
         n, get, logs, exp, log = len(word), self.ids.get, self.logs, math.exp, math.log
         arriving: list[list[tuple[float, int, int | tuple]]] = [[] for _ in range(n + 1)]
@@ -209,47 +300,47 @@ def score(docs: DataFrame, vocabulary: str, held_out: Column, hot_words: int = 1
     top = common(words, hot_words).select("word", "c", "log").collect()  # hot_words rows at most
     hot = spark.sparkContext.broadcast(({r[0].encode(): i for i, r in enumerate(top)}, np.array([(r[1] > 0, math.log10(r[1] + 1), r[2]) for r in top]).reshape(-1, 3)))  # hot_words rows
     # xxhash64 of Spark with its seed, as the tasks below compute it
-    cold = words.select(F.xxhash64("word").alias("word"), (F.col("c") > 0).cast("long").alias("known"), F.log10(F.col("c") + 1.0).alias("base"), "log")
+    cold = words.select(F.xxhash64("word").alias("word"), (F.col("c") > 0).cast("long").alias("cold_known"), F.log10(F.col("c") + 1.0).alias("cold_base"), F.col("log").alias("cold_log"))
+
+    def looked_up():
+        from xxhash import xxh64_intdigest
 
-    def summed():
         index, values = hot.value
+        done = 0
 
         def step(batch: pa.RecordBatch):
-            marks, sums = [], []
+            nonlocal done
+            marks, keys, times, sums, lengths = [], [], [], [], []
             for text in raw(batch.column(1)):
                 own = (text or b"").lower().split()
-                at = np.fromiter((index.get(w, -1) for w in own), np.int64, len(own))
+                at = np.fromiter(map(index.get, own, repeat(-1)), np.int64, len(own))
                 marks.append(mark_of(text))
                 sums.append((len(own) + 1, *(values[at[at >= 0]].sum(0) if len(values) else (0, 0, 0))))
+                cold = Counter([own[i] for i in np.flatnonzero(at < 0).tolist()])
+                done += 1
+                keys += [xxh64_intdigest(w, 42) for w in cold] if cold else [(marks[-1] + done) % (1 << 64)]  # no word: anywhere
+                times += cold.values() if cold else [0]
+                lengths.append(max(1, len(cold)))
             n, known, base, log = (np.array(x) for x in zip(*sums, strict=True)) if sums else [np.zeros(0)] * 4
-            yield {"doc_id": batch.column(0), "mark": marks, "copies": np.ones(len(marks), np.int64), "n_tokens": n.astype(np.int64), "known": known.astype(np.int64), "base": base, "log": log}
-
-        return step
+            rows = np.repeat(np.arange(len(lengths)), lengths)
+            first = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64) if lengths else np.zeros(0, np.int64)
 
-    def rare():
-        from xxhash import xxh64_intdigest
-
-        index = hot.value[0]
+            def once(x: np.ndarray, kind: type) -> np.ndarray:
+                out = np.zeros(len(rows), kind)
+                out[first] = x
+                return out
 
-        def step(batch: pa.RecordBatch):
-            keys, tokens = [], []
-            for key, text in zip(batch.column(0).to_pylist(), raw(batch.column(1)), strict=True):
-                own = Counter(w for w in (text or b"").lower().split() if w not in index)
-                mark = mark_of(text)
-                keys += [(key, mark, n) for n in own.values()]
-                tokens += [xxh64_intdigest(w, 42) for w in own]
-            ids, marks, times = zip(*keys, strict=True) if keys else [[]] * 3
-            yield {"doc_id": ids, "mark": marks, "times": times, "word": np.array(tokens, np.uint64).view(np.int64)}
+            yield {
+                "doc_id": batch.column(0).take(pa.array(rows)), "mark": np.array(marks, np.int64)[rows], "times": times, "word": np.array(keys, np.uint64).view(np.int64),
+                "copies": once(1, np.int64), "n_tokens": once(n, np.int64), "known": once(known, np.int64), "base": once(base, np.float64), "log": once(log, np.float64),
+            }
 
         return step
 
-    texts = rows.select("doc_id", "text")
-    whole = map_arrow(texts, summed, "doc_id long, mark long, copies long, n_tokens long, known long, base double, log double")
-    apart = map_arrow(texts, rare, "doc_id long, mark long, times long, word long").join(cold, "word").groupBy("doc_id", "mark").agg(
-        F.lit(0).cast("long").alias("copies"), F.lit(0).cast("long").alias("n_tokens"),
-        F.sum(F.col("times") * F.col("known")).alias("known"), F.sum(F.col("times") * F.col("base")).alias("base"), F.sum(F.col("times") * F.col("log")).alias("log"),
-    )
-    per = whole.unionByName(apart).groupBy("doc_id", "mark").agg(*(F.sum(c).alias(c) for c in ("copies", "n_tokens", "known", "base", "log")))
+    # a row for each rarer word of a text, one at least; a text's first row has its length and the sums over common words
+    apart = map_arrow(rows.select("doc_id", "text"), looked_up, "doc_id long, mark long, times long, word long, copies long, n_tokens long, known long, base double, log double")
+    with_cold = lambda c: F.sum(F.col(c) + F.col("times") * F.coalesce(f"cold_{c}", F.lit(0))).alias(c)
+    per = apart.join(cold, "word", "left").groupBy("doc_id", "mark").agg(F.sum("copies").alias("copies"), F.sum("n_tokens").alias("n_tokens"), *(with_cold(c) for c in ("known", "base", "log")))
     each = per.withColumn("_i", F.explode(F.expr("sequence(1L, copies)")))
     share = lambda c: F.col(c) / F.col("copies")  # noqa: E731  repeated rows were summed together
     return each.select(

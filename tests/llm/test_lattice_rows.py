@@ -39,3 +39,22 @@ def test_rare_words_keep_their_expected_counts():
     pieces, into = lattice.Pieces(PIECES), Counter()
     pieces.expected("unhappy", 1, into)
     assert len(into) > 10 and sum(into.values()) >= lattice.UNIT and any(0 < n < lattice.UNIT // 1_000_000 for n in into.values())
+
+
+def test_texts_are_split_once_to_count_and_once_to_score(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "a"), (3, "")], "doc_id long, text string")
+    found = lattice.score(docs, PIECES, held_out=F.lit(False), hot_words=1)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.n_tokens, r.n_known) for r in found.collect()) == [(1, 3, 3), (2, 2, 2), (3, 1, 1)]
+
+
+def test_recursions_in_doubles_and_in_logs_agree():
+    from collections import Counter
+
+    pieces = lattice.Pieces(PIECES)
+    for word in ("unhappy", "", "straße", "\U0001f600x\U0001f601", "internationalization", "é́z", "\U0001f600" * 90, "word" * 300):
+        assert abs(pieces.score(word) - pieces.score_in_logs(word)) <= 1e-12 * abs(pieces.score_in_logs(word))
+        one, two = Counter(), Counter()
+        pieces.expected(word, 3, one)
+        pieces.expected_in_logs(word, 3, two)
+        assert all(abs(one[k] - two[k]) <= max(2 * len(word), 1e-9 * two[k]) for k in one | two)
