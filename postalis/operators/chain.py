@@ -15,6 +15,8 @@ from postalis.operators.refresh import ESTIMATE, compare
 
 #: First digits of a code that name its range.
 DIGITS = 3
+# Bounds that a scan is pruned by at most; what sorts behind any rest of a code.
+MOST_BOUNDS, LAST = 16, "\U0010ffff"
 # Classifications whose rows stay whole, and the action whose rows keep their place.
 WHOLE, KEPT = ("unchanged", "missing_from_source", "source_link_conflict"), "preserved"
 
@@ -32,11 +34,12 @@ def differing(a: DataFrame, b: DataFrame) -> list[str]:
 
 
 def within(rows: DataFrame, ranges: list[str]) -> DataFrame:
-    """Rows of ranges of codes, as bounds that file statistics can prune by."""
-    bounds = F.lit(False)
-    for r in ranges:
-        bounds = bounds | F.col("cep").between(r, r + "9" * (8 - DIGITS))
-    return rows.filter(bounds)
+    """Rows of ranges of codes, by their first digits, and by few bounds around neighbouring ranges that file statistics can
+    prune by: a bound a range would nest deeper than a plan may."""
+    size, bounds = -(-len(ranges) // MOST_BOUNDS) or 1, F.lit(False)
+    for k in range(0, len(ranges), size):
+        bounds = bounds | F.col("cep").between(ranges[k], ranges[k : k + size][-1] + LAST)
+    return rows.filter(bounds & F.substring("cep", 1, DIGITS).isin(ranges))
 
 
 def inherited_problems(base: DataFrame, candidate: DataFrame, diff: DataFrame) -> DataFrame:

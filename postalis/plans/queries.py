@@ -52,7 +52,7 @@ class Views:
 
     def inheritance(self) -> tuple[DataFrame, DataFrame]:
         """A base and a candidate of the same rows, in which some are added, smuggled in, lost, given another street or moved."""
-        rows = self.candidate().join(self.fates, "cep")
+        rows = settle(self.candidate().join(self.fates, "cep"))  # a release is stored
         marks = ["added", "smuggled", "lost", "readdressed", "moved"]
         base = rows.filter("not added and not smuggled").withColumn("dataset_version", F.lit("v1"))
         new = rows.filter("not lost").withColumn("street", F.when(F.col("readdressed"), "another").otherwise(F.col("street"))).withColumn("latitude", F.when(F.col("moved"), F.col("latitude") + 1).otherwise(F.col("latitude")))

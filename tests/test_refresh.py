@@ -81,6 +81,18 @@ def test_chain_of_releases(spark, tables):
         chain.require_inherited(base.withColumn("street", street("01001000")), rows, diff, recorded)
 
 
+def test_problems_in_every_range(spark, tables):
+    diff = tables[1].filter("false")
+    for step in (1, 2):
+        codes = [f"{n:03d}00000" for n in range(0, 1000, step)]
+        base = spark.createDataFrame([row(c[:3] + end) for c in codes for end in ("00000", "99999")], SCHEMA)
+        new = base.withColumn("street", F.when(F.col("cep").endswith("00000"), "another").otherwise(F.col("street")))
+        new = new.unionByName(spark.createDataFrame([row("998A0000")], SCHEMA))  # behind all digits
+        assert dict(chain.inherited_problems(base, new, diff).collect()) == dict.fromkeys(codes, "changed") | {"998A0000": "not added"}
+        assert sorted(r.cep for r in chain.within(base, ["000", "998"]).collect()) == ["00000000", "00099999", "99800000", "99899999"]
+        assert chain.within(base, []).isEmpty()
+
+
 def policy(**more):
     document = copy.deepcopy(POLICY.document)
     document["build_thresholds"] |= {"minimum_records": 1, "minimum_coverage": 0.5, "allowed_precision_tiers": ["osm_postcode", "municipality"], **more}
